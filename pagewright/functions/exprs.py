@@ -13,5 +13,10 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def once(udf):
+    """Keep the optimizer from copying a costly Python function into inferred or pushed filters."""
+    return udf.asNondeterministic()
+
+
 def blank_if_null(column: Column) -> Column:
     return F.coalesce(column, F.lit(""))

@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from pagewright.functions.exprs import once
+
 # Elements that separate words, and those that end an open paragraph.
 CLOSES_PARAGRAPH = frozenset(
     "address article aside blockquote body center details dialog dir div dl dd dt fieldset "
@@ -67,7 +69,10 @@ def read_fields(html: str) -> tuple[str, str, list[str], str]:
         position = found.end()
         name = (found["name"] or "").lower()
         opening = not found["end"]
-        if not name or (in_title and name != "title"):
+        if in_title and name != "title":
+            write(unescape(found.group()))  # a title holds text only
+            continue
+        if not name:
             continue
         if name in CLOSES_PARAGRAPH and (opening or name != "p"):
             in_paragraph = False
@@ -122,8 +127,8 @@ def _page_links(url: pd.Series, html: pd.Series) -> pd.Series:
 
 
 def page_fields(html: Column) -> Column:
-    return _page_fields(html)
+    return once(_page_fields)(html)
 
 
 def page_links(url: Column, html: Column) -> Column:
-    return _page_links(url, html)
+    return once(_page_links)(url, html)

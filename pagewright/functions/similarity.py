@@ -7,6 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
+from pagewright.functions.exprs import once
+
 
 def lcs_length(a: str, b: str) -> int:
     """Bit-parallel: one big-integer addition per character of ``b``."""
@@ -29,4 +31,4 @@ def _lcs(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def longest_common_subsequence(a: Column, b: Column) -> Column:
-    return _lcs(a, b)
+    return once(_lcs)(a, b)

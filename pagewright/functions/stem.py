@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from pagewright.functions.exprs import once
+
 # Fixed values of the published algorithm.
 WHOLE_WORDS = {
     "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
@@ -133,4 +135,4 @@ def _stem_arrays(terms: pd.Series) -> pd.Series:
 
 def stem_all(terms: Column) -> Column:
     """Porter2 stems of an array of lower-case words, in the same order."""
-    return _stem_arrays(terms)
+    return once(_stem_arrays)(terms)

@@ -14,6 +14,8 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 def spread(df: DataFrame) -> DataFrame:
     """Give CPU-heavy work on a few input splits all cores; large inputs are left as scanned."""
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
@@ -98,7 +100,7 @@ def positions(df: DataFrame, order: list[str], group: str | None = None) -> Data
     )
     earlier = Window.orderBy("_part") if group is None else Window.partitionBy(group).orderBy("_part")
     offsets = parts.select(
-        *keys,
+        *[F.col(name).alias(f"_at_{name}") for name in keys],
         "_first",
         F.coalesce(
             F.sum("_size").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
@@ -106,8 +108,8 @@ def positions(df: DataFrame, order: list[str], group: str | None = None) -> Data
     )
     # without a group there is one offset row per partition of the range shuffle
     offsets = F.broadcast(offsets) if group is None else offsets
-    same = [numbered[name].eqNullSafe(offsets[name]) for name in keys]
+    same = [F.col(name).eqNullSafe(F.col(f"_at_{name}")) for name in keys]
     return numbered.join(offsets, same).select(
-        *[numbered[name] for name in df.columns],
+        *df.columns,
         (F.col("_index") - F.col("_first") + F.col("_before") + 1).alias("position"),
     )
