@@ -180,7 +180,7 @@ def score_query(name: str, scores, sql: str):
         return scores(inverted, weights).select("qid", "id", F.round("score", 6).alias("score"))
 
 
-score_query("F8_cosine", search.cosine_scores, f"WITH {I.WEIGHTS_SQL} SELECT qid, id, round(score, 6) AS score FROM cosines")
+score_query("F8_cosine", search.cosine_scores, f"WITH {I.WEIGHTS_SQL} SELECT qid, id, round(score, 6) AS score FROM exact")
 score_query("F9_dot_product", search.dot_scores, f"WITH {I.WEIGHTS_SQL} SELECT qid, id, round(dot, 6) AS score FROM dots")
 
 

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions.http import content_hash
-from pagewright.operators.scale import positions
+from pagewright.operators.scale import broadcast_if_small, positions
+
+KEY_BYTES = 256
 
 
 def absent(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -14,15 +16,31 @@ def absent(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     return new.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
 
 
-def upsert_urls(dictionary: DataFrame, seen: DataFrame) -> DataFrame:
-    """Give every new URL the next free id, in URL order; known URLs keep theirs."""
+def held(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of a large table whose keys occur in a small, persisted one.
+
+    While the counted keys fit, they are broadcast and the large table is only scanned.
+    """
+    wanted = broadcast_if_small(new.select(*keys), new.count(), KEY_BYTES * len(keys))
+    return existing.join(wanted, keys, "left_semi")
+
+
+def new_urls(dictionary: DataFrame, seen: DataFrame, last_id: Column) -> DataFrame:
+    """(id, url) of the URLs not in the dictionary: the ids after ``last_id``, in URL order."""
     fresh = absent(seen.select("url").where("url IS NOT NULL"), dictionary, ["url"])
-    last_id = dictionary.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    numbered = positions(fresh, ["url"])
-    added = numbered.select((F.col("position") + last_id).alias("id"), "url")
+    return positions(fresh, ["url"]).select((F.col("position") + last_id).alias("id"), "url")
+
+
+def upsert_urls(dictionary: DataFrame, seen: DataFrame) -> DataFrame:
+    """Every distinct URL has one id; known URLs keep theirs."""
+    added = new_urls(dictionary, seen, largest_id(dictionary))
     return dictionary.select("id", "url").unionByName(added)
 
 
+def largest_id(dictionary: DataFrame) -> Column:
+    return dictionary.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
+
+
 def latest_by_key(updates: DataFrame, key: str, sequence: str) -> DataFrame:
     """The row with the highest ``sequence`` per key; partial results are combined before the shuffle."""
     payload = [name for name in updates.columns if name != key]

@@ -11,8 +11,7 @@ from pyspark.sql.types import IntegerType, StructType
 
 from pagewright.functions.http import content_hash, is_crawlable_type, strip_nul
 from pagewright.functions.url import normalise_url
-from pagewright.operators.scale import positions
-from pagewright.operators.tables import absent, latest_by_key
+from pagewright.operators.tables import absent, held, largest_id, latest_by_key, new_urls
 from pagewright.plans.content import extract_links
 from pagewright.schemas import CRAWLER_DOCS, FETCHED_PAGES, LINKS_URL, URLS
 
@@ -104,28 +103,29 @@ class CrawlTables:
 
     def write(self, pages: DataFrame, batch: int) -> None:
         """Store one micro-batch: new URL ids, documents, new links."""
+        # a micro-batch has a session of its own
+        tables = CrawlTables(pages.sparkSession, self.folder)
         pages = pages.persist()
+        versions = pages.select("url", "document", "type", "fetched_at")
+        latest = latest_by_key(versions, "url", "fetched_at").persist()
+        pair = ["source", "dest"]
+        links = extract_links(pages).select(*pair).distinct().persist()
         try:
-            latest = latest_by_key(pages.select("url", "document", "type", "fetched_at"), "url", "fetched_at")
-            known = self.urls(before=batch)
-            fresh = absent(latest.select("url"), known, ["url"])
-            last_id = known.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-            added = positions(fresh, ["url"]).select(
-                (F.col("position") + last_id).alias("id"), "url"
+            known = tables.urls(before=batch).select("id", "url")
+            known_here = held(known, latest, ["url"])
+            new_urls(known_here, latest, largest_id(known)).write.mode("overwrite").parquet(
+                self._path("urls", batch)
             )
-            added.write.mode("overwrite").parquet(self._path("urls", batch))
-            ids = known.select("id", "url").unionByName(
-                self.spark.read.schema(URLS).parquet(self._path("urls", batch))
-            )
-            latest.join(ids, "url").select(
+            added = tables.urls().where(F.col("batch") == batch).select("id", "url")
+            latest.join(known_here.unionByName(added), "url").select(
                 "id", F.col("document").alias("content"), "type"
             ).write.mode("overwrite").parquet(self._path("crawler_docs", batch))
-            found = extract_links(pages).select("source", "dest")
-            absent(found, self.links(before=batch), ["source", "dest"]).write.mode(
+            absent(links, held(tables.links(before=batch), links, pair), pair).write.mode(
                 "overwrite"
             ).parquet(self._path("links_url", batch))
         finally:
-            pages.unpersist()
+            for kept in (links, latest, pages):
+                kept.unpersist()
 
 
 def crawl_stream(
