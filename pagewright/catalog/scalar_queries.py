@@ -9,6 +9,7 @@ from pagewright.functions.similarity import longest_common_subsequence
 from pagewright.functions.stem import stem_all
 from pagewright.operators import gates
 from pagewright.operators.robots import pattern_regex
+from pagewright.operators.scale import spread
 from pagewright.plans import index, search
 from pagewright.plans.content import raw_links
 from pagewright.streaming.grouping import domain_sharding
@@ -126,7 +127,7 @@ def _(t):
 def token_query(name: str, tokenizer, sql: str):
     @query(name, sql)
     def _(t):
-        return t.documents.select(F.col("doc_id").alias("id"), F.explode(tokenizer(F.col("text"))).alias("term")) \
+        return spread(t.documents.select("doc_id", "text")).select(F.col("doc_id").alias("id"), F.explode(tokenizer(F.col("text"))).alias("term")) \
             .groupBy("id", "term").agg(F.count("*").alias("n"))
 
 

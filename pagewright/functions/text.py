@@ -1,8 +1,4 @@
-"""Tokenizers and per-document term counts, as Column expressions over one row.
-
-A document is one row, so its term counts need no shuffle: tokens are sorted inside the row and runs
-of equal terms are summed. Only the exploded (id, term, count) rows ever travel.
-"""
+"""Tokenizers: a text column becomes an array of terms, with native expressions only."""
 
 from __future__ import annotations
 
@@ -11,11 +7,11 @@ import string
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagewright.functions.exprs import bind, blank_if_null
+from pagewright.functions.exprs import blank_if_null
 
-# Token separator, and the control characters a trim removes around a token.
+# Token separator, the characters a trim removes, and the length limit.
 SEPARATOR = r"[\p{Punct}\s]+"
-CONTROL = r"[\x00-\x08\x0E-\x1F]*"
+TRIMMED = "".join(chr(code) for code in range(1, 33))
 MAX_TERM_LENGTH = 50
 
 # A short English list. Pass another one (see sources.wordlist) to match an existing index.
@@ -42,9 +38,9 @@ def raw_terms(text: Column) -> Column:
 def index_terms(text: Column, stop_words: list[str] | None = STOP_WORDS) -> Column:
     """Index tokenizer: ASCII characters only, no stop words, terms shorter than 50."""
     ascii_only = F.regexp_replace(F.lower(blank_if_null(text)), r"[^\x01-\x7F]+", "")
-    outer = F.regexp_replace(ascii_only, rf"^{CONTROL}|{CONTROL}$", "")
-    tokens = F.split(outer, CONTROL + SEPARATOR + CONTROL)
-    kept = F.filter(tokens, lambda t: (t != "") & (F.length(t) < MAX_TERM_LENGTH))
+    tokens = F.split(ascii_only, SEPARATOR)
+    trimmed = F.transform(tokens, lambda t: F.btrim(t, F.lit(TRIMMED)))
+    kept = F.filter(trimmed, lambda t: (t != "") & (F.length(t) < MAX_TERM_LENGTH))
     return _without(kept, stop_words)
 
 
@@ -61,46 +57,3 @@ def legacy_index_terms(text: Column, stop_words: list[str] | None = STOP_WORDS)
 
 def _without(tokens: Column, stop_words: list[str] | None) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(list(stop_words))) if stop_words else tokens
-
-
-def as_counts(tokens: Column, weight: int = 1) -> Column:
-    """Each token becomes a (term, n) pair."""
-    return F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(weight).cast("long").alias("n")))
-
-
-def sum_counts(pairs: Column) -> Column:
-    """Add up the ``n`` of equal terms within one array of (term, n) pairs."""
-
-    def summed(sorted_pairs: Column) -> Column:
-        positions = F.when(
-            F.size(sorted_pairs) > 0, F.sequence(F.lit(0), F.size(sorted_pairs) - 1)
-        ).otherwise(F.array().cast("array<int>"))
-        starts = F.filter(
-            positions,
-            lambda i: (i == 0)
-            | (F.get(sorted_pairs, i)["term"] != F.get(sorted_pairs, i - 1)["term"]),
-        )
-
-        def run(first: Column, after: Column) -> Column:
-            total = F.aggregate(
-                F.slice(sorted_pairs, first + 1, after - first),
-                F.lit(0).cast("long"),
-                lambda acc, pair: acc + pair["n"],
-            )
-            return F.struct(F.get(sorted_pairs, first)["term"].alias("term"), total.alias("n"))
-
-        return bind(
-            starts,
-            lambda firsts: F.transform(
-                firsts,
-                lambda first, j: run(
-                    first, F.coalesce(F.get(firsts, j + 1), F.size(sorted_pairs))
-                ),
-            ),
-        )
-
-    return bind(F.sort_array(pairs), summed)
-
-
-def largest_count(counts: Column) -> Column:
-    return F.array_max(F.transform(counts, lambda pair: pair["n"]))

@@ -9,6 +9,8 @@ from pagewright.session import stage
 
 SALTS = 32
 HOT_SHARE = 1000
+TRACKED_ITEMS = 4000
+MERGE_GROUPS = 128
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -25,11 +27,34 @@ def broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int) -> DataFram
     return F.broadcast(df) if rows * bytes_per_row <= BROADCAST_BYTES else df
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE) -> DataFrame:
-    """Keys that hold at least ``1/share`` of the rows: never more than ``share`` of them."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
-    total = df.agg(F.count("*")).scalar()
-    return counts.where(F.col("_rows") * share >= total).select(key)
+def hot_keys(df: DataFrame, *keys: str) -> dict[str, DataFrame]:
+    """For each column, the values that hold at least ``1/HOT_SHARE`` of the rows.
+
+    One pass with a frequent-items sketch, merged in two levels; no key is shuffled. The sketch never
+    misses such a value, and what it lists too much only costs a few more copies. Each result has at
+    most ``HOT_SHARE`` rows.
+    """
+    merged = (
+        df.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("_group"))
+        .agg(
+            F.count("*").alias("_rows"),
+            *[F.expr(f"approx_top_k_accumulate({key}, {TRACKED_ITEMS})").alias(key) for key in keys],
+        )
+        .agg(
+            F.sum("_rows").alias("_rows"),
+            *[F.expr(f"approx_top_k_combine({key}, {TRACKED_ITEMS})").alias(key) for key in keys],
+        )
+    )
+
+    def listed(key: str) -> DataFrame:
+        found = F.explode(F.expr(f"approx_top_k_estimate({key}, {HOT_SHARE})")).alias("_found")
+        return (
+            merged.select("_rows", found)
+            .where(F.col("_found.count") * HOT_SHARE >= F.col("_rows"))
+            .select(F.col("_found.item").alias(key))
+        )
+
+    return {key: listed(key) for key in keys}
 
 
 def salted_lookup(
@@ -47,7 +72,7 @@ def salted_lookup(
     rows of those keys are repeated. The hot list is broadcast, which is safe because at most
     ``HOT_SHARE`` keys can hold ``1/HOT_SHARE`` of the rows each.
     """
-    hot = hot_keys(facts.select(key), key) if hot is None else hot
+    hot = hot_keys(facts, key)[key] if hot is None else hot
     marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
     fact_salt = F.when(
         F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")

@@ -7,15 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.functions.stem import stem_all
-from pagewright.functions.text import (
-    STOP_WORDS,
-    as_counts,
-    index_terms,
-    largest_count,
-    legacy_index_terms,
-    sum_counts,
-)
+from pagewright.functions.counts import count_terms, largest_count, weighted_counts
+from pagewright.functions.text import STOP_WORDS, index_terms, legacy_index_terms
 from pagewright.operators.scale import HOT_SHARE, salted_lookup, spread
 from pagewright.session import stage
 
@@ -25,22 +18,9 @@ FIELD_SMOOTHING = 0.4
 FIELD_BOOSTS = {"body": 1, "headers": 4, "title": 10}
 
 
-def stemmed_counts(counts: Column) -> Column:
-    """Replace terms by stems and add up the counts that meet."""
-    stems = stem_all(F.transform(counts, lambda pair: pair["term"]))
-    return sum_counts(
-        F.zip_with(
-            stems, counts, lambda s, pair: F.struct(s.alias("term"), pair["n"].alias("n"))
-        )
-    )
-
-
-def exploded_counts(docs: DataFrame, counts: Column, stem: bool) -> DataFrame:
-    """(id, term, n, max_n), computed within each row: nothing is shuffled."""
-    rows = spread(docs).select("id", sum_counts(counts).alias("counts"))
-    if stem:
-        rows = rows.select("id", stemmed_counts(F.col("counts")).alias("counts"))
-    return rows.select(
+def exploded_counts(counted: DataFrame) -> DataFrame:
+    """(id, counts) as (id, term, n, max_n)."""
+    return counted.select(
         "id", largest_count(F.col("counts")).alias("max_n"), F.explode("counts").alias("t")
     ).select("id", F.col("t.term").alias("term"), F.col("t.n").alias("n"), "max_n")
 
@@ -51,10 +31,9 @@ def term_counts(
     tokenizer: Callable[[Column], Column] = index_terms,
     stem: bool = True,
 ) -> DataFrame:
-    """Term counts and the largest count per document; ``id`` is unique in ``docs``."""
-    return exploded_counts(
-        docs.select("id", text), as_counts(tokenizer(F.col(text))), stem
-    )
+    """Term counts and the largest count per document, without a shuffle; ``id`` is unique."""
+    counts = count_terms(tokenizer(F.col(text)), stem)
+    return exploded_counts(spread(docs.select("id", text)).select("id", counts.alias("counts")))
 
 
 def term_frequency(n: Column, max_n: Column, a: float) -> Column:
@@ -115,13 +94,10 @@ def field_counts(
     stop_words: list[str] | None = STOP_WORDS,
 ) -> DataFrame:
     """Boosted term counts over several text columns of one row."""
-    pairs = F.concat(
-        *[
-            as_counts(legacy_index_terms(F.col(field), stop_words), boost)
-            for field, boost in boosts.items()
-        ]
-    )
-    return exploded_counts(content.select("id", *boosts), pairs, stem)
+    tokens = [legacy_index_terms(F.col(field), stop_words) for field in boosts]
+    counts = weighted_counts(tokens, tuple(boosts.values()), stem)
+    fields = spread(content.select("id", *boosts))
+    return exploded_counts(fields.select("id", counts.alias("counts")))
 
 
 def build_field_index(

@@ -8,7 +8,7 @@ from pyspark.storagelevel import StorageLevel
 
 from pagewright.functions.url import authority
 from pagewright.operators.gates import without_self_links
-from pagewright.operators.scale import HOT_SHARE, SALTS, salted_lookup
+from pagewright.operators.scale import HOT_SHARE, SALTS, hot_keys, salted_lookup
 from pagewright.session import checkpointed, stage
 
 DAMPING = 0.85
@@ -19,12 +19,13 @@ LAST_STEP = 100
 def crawled_links(links: DataFrame, urls: DataFrame) -> DataFrame:
     """Links between two crawled URLs, self links removed."""
     known = urls.select("url").distinct()
-    ends = without_self_links(links)
-    for end in ("source", "dest"):
-        # salted, since one page may be the target (or source) of a third of all links
-        other = "dest" if end == "source" else "source"
-        ends = salted_lookup(ends, known.withColumnRenamed("url", end), end, "inner", [other])
-    return ends.select("source", "dest")
+    links = without_self_links(links)
+    # one page may be the source or the target of a third of all links
+    hot = hot_keys(links, "source", "dest")
+    for end, other in (("source", "dest"), ("dest", "source")):
+        found = known.withColumnRenamed("url", end)
+        links = salted_lookup(links, found, end, "inner", [other], hot=hot[end])
+    return links.select("source", "dest")
 
 
 def domain_graph(links: DataFrame) -> DataFrame:

@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagewright.functions.counts import count_terms, largest_count
 from pagewright.functions.exprs import bind, blank_if_null
 from pagewright.functions.similarity import longest_common_subsequence
 from pagewright.functions.stem import stem_all
-from pagewright.functions.text import as_counts, largest_count, query_terms, raw_terms, sum_counts
+from pagewright.functions.text import query_terms, raw_terms
 from pagewright.functions.url import authority
 from pagewright.operators.gates import truncated
 from pagewright.operators.scale import broadcast_if_small, top_k_per_group
@@ -24,6 +25,7 @@ CANDIDATES = 2000
 EARLY_CANDIDATES = 100
 TERM_SLICES = 16
 PAGE_SIZE = 10
+TIE_DIGITS = 12
 
 # Blend factor and rank floor, then the bonuses per field.
 RANK_FACTOR = 0.013
@@ -42,8 +44,8 @@ def query_counts(
     queries: DataFrame, stem: bool = True, tokenizer: Callable[[Column], Column] = query_terms
 ) -> DataFrame:
     """(qid, term, n, max_n): term counts of each query and the largest one."""
-    terms = tokenizer(F.col("query"))
-    counted = queries.select("qid", sum_counts(as_counts(stem_all(terms) if stem else terms)).alias("c"))
+    counts = count_terms(tokenizer(F.col("query")), stem)
+    counted = queries.select("qid", counts.alias("c"))
     return counted.select(
         "qid", largest_count(F.col("c")).alias("max_n"), F.explode("c").alias("t")
     ).select("qid", F.col("t.term").alias("term"), F.col("t.n").alias("n"), "max_n")
@@ -104,15 +106,24 @@ def cosine_scores(index: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
+def by_score(column: str = "score") -> list[Column]:
+    """Best first, undefined scores last, ties by id.
+
+    Documents that match the same single term have the same cosine up to the last bits, which depend
+    on the order of a distributed sum; rounding makes them the ties they are.
+    """
+    return [F.round(column, TIE_DIGITS).desc_nulls_last(), F.col("id")]
+
+
 def top_scores(scores: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best documents per query; undefined scores last, ties by id."""
-    order = [F.col("score").desc_nulls_last(), F.col("id")]
+    """The ``k`` best documents per query."""
+    order = by_score()
     return top_k_per_group(scores, ["qid"], order, k, "id")
 
 
 def best(scores: DataFrame, k: int) -> DataFrame:
     """The ``k`` best rows of one query's scores."""
-    return scores.orderBy(F.col("score").desc_nulls_last(), "id").limit(k)
+    return scores.orderBy(*by_score()).limit(k)
 
 
 def search_scored(
@@ -293,9 +304,8 @@ def without_repeats(rows: DataFrame, order: list[Column]) -> DataFrame:
 
 
 def final_order(rows: DataFrame) -> DataFrame:
-    order = [F.col("score").desc_nulls_last(), F.col("id")]
     return rows.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("qid").orderBy(*order))
+        "rank", F.row_number().over(Window.partitionBy("qid").orderBy(*by_score()))
     )
 
 
@@ -326,7 +336,7 @@ def search(
     )
     scored = rescore(pages, query_details(queries, weights), strict)
     shown = scored.drop("title").withColumnRenamed("shown", "title")
-    kept = without_repeats(shown, [F.col("cosine").desc_nulls_last(), F.col("id")])
+    kept = without_repeats(shown, by_score("cosine"))
     return final_order(kept).select(
         "qid", "id", "url", "title", "preview", "headers", "score", "rank"
     )

@@ -11,6 +11,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even if a later step then needs a shuffle of its own
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # row_number() <= k keeps only k rows per group before the shuffle; search takes k = 2000
     "spark.sql.optimizer.windowGroupLimitThreshold": "4096",
     # web pages are large rows, so bound a Python batch by bytes as well as by rows
