@@ -11,40 +11,51 @@ from collections import Counter
 from functools import cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from pagewright.functions.exprs import once
 from pagewright.functions.stem import stem_word
 
-TERM_COUNTS = ArrayType(StructType([StructField("term", StringType()), StructField("n", LongType())]))
+TERM_COUNTS = StructType(
+    [
+        StructField("max_n", LongType()),
+        StructField(
+            "terms",
+            ArrayType(StructType([StructField("term", StringType()), StructField("n", LongType())])),
+        ),
+    ]
+)
 
 
 @cache
 def _counter(weights: tuple[int, ...], stem: bool):
     @F.pandas_udf(TERM_COUNTS)
-    def count(*fields: pd.Series) -> pd.Series:
+    def count(*fields: pd.Series) -> pd.DataFrame:
         rows = []
         for arrays in zip(*fields):
             counts = Counter()
             for weight, terms in zip(weights, arrays):
                 for term, n in Counter(terms).items():
                     counts[stem_word(term) if stem else term] += n * weight
-            rows.append([{"term": term, "n": n} for term, n in counts.items()])
-        return pd.Series(rows, dtype=object)
+            pairs = [{"term": term, "n": n} for term, n in counts.items()]
+            rows.append((max(counts.values(), default=0), pairs))
+        return pd.DataFrame(rows, columns=TERM_COUNTS.fieldNames())
 
     return once(count)
 
 
-def count_terms(tokens: Column, stem: bool) -> Column:
-    return weighted_counts([tokens], (1,), stem)
-
-
 def weighted_counts(token_arrays: list[Column], weights: tuple[int, ...], stem: bool) -> Column:
     """Counts over several token arrays; an occurrence in the i-th counts ``weights[i]`` times."""
     return _counter(weights, stem)(*token_arrays)
 
 
-def largest_count(counts: Column) -> Column:
-    return F.array_max(F.transform(counts, lambda pair: pair["n"]))
+def exploded_counts(
+    rows: DataFrame, key: str, token_arrays: list[Column], weights: tuple[int, ...], stem: bool
+) -> DataFrame:
+    """(key, term, n, max_n): the counts of each row and the largest of them."""
+    counted = rows.select(key, weighted_counts(token_arrays, weights, stem).alias("c"))
+    return counted.select(key, F.col("c.max_n").alias("max_n"), F.explode("c.terms").alias("t")).select(
+        key, F.col("t.term").alias("term"), F.col("t.n").alias("n"), "max_n"
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.functions.counts import count_terms, largest_count, weighted_counts
+from pagewright.functions.counts import exploded_counts
 from pagewright.functions.text import STOP_WORDS, index_terms, legacy_index_terms
 from pagewright.operators.scale import HOT_SHARE, salted_lookup, spread
 from pagewright.session import stage
@@ -18,13 +18,6 @@ FIELD_SMOOTHING = 0.4
 FIELD_BOOSTS = {"body": 1, "headers": 4, "title": 10}
 
 
-def exploded_counts(counted: DataFrame) -> DataFrame:
-    """(id, counts) as (id, term, n, max_n)."""
-    return counted.select(
-        "id", largest_count(F.col("counts")).alias("max_n"), F.explode("counts").alias("t")
-    ).select("id", F.col("t.term").alias("term"), F.col("t.n").alias("n"), "max_n")
-
-
 def term_counts(
     docs: DataFrame,
     text: str = "text",
@@ -32,8 +25,8 @@ def term_counts(
     stem: bool = True,
 ) -> DataFrame:
     """Term counts and the largest count per document, without a shuffle; ``id`` is unique."""
-    counts = count_terms(tokenizer(F.col(text)), stem)
-    return exploded_counts(spread(docs.select("id", text)).select("id", counts.alias("counts")))
+    rows = spread(docs.select("id", text))
+    return exploded_counts(rows, "id", [tokenizer(F.col(text))], (1,), stem)
 
 
 def term_frequency(n: Column, max_n: Column, a: float) -> Column:
@@ -95,9 +88,8 @@ def field_counts(
 ) -> DataFrame:
     """Boosted term counts over several text columns of one row."""
     tokens = [legacy_index_terms(F.col(field), stop_words) for field in boosts]
-    counts = weighted_counts(tokens, tuple(boosts.values()), stem)
-    fields = spread(content.select("id", *boosts))
-    return exploded_counts(fields.select("id", counts.alias("counts")))
+    rows = spread(content.select("id", *boosts))
+    return exploded_counts(rows, "id", tokens, tuple(boosts.values()), stem)
 
 
 def build_field_index(

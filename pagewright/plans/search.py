@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagewright.functions.counts import count_terms, largest_count
+from pagewright.functions.counts import exploded_counts
 from pagewright.functions.exprs import bind, blank_if_null
 from pagewright.functions.similarity import longest_common_subsequence
 from pagewright.functions.stem import stem_all
@@ -44,11 +44,7 @@ def query_counts(
     queries: DataFrame, stem: bool = True, tokenizer: Callable[[Column], Column] = query_terms
 ) -> DataFrame:
     """(qid, term, n, max_n): term counts of each query and the largest one."""
-    counts = count_terms(tokenizer(F.col("query")), stem)
-    counted = queries.select("qid", counts.alias("c"))
-    return counted.select(
-        "qid", largest_count(F.col("c")).alias("max_n"), F.explode("c").alias("t")
-    ).select("qid", F.col("t.term").alias("term"), F.col("t.n").alias("n"), "max_n")
+    return exploded_counts(queries, "qid", [tokenizer(F.col("query"))], (1,), stem)
 
 
 def query_weights(counts: DataFrame, idfs: DataFrame) -> DataFrame:
