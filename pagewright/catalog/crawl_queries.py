@@ -115,31 +115,29 @@ def _(t):
     return frontier.domain_cap(arrivals, 100).select("id", "url")
 
 
-START = "TIMESTAMP '2024-01-30 12:00:00'"
+START = "TIMESTAMP '2024-01-31 00:00:00'"
+# crawled at the last click, modified at the last view; the stored copy is a customer's segment
+VISITS = f"""SELECT {I.USER_URL} AS url, max(CASE WHEN event_type = 'click' THEN ts END) AS last_crawled,
+  max(CASE WHEN event_type = 'view' THEN ts END) AS modified FROM {{events}} GROUP BY 1"""
+STORED = """SELECT concat('http://u', CAST(c_custkey AS STRING), '.example.com:80/') AS url, md5(c_mktsegment) AS hash
+FROM {customer} WHERE c_acctbal > 0"""
+USED = "SELECT DISTINCT md5(c_mktsegment) AS hash FROM {customer} WHERE c_acctbal = (SELECT min(c_acctbal) FROM {customer})"
 
 
 @query("C8_recrawl_plan", f"""
-WITH seen AS ({I.URL_SEEN}),
-sites AS (SELECT DISTINCT user_id, {I.USER_URL} AS url FROM events),
-visits AS (SELECT user_id, min(ts) AS first FROM events GROUP BY user_id),
-fetches AS (SELECT url, user_id, first + to_days(CAST(user_id % 40 AS INTEGER)) AS modified FROM sites JOIN visits USING (user_id)),
-stored AS (SELECT {I.USER_URL} AS url, md5(text) AS hash FROM sites JOIN documents ON doc_id = user_id % 60 WHERE user_id % 7 <> 0),
-used AS (SELECT md5(text) AS hash FROM documents WHERE doc_id < 10),
-joined AS (SELECT f.*, last_crawled, hash, coalesce(date_trunc('second', modified) < last_crawled, false) AS unchanged
-  FROM fetches f LEFT JOIN seen USING (url) LEFT JOIN stored USING (url)),
+WITH visits AS ({VISITS}), stored AS ({STORED}), used AS ({USED}),
+joined AS (SELECT v.url, last_crawled, hash, coalesce(date_trunc('second', modified) < last_crawled, false) AS unchanged,
+  coalesce({START} < last_crawled, false) AS done FROM visits v LEFT JOIN stored USING (url)),
 firsts AS (SELECT hash, min(url) AS url FROM joined
-  WHERE NOT ({START} < last_crawled) AND unchanged AND hash IS NOT NULL AND hash NOT IN (SELECT hash FROM used) GROUP BY hash)
-SELECT url, CASE WHEN {START} < last_crawled THEN 'skip' WHEN NOT unchanged THEN 'fetch'
+  WHERE NOT done AND unchanged AND hash IS NOT NULL AND hash NOT IN (SELECT hash FROM used) GROUP BY hash)
+SELECT url, CASE WHEN done THEN 'skip' WHEN NOT unchanged THEN 'fetch'
   WHEN url IN (SELECT url FROM firsts) THEN 'reuse' ELSE 'skip' END AS action FROM joined""")
 def _(t):
-    sites = t.sql(f"SELECT {I.USER_URL} AS url, user_id, min(ts) AS first FROM {{events}} GROUP BY 1, 2")
-    modified = F.col("first") + F.make_dt_interval(days=(F.col("user_id") % 40).cast("int"))
-    fetches = sites.select("url", format_http_date(modified).alias("last_modified"))
-    hashes = t.documents.select("doc_id", content_hash(F.col("text")).alias("hash"))
-    stored = sites.where("user_id % 7 <> 0").join(hashes, F.col("user_id") % 60 == F.col("doc_id"))
-    used = hashes.where("doc_id < 10")
-    start = F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
-    plan = frontier.recrawl_plan(fetches, t.sql(I.URL_SEEN), stored, used, start)
+    visits = t.sql(VISITS)
+    fetches = visits.select("url", format_http_date(F.col("modified")).alias("last_modified"))
+    seen = visits.where("last_crawled IS NOT NULL")
+    start = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    plan = frontier.recrawl_plan(fetches, seen, t.sql(STORED), t.sql(USED), start)
     return plan.select("url", "action")
 
 

@@ -69,12 +69,12 @@ def _(t):
 
 
 @query("J7_score_document_rank", """
-WITH scores AS (SELECT o_custkey % 10 AS qid, o_orderkey AS id, o_totalprice / 100000 AS score FROM orders),
+WITH scores AS (SELECT o_custkey AS qid, o_orderkey AS id, o_totalprice / 100000 AS score FROM orders),
 ranks AS (SELECT l_orderkey AS id, sum(l_discount) AS rank FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
 SELECT qid, id, round(score + rank, 8) AS score FROM scores JOIN ranks USING (id)""")
 def _(t):
     scores = t.orders.select(
-        (F.col("o_custkey") % 10).alias("qid"), F.col("o_orderkey").alias("id"), (F.col("o_totalprice") / 100000).alias("score")
+        F.col("o_custkey").alias("qid"), F.col("o_orderkey").alias("id"), (F.col("o_totalprice") / 100000).alias("score")
     )
     ranks = t.lineitem.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("id")).agg(F.sum("l_discount").alias("rank"))
     return search.with_document_rank(scores, ranks).select("qid", "id", F.round("score", 8).alias("score"))

@@ -73,11 +73,11 @@ PATH = """CASE WHEN regexp_matches(trim(url), '^https?://[^/]+') THEN
 
 
 @query("P8_link_sanity", raw(f"""
-, long_urls AS (SELECT id, CASE WHEN id >= 900 THEN url || repeat('x', 2030) ELSE url END AS url FROM raw)
+, long_urls AS (SELECT id, CASE WHEN url LIKE '%:8080%' THEN url || repeat('x', 2030) ELSE url END AS url FROM raw)
 SELECT id, {NORMAL} || {PATH} AS dest FROM long_urls WHERE length({NORMAL} || {PATH}) BETWEEN 1 AND 2048"""))
 def _(t):
     urls = t.sql(I.RAW_URLS)
-    dest = F.when(F.col("id") >= 900, F.concat("url", F.repeat(F.lit("x"), 2030))).otherwise(F.col("url"))
+    dest = F.when(F.col("url").contains(":8080"), F.concat("url", F.repeat(F.lit("x"), 2030))).otherwise(F.col("url"))
     return gates.clean_links(urls.select("id", dest.alias("dest")))
 
 
@@ -255,7 +255,7 @@ def _(t):
 
 
 @query("F20_robots_pattern", r"""
-WITH paths AS (SELECT event_id AS id, '/' || event_type || '/' || event_id AS path, '/' || substr(event_type, 1, 2) || '*' || (user_id % 10) ||
+WITH paths AS (SELECT event_id AS id, '/' || event_type || '/' || event_id AS path, '/' || substr(event_type, 1, 2) || '*' || user_id ||
   CASE WHEN event_type = 'view' THEN '$' ELSE '' END AS pattern FROM events)
 SELECT id, regexp_full_match(path, replace(rtrim(pattern, '$'), '*', '.*') || CASE WHEN pattern LIKE '%$' THEN '' ELSE '.*' END) AS hit
 FROM paths""")
@@ -264,7 +264,7 @@ def _(t):
         F.col("event_id").alias("id"),
         F.concat(F.lit("/"), "event_type", F.lit("/"), "event_id").alias("path"),
         F.concat(
-            F.lit("/"), F.col("event_type").substr(1, 2), F.lit("*"), F.col("user_id") % 10,
+            F.lit("/"), F.col("event_type").substr(1, 2), F.lit("*"), F.col("user_id"),
             F.when(F.col("event_type") == "view", "$").otherwise(""),
         ).alias("pattern"),
     )

@@ -12,6 +12,7 @@ HOT_SHARE = 1000
 TRACKED_ITEMS = 4000
 MERGE_GROUPS = 128
 BROADCAST_BYTES = 64 * 1024 * 1024
+PUSHED_KEYS = 500
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -24,7 +25,21 @@ def spread(df: DataFrame) -> DataFrame:
 
 def broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
     """Broadcast hint only when the counted rows fit; otherwise the planner is left to choose."""
-    return F.broadcast(df) if rows * bytes_per_row <= BROADCAST_BYTES else df
+    return F.broadcast(df) if fits_broadcast(rows, bytes_per_row) else df
+
+
+def fits_broadcast(rows: int, bytes_per_row: int) -> bool:
+    return rows * bytes_per_row <= BROADCAST_BYTES
+
+
+def only_keys(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Push ``key IN (...)`` into the scan of ``table`` when ``keys`` holds few values.
+
+    On a table sorted by ``key`` this skips most row groups. With more values the table is returned
+    as it is; the join that follows selects the rows either way.
+    """
+    few = keys.select(key).distinct().limit(PUSHED_KEYS + 1).collect()
+    return table.where(F.col(key).isin([row[0] for row in few])) if len(few) <= PUSHED_KEYS else table
 
 
 def hot_keys(df: DataFrame, *keys: str) -> dict[str, DataFrame]:

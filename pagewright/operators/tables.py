@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions.http import content_hash
-from pagewright.operators.scale import broadcast_if_small, positions
+from pagewright.operators.scale import broadcast_if_small, only_keys, positions
 
 KEY_BYTES = 256
 
@@ -92,4 +92,5 @@ def lookup_documents(docs: DataFrame, urls: DataFrame, wanted: Column | DataFram
 
 def by_keys(table: DataFrame, keys: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """``SELECT columns WHERE key IN (keys)``."""
-    return table.join(keys.select(key).distinct(), key, "left_semi").select(*columns)
+    wanted = keys.select(key).distinct()
+    return only_keys(table, wanted, key).join(wanted, key, "left_semi").select(*columns)

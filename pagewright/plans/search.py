@@ -18,12 +18,13 @@ from pagewright.functions.stem import stem_all
 from pagewright.functions.text import query_terms, raw_terms
 from pagewright.functions.url import authority
 from pagewright.operators.gates import truncated
-from pagewright.operators.scale import broadcast_if_small, top_k_per_group
+from pagewright.operators.scale import broadcast_if_small, fits_broadcast, only_keys, top_k_per_group
 from pagewright.session import stage
 
 CANDIDATES = 2000
 EARLY_CANDIDATES = 100
 TERM_SLICES = 16
+TERM_ROW_BYTES = 128
 PAGE_SIZE = 10
 TIE_DIGITS = 12
 
@@ -50,27 +51,30 @@ def query_counts(
 def query_weights(counts: DataFrame, idfs: DataFrame) -> DataFrame:
     """(qid, term, idf, weight) of the query terms that have an idf.
 
-    Both sides are matched on single terms; the idfs are the large one.
+    A small table, written once: retrieval, norms and bonuses all read it.
     """
-    return counts.join(idfs.select("term", "idf"), "term").select(
-        "qid", "term", "idf", (0.5 + 0.5 * F.col("n") / F.col("max_n") * F.col("idf")).alias("weight")
-    )
+    weight = 0.5 + 0.5 * F.col("n") / F.col("max_n") * F.col("idf")
+    found = counts.join(idfs.select("term", "idf"), "term")
+    return stage(found.select("qid", "term", "idf", weight.alias("weight")), "query-weights")
 
 
 def matching_postings(index: DataFrame, weights: DataFrame) -> DataFrame:
     """(qid, id, q, w): one row per query term a document holds.
 
-    The term rows of the queries are repeated per slice of document ids, so the postings of a term
+    While the counted term rows of the queries fit, they are broadcast and the postings are only
+    scanned, with the terms pushed into the scan when they are few. Beyond that both sides are
+    shuffled, and the term rows are repeated per slice of document ids, so the postings of a term
     found in most documents are shared out over ``TERM_SLICES`` partitions.
     """
-    sliced = index.select(
-        "term", "id", F.col("weight").alias("w"),
-        F.pmod(F.xxhash64("id"), F.lit(TERM_SLICES)).cast("int").alias("_slice"),
-    )
-    wanted = weights.select(
-        "term", "qid", F.col("weight").alias("q"),
-        F.explode(F.sequence(F.lit(0), F.lit(TERM_SLICES - 1))).alias("_slice"),
-    )
+    rows = weights.count()
+    index = only_keys(index, weights, "term")
+    postings = index.select("term", "id", F.col("weight").alias("w"))
+    wanted = weights.select("term", "qid", F.col("weight").alias("q"))
+    if fits_broadcast(rows, TERM_ROW_BYTES):
+        return postings.join(F.broadcast(wanted), "term").select("qid", "id", "q", "w")
+    slices = F.sequence(F.lit(0), F.lit(TERM_SLICES - 1))
+    sliced = postings.withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(TERM_SLICES)).cast("int"))
+    wanted = wanted.withColumn("_slice", F.explode(slices))
     return sliced.join(wanted, ["term", "_slice"]).select("qid", "id", "q", "w")
 
 
@@ -320,7 +324,7 @@ def search(
 
     The candidates (``k`` per query) are written once; all later steps read those few rows.
     """
-    weights = stage(query_weights(query_counts(queries, stem), idfs), "query-weights")
+    weights = query_weights(query_counts(queries, stem), idfs)
     scores = top_scores(cosine_scores(index, weights), k)
     candidates = stage(scores.select("qid", "id", F.col("score").alias("cosine")), "candidates")
     rows = with_fallback(enrich(candidates, urls, content, ranks)).withColumn(

@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # row_number() <= k keeps only k rows per group before the shuffle; search takes k = 2000
     "spark.sql.optimizer.windowGroupLimitThreshold": "4096",
+    # IN lists up to this length reach the parquet row groups as they are
+    "spark.sql.parquet.pushdown.inFilterThreshold": "500",
     # web pages are large rows, so bound a Python batch by bytes as well as by rows
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
 }

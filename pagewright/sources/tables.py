@@ -80,6 +80,15 @@ def recreate_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, *keys: str) -> None:
+    """Save sorted by ``keys``, so that a lookup of few key values reads few row groups.
+
+    Rows are range partitioned on all keys: end them with a unique one, and a key value that holds
+    many rows is spread over several files.
+    """
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+
+
 def write_clustered(df: DataFrame, table: str, buckets: int, key: str) -> None:
     """Save as a bucketed table, so later joins on ``key`` need no shuffle."""
     df.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(table)
