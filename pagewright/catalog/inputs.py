@@ -113,8 +113,7 @@ weights AS (SELECT qid, term, idf, 0.5 + 0.5 * n / max_n * idf AS weight FROM qu
 matches AS (SELECT qid, id, w.weight AS q, i.weight AS w FROM inverted i JOIN weights w USING (term)),
 norms AS (SELECT qid, sqrt(sum(weight * weight)) AS query_norm FROM weights GROUP BY qid),
 dots AS (SELECT qid, id, sum(q * w) AS dot, sqrt(sum(w * w)) AS doc_norm FROM matches GROUP BY qid, id),
-exact AS (SELECT qid, id, dot / nullif(query_norm * doc_norm, 0) AS score FROM dots JOIN norms USING (qid)),
-cosines AS (SELECT qid, id, round(score, 9) AS score FROM exact)"""
+cosines AS (SELECT qid, id, dot / nullif(query_norm * doc_norm, 0) AS score FROM dots JOIN norms USING (qid))"""
 
 # page fields by pattern: the pages' markup is regular enough
 INLINE = r"</?(?:a|b)(?: [^>]*)?>"

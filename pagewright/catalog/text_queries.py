@@ -51,36 +51,34 @@ def _(t):
 def scores_of(t, scorer):
     inverted, idfs = text_index(t)
     weights = search.query_weights(search.query_counts(t.sql(I.QUERIES), stem=False), idfs)
-    scores = scorer(inverted, weights)
-    # rounding makes ties, and with them the cut, independent of the order of a sum
-    return scores.withColumn("score", F.round("score", 9))
+    return scorer(inverted, weights)
 
 
-def top(name: str, source: str, k: int) -> str:
+def top(source: str, k: int) -> str:
     return f"""
 WITH {I.WEIGHTS_SQL}, scored AS ({source}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC NULLS LAST, id) AS place FROM scored)
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 12) DESC NULLS LAST, id) AS place FROM scored)
 SELECT qid, id, round(score, 6) AS score FROM ranked WHERE place <= {k}"""
 
 
-@query("X3_search_cosine", top("X3", "SELECT * FROM cosines", 2000))
+@query("X3_search_cosine", top("SELECT * FROM cosines", 2000))
 def _(t):
     found = search.top_scores(scores_of(t, search.cosine_scores), search.CANDIDATES)
     return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
-@query("X4_search_dot_product", top("X4", "SELECT qid, id, round(dot, 9) AS score FROM dots", 100))
+@query("X4_search_dot_product", top("SELECT qid, id, dot AS score FROM dots", 100))
 def _(t):
     found = search.top_scores(scores_of(t, search.dot_scores), search.EARLY_CANDIDATES)
     return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
 @query("X5_search_cosine_plus_rank", top(
-    "X5", "SELECT qid, c.id, round(score + quality / 4.0, 9) AS score FROM cosines c JOIN labels ON doc_id = c.id", 100))
+    "SELECT qid, c.id, score + quality / 4.0 AS score FROM cosines c JOIN labels ON doc_id = c.id", 100))
 def _(t):
     ranks = t.labels.select(F.col("doc_id").alias("id"), (F.col("quality") / 4.0).alias("rank"))
     scores = search.with_document_rank(scores_of(t, search.cosine_scores), ranks)
-    found = search.top_scores(scores.withColumn("score", F.round("score", 9)), search.EARLY_CANDIDATES)
+    found = search.top_scores(scores, search.EARLY_CANDIDATES)
     return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
