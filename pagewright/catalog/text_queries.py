@@ -6,6 +6,7 @@ from pagewright.catalog import inputs as I
 from pagewright.catalog.registry import query
 from pagewright.functions.text import raw_terms
 from pagewright.plans import content, index, pagerank, search
+from pagewright.session import stage
 
 
 def text_index(t, stem=False):
@@ -164,8 +165,11 @@ def _(t):
 
 def page_search(t, **options):
     """The pages as a corpus, one query per host, PageRank of the hosts that share a path."""
-    parsed = content.page_content(t.sql(I.CRAWLER_DOCS))
-    inverted, idfs = index.build_index(content.page_texts(t.sql(I.CRAWLER_DOCS)))
+    # content and index are stored tables: written by their jobs, read by the search
+    parsed = stage(content.page_content(t.sql(I.CRAWLER_DOCS)), "content")
+    texts = parsed.select("id", F.concat_ws(" ", "title", "body").alias("text"))
+    inverted, idfs = index.build_index(texts)
+    inverted = stage(inverted, "index")
     urls = t.pages.select(F.col("page_id").alias("id"), "url")
     host = F.regexp_extract("url", "//([^/]+)", 1)
     asked = urls.join(parsed, "id").groupBy(host.alias("host")).agg(
