@@ -72,7 +72,7 @@ FROM {{events}} WHERE event_type <> 'error' GROUP BY 1"""
 ROBOTS = """
 SELECT DISTINCT concat('http://u', CAST(user_id AS STRING), '.example.com:80') AS domain,
   CASE WHEN user_id < 40 THEN concat('User-agent: *', chr(10), 'Disallow: /view', chr(10), 'Allow: /view/1', chr(10), 'Crawl-delay: 2.5')
-       WHEN user_id < 80 THEN concat('User-agent: *', chr(10), 'Disallow: /', chr(10), chr(10), 'User-agent: cis455crawler', chr(10), 'Disallow: /signup/*5$  # odd', chr(10), 'Crawl-delay: 5')
+       WHEN user_id < 80 THEN concat('User-agent: *', chr(10), 'Disallow: /', chr(10), chr(10), 'User-agent: pagewright', chr(10), 'Disallow: /signup/*5$  # odd', chr(10), 'Crawl-delay: 5')
        WHEN user_id < 110 THEN concat('# none', chr(10), 'User-agent: other', chr(10), 'Disallow: /')
        ELSE concat('User-agent: *', chr(10), 'Disallow:', chr(10), 'Disallow: /*/1') END AS robots_txt,
   user_id > 140 AS timed_out

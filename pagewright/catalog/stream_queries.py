@@ -126,7 +126,7 @@ def _(t):
 
 @query("D4_user_defined_step", "SELECT user_id, value * 2 AS doubled FROM events WHERE event_type = 'purchase'")
 def _(t):
-    def bolt(rows):
+    def step(rows):
         return rows.where("event_type = 'purchase'").select("user_id", (F.col("value") * 2).alias("doubled"))
 
-    return collected(t, crawl.apply_bolt(stream_of(t, "events"), bolt))
+    return collected(t, crawl.apply_step(stream_of(t, "events"), step))

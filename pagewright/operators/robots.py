@@ -9,7 +9,7 @@ from pagewright.functions.exprs import bind
 from pagewright.functions.url import crawl_domain, file_path
 from pagewright.operators.scale import salted_lookup
 
-AGENT = "cis455crawler"
+AGENT = "pagewright"
 SPECIAL_CHARACTERS = r"([<(\[{\\^\-=$!|\]})?+.>])"
 
 

@@ -17,6 +17,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.optimizer.windowGroupLimitThreshold": "4096",
     # IN lists up to this length reach the parquet row groups as they are
     "spark.sql.parquet.pushdown.inFilterThreshold": "500",
+    # seen-content state of a long crawl lives on disk, not in the heap
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # web pages are large rows, so bound a Python batch by bytes as well as by rows
     "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
 }

@@ -15,8 +15,6 @@ from pagewright.operators.tables import absent, held, largest_id, latest_by_key,
 from pagewright.plans.content import extract_links
 from pagewright.schemas import CRAWLER_DOCS, FETCHED_PAGES, LINKS_URL, URLS
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 
 def page_stream(
     spark: SparkSession,
@@ -61,9 +59,9 @@ def last_seen(pages: DataFrame) -> DataFrame:
     return pages.groupBy("url").agg(F.max("fetched_at").alias("last_crawled"))
 
 
-def apply_bolt(stream: DataFrame, bolt: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def apply_step(stream: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """A user-defined step is any function from DataFrame to DataFrame."""
-    return stream.transform(bolt)
+    return stream.transform(step)
 
 
 class CrawlTables:
@@ -132,9 +130,7 @@ def crawl_stream(
     pages: DataFrame, folder: str, checkpoint: str, within: str | None = None
 ) -> StreamingQuery:
     """Gate, dedupe and store everything available, then stop; the checkpoint resumes it."""
-    spark = pages.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    tables = CrawlTables(spark, folder)
+    tables = CrawlTables(pages.sparkSession, folder)
     return (
         first_contents(accepted_pages(pages), within)
         .writeStream.foreachBatch(tables.write)

@@ -219,12 +219,12 @@ ROBOTS = [
     ("User-agent: *\nDisallow: /a\nAllow: /a/ok", "/a/ok/1", True),
     ("User-agent: *\nDisallow: /*.pdf$", "/d/x.pdf", False),
     ("User-agent: *\nDisallow: /*.pdf$", "/d/x.pdf?y", True),
-    ("User-agent: *\nDisallow: /\n\nUser-agent: cis455crawler\nDisallow: /z", "/y", True),
-    ("User-agent: *\nDisallow: /\n\nUser-agent: cis455crawler\nDisallow: /z", "/z1", False),
+    ("User-agent: *\nDisallow: /\n\nUser-agent: pagewright\nDisallow: /z", "/y", True),
+    ("User-agent: *\nDisallow: /\n\nUser-agent: pagewright\nDisallow: /z", "/z1", False),
     ("User-agent: other\nDisallow: /", "/y", True),
     ("User-agent: *\nDisallow:", "/y", True),
     ("# c\nUser-agent: * # all\r\n#\nDisallow: /q(1)+ # why\r\n", "/q(1)+x", False),
-    ("User-agent: *\nUser-agent: cis455crawler\nDisallow: /b", "/b", False),
+    ("User-agent: *\nUser-agent: pagewright\nDisallow: /b", "/b", False),
     ("", "/y", True),
 ]
 
