@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,8 +28,23 @@ RUNTIME_SETTINGS = {
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        package = os.path.dirname(os.path.abspath(__file__))
+        base = os.path.join(tempfile.mkdtemp(prefix="pagewright-"), "pagewright-code")
+        archive = shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package))
+        sc.addPyFile(archive)
+        _shipped.add(sc.applicationId)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
+    ship_package(spark)
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
