@@ -35,6 +35,9 @@ RULES = {
 }
 ITERATIONS = 40
 PRIOR_GOOD = 0.8
+# a rule may vote bad on this share of good documents; without the bound, one frequent kind of junk
+# that only one rule knows would be explained as a careless rule
+MAX_FALSE_ALARMS = 0.01
 # one bad vote outweighs good votes of the other rules at the start: each rule knows one kind of junk
 FIRST_GIVEN_GOOD = {GOOD: 0.900, ABSTAIN: 0.095, BAD: 0.005}
 FIRST_GIVEN_BAD = {GOOD: 0.750, ABSTAIN: 0.050, BAD: 0.200}
@@ -43,25 +46,22 @@ FIRST_GIVEN_BAD = {GOOD: 0.750, ABSTAIN: 0.050, BAD: 0.200}
 def with_repeated_words(df: DataFrame, window: int = WINDOW) -> DataFrame:
     """Add ``n_repeat_words``: words inside ``window``-word runs that the text holds twice or more.
 
-    Every word of such a run counts once, also those of its first occurrence. Only texts that repeat
-    a run pay for keeping places. Intermediate arrays are columns of their own, as an expression in
-    a lambda would be worked out for every element.
+    Every word of such a run counts once, also those of its first occurrence. Runs are compared by
+    64-bit fingerprints, within one text only. Only texts that repeat a run pay for keeping places.
+    Intermediate arrays are columns of their own, as an expression in a lambda would be worked out
+    for every element.
     """
-    last_start = F.size("words") - (window - 1)
-    keys = F.when(
-        last_start > 1,
-        F.transform(
-            F.sequence(F.lit(1), last_start),
-            lambda i: F.concat_ws(" ", *[F.element_at("words", i + k) for k in range(window)]),
-        ),
-    )
-    placed = F.array_sort(F.transform("_keys", lambda key, i: F.struct(key.alias("key"), i.alias("place"))))
+    runs = F.size("_hashes") - (window - 1)
+    keys = F.slice("_hashes", 1, runs)
+    for shift in range(1, window):
+        keys = F.zip_with(keys, F.slice("_hashes", shift + 1, runs), lambda key, word: F.xxhash64(key, word))
+    placed = F.sort_array(F.transform("_keys", lambda key, i: F.struct(key.alias("key"), (i + 1).alias("place"))))
     pairs = F.zip_with(
         "_placed",
         F.slice("_placed", 2, F.size("_placed")),
         lambda a, b: F.when(a["key"] == b["key"], F.array(a["place"], b["place"])),
     )
-    starts = F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda pair: pair.isNotNull()))))
+    starts = F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda pair: pair.isNotNull()))))
     covered = F.aggregate(
         starts,
         F.struct(F.lit(0).alias("until"), F.lit(0).alias("covered")),
@@ -72,7 +72,8 @@ def with_repeated_words(df: DataFrame, window: int = WINDOW) -> DataFrame:
         lambda state: state["covered"],
     )
     return (
-        df.withColumn("_keys", keys)
+        df.withColumn("_hashes", F.transform("words", lambda word: F.xxhash64(word)))
+        .withColumn("_keys", F.when(runs > 1, keys))
         .withColumn("_placed", F.when(F.size(F.array_distinct("_keys")) < F.size("_keys"), placed))
         .withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
         .drop("_keys", "_placed")
@@ -92,7 +93,7 @@ def base_statistics(docs: DataFrame) -> DataFrame:
         .withColumn("lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(NOT_SPACE)))
     )
     odd_ends = F.filter("lines", lambda x: ~x.rlike(SENTENCE_END))
-    echoes = F.zip_with("words", F.slice("words", 2, F.size("words")), lambda a, b: a == b)
+    echoes = F.zip_with("_hashes", F.slice("_hashes", 2, F.size("_hashes")), lambda a, b: a == b)
     return with_parts.select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
@@ -139,8 +140,9 @@ def fit_accuracies(patterns: list[tuple[tuple[int, ...], int]], rules: int) -> t
     """(share of good documents, per rule the vote probabilities given good and given bad) by EM.
 
     Rules are taken as independent given the quality. The fit starts from rules that seldom vote
-    bad on a good document, rates are smoothed by one vote of each kind, and a bad vote never
-    counts for quality nor a good one against it, so the classes cannot change places.
+    bad on a good document (and never more often than ``MAX_FALSE_ALARMS``), rates are smoothed by
+    one vote of each kind, and a bad vote never counts for quality nor a good one against it, so
+    the classes cannot change places.
     """
     prior, rates = PRIOR_GOOD, [(FIRST_GIVEN_GOOD, FIRST_GIVEN_BAD)] * rules
     total = sum(n for _, n in patterns)
@@ -156,10 +158,10 @@ def _rates(weighed, rule: int) -> tuple[dict[int, float], dict[int, float]]:
     for votes, n, g in weighed:
         good[votes[rule]] += g
         bad[votes[rule]] += n - g
-    return (
-        {v: n / sum(good.values()) for v, n in good.items()},
-        {v: n / sum(bad.values()) for v, n in bad.items()},
-    )
+    given_good = {v: n / sum(good.values()) for v, n in good.items()}
+    given_bad = {v: n / sum(bad.values()) for v, n in bad.items()}
+    excess = max(0.0, given_good[BAD] - MAX_FALSE_ALARMS)
+    return {**given_good, GOOD: given_good[GOOD] + excess, BAD: given_good[BAD] - excess}, given_bad
 
 
 def vote_weight(rate: tuple[dict[int, float], dict[int, float]], cast: int) -> float:
