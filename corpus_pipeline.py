@@ -14,8 +14,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality rules: documents that they reject go. Rows are rejected by doc_id and text together."""
-    return quality_rules.keep_good(docs.select(*COLUMNS))
+    """Quality rules: documents that they reject go."""
+    return quality_rules.keep_good(docs, COLUMNS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.llm.columns import only, whole, words
+from pagewright.llm.columns import whole, words
 from pagewright.session import stage
 
 SYMBOLS = "[#*$%&|<>]"
@@ -80,22 +80,25 @@ def with_repeated_words(df: DataFrame, window: int = WINDOW) -> DataFrame:
     )
 
 
-def base_statistics(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text)`` with the counts all rules rest on; a null text has none of anything."""
+def base_statistics(docs: DataFrame, kept: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``kept`` of ``docs`` with the counts all rules rest on, from ``text``.
+
+    A null text has none of anything. A count takes the place of an input column of its name.
+    """
     text = F.col("text")
 
     def characters(pattern: str) -> Column:
         return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
     with_parts = with_repeated_words(
-        docs.select("doc_id", whole(text).alias("text"))
+        docs.select(F.struct(*kept).alias("row"), whole(text).alias("text"))
         .withColumn("words", words(text))
         .withColumn("lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(NOT_SPACE)))
     )
     odd_ends = F.filter("lines", lambda x: ~x.rlike(SENTENCE_END))
     echoes = F.zip_with("_hashes", F.slice("_hashes", 2, F.size("_hashes")), lambda a, b: a == b)
     return with_parts.select(
-        "doc_id",
+        *[F.col("row")[name].alias(name) for name in kept],
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         characters(SYMBOLS).alias("n_symbols"),
@@ -177,8 +180,8 @@ def log_odds(votes, prior: float, rates: Rates) -> float:
     return max(-30.0, min(30.0, math.log(prior / (1 - prior)) + added))
 
 
-def judge_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``docs(doc_id, text)`` as (doc_id, statistics, posterior, base_failed, kept), a row per row.
+def judge_quality(docs: DataFrame, threshold: float = 0.5, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``columns`` of ``docs`` with (statistics, posterior, base_failed, kept) of ``text``, a row per row.
 
     ``base_failed`` holds for under 50 words and for texts of which more than half stands in
     repeated 3-word runs. The statistics of all rows are written once; the vote patterns of all rows
@@ -190,7 +193,7 @@ def judge_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     fit. An empty table gives no rows. Further columns are ignored.
     """
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    stats = stage(base_statistics(only(docs, "doc_id", "text")).withColumn("base_failed", failed), "quality")
+    stats = stage(base_statistics(docs, columns).withColumn("base_failed", failed), "quality")
     votes = [vote(rule).alias(rule) for rule in RULES]
     counted = stats.where(~F.col("base_failed")).select(*votes).groupBy(*RULES).count().collect()
     prior, rates = fit_accuracies([(tuple(row[:-1]), row[-1]) for row in sorted(counted)], len(RULES))
@@ -202,3 +205,8 @@ def judge_quality(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     return stats.withColumn("posterior", 1 / (1 + F.exp(-odds))).withColumn(
         "kept", ~F.col("base_failed") & (F.col("posterior") >= threshold)
     )
+
+
+def keep_good(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with ``columns``; each row is judged on its own text."""
+    return judge_quality(docs, columns=tuple(columns)).where("kept").select(*columns)
