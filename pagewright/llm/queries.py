@@ -202,3 +202,13 @@ def op6_html_extraction(t: Tables) -> DataFrame:
     from pagewright.llm.html import extract_text
 
     return extract_text(t.pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+# --- suffix-array dedup ----------------------------------------------------------------------
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(t: Tables) -> DataFrame:
+    from pagewright.llm.suffix_dedup import BYTES_400, remove_repeats
+
+    return remove_repeats(t.documents, BYTES_400).drop("kept")
