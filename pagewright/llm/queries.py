@@ -212,3 +212,13 @@ def op3_suffix_dedup(t: Tables) -> DataFrame:
     from pagewright.llm.suffix_dedup import BYTES_400, remove_repeats
 
     return remove_repeats(t.documents, BYTES_400).drop("kept")
+
+
+# --- n-gram Jaccard join ---------------------------------------------------------------------
+
+
+@query("op1_ngram_join")
+def op1_ngram_join(t: Tables) -> DataFrame:
+    from pagewright.llm.ngram_join import FOUR_WORDS_85, near_components
+
+    return near_components(t.documents, FOUR_WORDS_85)
