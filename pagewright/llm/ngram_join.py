@@ -7,7 +7,8 @@
    fingerprint. Two linked sets share one of the first ``size - least overlap + 1`` n-grams in this
    order, so sets that share none of them are never compared. What hangs together by such n-grams is
    a block.
-3. The sets of a block stand in a prefix tree. A set walks the tree, adds up its overlap once for all
+3. A block's sets are filtered once more among themselves, most frequent n-grams last, and what still
+   hangs together stands in a prefix tree. A set walks the tree, adds up its overlap once for all
    sets that go on from a node, and leaves a branch when what remains on either side cannot reach the
    threshold any more, or when all sets below are already known to be of its component.
 """
@@ -232,20 +233,15 @@ class Node:
     of: int
     leaf: bool
     kids: list[Node] = field(default_factory=list)
-    least: int = 0  # sizes of the sets below
-    most: int = 0
-    longest: int = 0  # shared n-grams of the longest set below
-    groups: dict[int, list[Node]] = field(default_factory=dict)  # kids whose sets are of one component
-    mixed: list[Node] = field(default_factory=list)
 
 
-def build_tree(sets: list[np.ndarray], sizes: list[int]) -> Node:
-    """The path-compressed prefix tree of sorted sets."""
-    keys = [s.astype(">u8").tobytes() for s in sets]
+def build_tree(sets: list[np.ndarray], sizes: list[int], inside: list[int]) -> Node:
+    """The path-compressed prefix tree of the sorted sets with the numbers ``inside``."""
+    keys = {i: sets[i].astype(">u8").tobytes() for i in inside}
     root = Node(0, -1, False)
     stack = [root]
     before: np.ndarray | None = None
-    for i in sorted(range(len(sets)), key=keys.__getitem__):
+    for i in sorted(inside, key=keys.__getitem__):
         same = 0
         if before is not None:
             k = min(len(before), len(sets[i]))
@@ -266,27 +262,47 @@ def build_tree(sets: list[np.ndarray], sizes: list[int]) -> Node:
         stack[-1].kids.append(leaf)
         stack.append(leaf)
         before = sets[i]
-    order, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        order.append(node)
-        todo.extend(node.kids)
-    for node in reversed(order):
-        if node.leaf:
-            node.least = node.most = sizes[node.of]
-            node.longest = len(sets[node.of])
-        elif node.kids:
-            node.least = min(k.least for k in node.kids)
-            node.most = max(k.most for k in node.kids)
-            node.longest = max(k.longest for k in node.kids)
-            for kid in node.kids:
-                if kid.leaf:
-                    node.groups[kid.of] = [kid]
-                else:
-                    node.mixed.append(kid)
     return root
 
 
+class Tree:
+    """A prefix tree as arrays, nodes by level, so that a set walks all open branches at once."""
+
+    def __init__(self, sets: list[np.ndarray], sizes: list[int], inside: list[int]):
+        nodes, begin, first = [build_tree(sets, sizes, inside)], [0], []
+        for node in nodes:  # grows while it is read
+            first.append(len(nodes))
+            for kid in node.kids:
+                nodes.append(kid)
+                begin.append(node.depth)
+        self.first_kid = np.array([*first, len(nodes)])
+        self.kids = np.diff(self.first_kid)
+        self.leaf = np.array([n.leaf for n in nodes])
+        self.of = np.array([n.of for n in nodes])
+        self.depth = np.array([n.depth for n in nodes])
+        paths = [sets[n.of][b : n.depth] if n.of >= 0 else sets[inside[0]][:0] for n, b in zip(nodes, begin, strict=True)]
+        self.path = np.concatenate(paths).astype(np.int64)
+        self.path_end = np.cumsum([len(p) for p in paths])
+        self.path_start = self.path_end - [len(p) for p in paths]
+        self.last = np.array([int(sets[n.of][n.depth - 1]) if n.depth else -1 for n in nodes])
+        # of the sets below each node: least and greatest size, most n-grams
+        self.least = np.array([sizes[n.of] if n.leaf else 1 << 62 for n in nodes])
+        self.most = np.array([sizes[n.of] if n.leaf else 0 for n in nodes])
+        self.longest = np.array([len(sets[n.of]) if n.leaf else 0 for n in nodes])
+        for i in range(len(nodes) - 1, -1, -1):
+            if self.kids[i]:
+                below = slice(self.first_kid[i], self.first_kid[i + 1])
+                self.least[i] = self.least[below].min()
+                self.most[i] = self.most[below].max()
+                self.longest[i] = self.longest[below].max()
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one after the other."""
+    ends = np.cumsum(lengths)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + lengths, lengths)
+
+
 class Forest:
     """Union-find that remembers the links which joined two components."""
 
@@ -307,56 +323,82 @@ class Forest:
             self.links.append((a, b))
 
 
-def _settle(node: Node, forest: Forest) -> None:
-    """Put kids of one component together; a branch of one component counts as one of them."""
-    merged: dict[int, list[Node]] = {}
-    for rep, kids in node.groups.items():
-        root = forest.find(rep)
-        if root in merged:
-            small, large = sorted((merged[root], kids), key=len)
-            large.extend(small)
-            merged[root] = large
-        else:
-            merged[root] = kids
-    still = []
-    for kid in node.mixed:
-        if kid.mixed or len({forest.find(rep) for rep in kid.groups}) > 1:
-            still.append(kid)
-        else:
-            merged.setdefault(forest.find(next(iter(kid.groups))), []).append(kid)
-    node.groups, node.mixed = merged, still
-
+def walk(tree: Tree, query: np.ndarray, size: int, me: int, sizes: np.ndarray, marks: np.ndarray, labels: np.ndarray, join: Join, forest: Forest) -> None:
+    """Link ``me`` with every component in the tree that has a set linked to ``query``.
 
-def walk(root: Node, sets: list[np.ndarray], sizes: list[int], query: np.ndarray, size: int, me: int, join: Join, forest: Forest) -> None:
-    """Link ``me`` with every component in the tree that has a set linked to ``query``."""
+    ``marks`` is a false array over all n-gram ranks, given back as it was; ``labels`` names the
+    component of each set.
+    """
     own = join.own_overlap(size)
-    todo = [(root, 0, 0)]
-    while todo:
-        node, overlap, used = todo.pop()
-        _settle(node, forest)
-        kids = list(node.mixed)
-        for rep, some in node.groups.items():
-            if forest.find(rep) != forest.find(me):
-                kids.extend(some)
-        for kid in kids:
-            if kid.most < own or join.own_overlap(kid.least) > size:
-                continue
-            if kid.leaf and forest.find(kid.of) == forest.find(me):
-                continue
-            path = sets[kid.of][node.depth : kid.depth]
-            found, at = overlap, used
-            if len(path) and used < len(query):
-                rest = query[used:]
-                place = np.searchsorted(rest, path)
-                inside = place < len(rest)
-                found += int((rest[place[inside]] == path[inside]).sum())
-                at = used + int(np.searchsorted(rest, path[-1], side="right"))
-            needed = join.overlap(size, max(kid.least, own))
-            if kid.leaf:
-                if found >= join.overlap(size, sizes[kid.of]):
-                    forest.link(me, kid.of)
-            elif found + min(len(query) - at, kid.longest - kid.depth) >= needed:
-                todo.append((kid, found, at))
+    marks[query] = True
+    nodes, overlap = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+    while len(nodes):
+        kids = _ranges(tree.first_kid[nodes], tree.kids[nodes])
+        overlap = np.repeat(overlap, tree.kids[nodes])
+        leaf = tree.leaf[kids]
+        stays = (tree.most[kids] >= own) & (join.own_overlap(tree.least[kids]) <= size)
+        stays &= ~leaf | (labels[tree.of[kids]] != labels[me])
+        kids, overlap, leaf = kids[stays], overlap[stays], leaf[stays]
+        lengths = tree.path_end[kids] - tree.path_start[kids]
+        hits = np.concatenate(([0], np.cumsum(marks[tree.path[_ranges(tree.path_start[kids], lengths)]])))
+        ends = np.cumsum(lengths)
+        overlap = overlap + hits[ends] - hits[ends - lengths]
+        found = leaf.copy()
+        found[leaf] = overlap[leaf] >= join.overlap(size, sizes[tree.of[kids[leaf]]])
+        for other in tree.of[kids[found]].tolist():
+            if labels[other] != labels[me]:
+                forest.link(me, other)
+                labels[labels == labels[other]] = labels[me]
+        left = len(query) - np.searchsorted(query, tree.last[kids], side="right")
+        reach = overlap + np.minimum(left, tree.longest[kids] - tree.depth[kids])
+        on = ~leaf & (reach >= join.overlap(size, np.maximum(tree.least[kids], own)))
+        nodes, overlap = kids[on], overlap[on]
+    marks[query] = False
+
+
+def refined(sets: list[np.ndarray], sizes: list[int], join: Join) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """The sets that may be linked, in parts of which none has a link to another part.
+
+    Within a part, n-grams that only one set has cannot overlap, and a set with too few others is
+    out. The part's own order is by frequency, then by value; sets that are compatible in size and
+    share a prefix in it stay together. This goes on until a part stays whole; it is given as the
+    numbers of its sets, and the sets as sorted ranks in its order.
+    """
+    work = [list(range(len(sets)))]
+    while work:
+        part = work.pop()
+        if len(part) < 2:
+            continue
+        doc = np.repeat(np.arange(len(part)), [len(sets[i]) for i in part])
+        value, of, count = np.unique(np.concatenate([sets[i] for i in part]), return_inverse=True, return_counts=True)
+        size = np.array([sizes[i] for i in part])
+        common = count[of] > 1
+        doc, of = doc[common], of[common]
+        held = np.bincount(doc, minlength=len(part))
+        stays = held >= join.own_overlap(size)
+        if not stays.all():
+            work.append([i for i, stay in zip(part, stays, strict=True) if stay])
+            continue
+        rank = np.empty(len(value), dtype=np.uint64)
+        rank[np.lexsort((value, count))] = np.arange(len(value), dtype=np.uint64)
+        order = np.lexsort((rank[of], doc))
+        doc, ranks = doc[order], rank[of][order]
+        edges = np.searchsorted(doc, np.arange(len(part) + 1))
+        in_prefix = np.arange(len(doc)) - edges[doc] < (held - join.own_overlap(size) + 1)[doc]
+        gram, owner = ranks[in_prefix], doc[in_prefix]
+        by_gram = np.lexsort((size[owner], gram))
+        gram, owner = gram[by_gram], owner[by_gram]
+        near = (gram[1:] == gram[:-1]) & (join.own_overlap(size[owner[1:]]) <= size[owner[:-1]])
+        forest = Forest(len(part))
+        for pair in np.unique(owner[:-1][near] * len(part) + owner[1:][near]).tolist():
+            forest.link(*divmod(pair, len(part)))
+        parts: dict[int, list[int]] = {}
+        for i in range(len(part)):
+            parts.setdefault(forest.find(i), []).append(i)
+        if len(parts) == 1:
+            yield part, [ranks[edges[i] : edges[i + 1]].astype(np.int64) for i in range(len(part))]
+        else:
+            work.extend([part[i] for i in some] for some in parts.values())
 
 
 def link_sets(sets: list[np.ndarray], sizes: list[int], join: Join, left: list[bool] | None = None, right: list[bool] | None = None) -> list[tuple[int, int]]:
@@ -364,22 +406,21 @@ def link_sets(sets: list[np.ndarray], sizes: list[int], join: Join, left: list[b
 
     With ``left`` and ``right``, only pairs of a left and a right set are compared.
     """
-    forest = Forest(len(sets))
-    inside = [i for i in range(len(sets)) if right is None or right[i]]
-    if len(inside) == 0:
-        return []
-    tree = build_tree([sets[i] for i in inside], [sizes[i] for i in inside])
-    if right is not None:  # leaves by their number among all sets
-        todo = [tree]
-        while todo:
-            node = todo.pop()
-            todo.extend(node.kids)
-            node.of = inside[node.of] if node.of >= 0 else -1
-            node.groups = {inside[rep]: kids for rep, kids in node.groups.items()}
-    for i in range(len(sets)):
-        if left is None or left[i]:
-            walk(tree, sets, sizes, sets[i], sizes[i], i, join, forest)
-    return forest.links
+    links: list[tuple[int, int]] = []
+    for part, ranked in refined(sets, sizes, join):
+        size = np.array([sizes[i] for i in part])
+        inside = [i for i, of in enumerate(part) if right is None or right[of]]
+        if not inside:
+            continue
+        forest = Forest(len(part))
+        tree = Tree(ranked, size.tolist(), inside)
+        marks = np.zeros(int(max(r[-1] for r in ranked)) + 1, dtype=bool)
+        labels = np.arange(len(part))
+        for i, of in enumerate(part):
+            if left is None or left[of]:
+                walk(tree, ranked[i], int(size[i]), i, size, marks, labels, join, forest)
+        links += [(part[a], part[b]) for a, b in forest.links]
+    return links
 
 
 def _link_blocks(join: Join):
