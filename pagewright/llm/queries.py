@@ -222,3 +222,21 @@ def op1_ngram_join(t: Tables) -> DataFrame:
     from pagewright.llm.ngram_join import FOUR_WORDS_85, near_components
 
     return near_components(t.documents, FOUR_WORDS_85)
+
+
+# --- SentencePiece ---------------------------------------------------------------------------
+
+MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@query("op4_sentencepiece")
+def op4_sentencepiece(t: Tables) -> DataFrame:
+    from pagewright.llm.sentencepiece import encode_documents, load
+
+    encoded = encode_documents(t.documents, load(MODEL_PATH))
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        "round_trip",
+    )
