@@ -75,6 +75,7 @@ def _range_digits(rows: int) -> int:
 
 def mix(
     docs: DataFrame,
+    columns: tuple[str, ...] = (),
     size: Column | None = None,
     weights: tuple[int, ...] = WEIGHTS,
     max_epochs: int = MAX_EPOCHS,
@@ -82,6 +83,8 @@ def mix(
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every row of ``docs``.
 
+    ``columns`` of the row come along as the struct ``row``.
+
     ``size`` counts the words of ``text`` unless another column expression is given; ``taken`` is
     how many of them the mix takes, repeats counted. A source whose target is e whole passes and a
     rest gives each document e times, and once more the documents that come first in hash order
@@ -100,6 +103,7 @@ def mix(
             "doc_id",
             "source",
             counted.alias("size"),
+            *([F.struct(*columns).alias("row")] if columns else []),
             F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("key"),
         ),
         "sizes",
@@ -123,7 +127,7 @@ def mix(
     )
     within = (
         Window.partitionBy("source", "part")
-        .orderBy("key", "doc_id", "size")
+        .orderBy("key", "doc_id", "size", *(["row"] if columns else []))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ordered = ranged.withColumn("before_row", F.coalesce(F.sum("size").over(within), F.lit(0)))
@@ -141,4 +145,15 @@ def mix(
         "source_size",
         "target",
         (F.col("passes") * F.col("size") + fits).cast("long").alias("taken"),
+        *(["row"] if columns else []),
     )
+
+
+def mixed_documents(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of the documents of a mix of whole documents, a row for each time one is taken.
+
+    Documents without words, which add nothing to a mix, are left out.
+    """
+    taken = mix(docs, tuple(columns), whole_documents=True).where(F.col("taken") > 0)
+    times = F.explode(F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int")))
+    return taken.select("row", times.alias("time")).select("row.*")

@@ -82,16 +82,30 @@ def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray
     return owner[new], value[new]
 
 
-def _low_bytes(values: np.ndarray) -> bytes:
-    """The seven low bytes of each value; the bucket has the high one."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+def _packed_values(values: np.ndarray, bits: int) -> bytes:
+    """Sorted values of one bucket: their gaps in six bytes, or the seven low bytes where a gap is too wide."""
+    low = values & np.uint64((1 << (64 - bits)) - 1)
+    gaps = np.diff(low, prepend=np.uint64(0))
+    size = 6 if gaps.max() < 1 << 48 else 7
+    kept = gaps if size == 6 else low
+    return bytes([size]) + np.ascontiguousarray(kept.view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
 
 
-def _from_low_bytes(data: bytes, high: int) -> np.ndarray:
-    out = np.zeros((len(data) // 7, 8), dtype=np.uint8)
-    out[:, :7] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 7)
-    out[:, 7] = high
-    return out.reshape(-1).view(np.uint64)
+def _unpacked_values(data: bytes, bucket: int, bits: int) -> np.ndarray:
+    size = data[0]
+    out = np.zeros(((len(data) - 1) // size, 8), dtype=np.uint8)
+    out[:, :size] = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(-1, size)
+    low = out.reshape(-1).view(np.uint64)
+    return (np.cumsum(low) if size == 6 else low) + np.uint64(bucket << (64 - bits))
+
+
+def _packed_docs(docs: np.ndarray, of: int) -> bytes:
+    """Numbers of documents below ``of``, in two bytes when they fit."""
+    return docs.astype(np.uint16 if of <= 1 << 16 else np.uint32).tobytes()
+
+
+def _unpacked_docs(data: bytes, of: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint16 if len(data) == 2 * of else np.uint32).astype(np.int64)
 
 
 def _pack(width: int, bits: int):
@@ -114,19 +128,19 @@ def _pack(width: int, bits: int):
             doc, value = (np.concatenate(x) for x in zip(*held, strict=True))
             sizes = np.bincount(doc, minlength=len(ids)).astype(np.int64)
             order = np.lexsort((doc, value))
-            doc, value = doc[order].astype(np.uint32), value[order]
+            doc, value = doc[order], value[order]
             head = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))[: len(value)]
             count = np.diff(np.concatenate((head, [len(value)])))
             several = np.repeat(count > 1, count)
-            rows = [(pack % (1 << bits), pack, doc[several].tobytes(), value[several].tobytes(), None, list(ids), sizes.tobytes())]
+            rows = [(pack % (1 << bits), pack, _packed_docs(doc[several], len(ids)), value[several].tobytes(), None, list(ids), sizes.tobytes())]
             for known in (False, True):
                 at = head[(count > 1) == known]
                 bucket = (value[at] >> np.uint64(64 - bits)).astype(np.int64)
                 edges = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1], [True]))) if len(at) else [0]
                 for a, b in zip(edges[:-1], edges[1:], strict=True):
                     some = at[a:b]
-                    docs = b"" if known else doc[some].tobytes()
-                    rows.append((int(bucket[a]), pack, docs, _low_bytes(value[some]), known, None, None))
+                    docs = b"" if known else _packed_docs(doc[some], len(ids))
+                    rows.append((int(bucket[a]), pack, docs, _packed_values(value[some], bits), known, None, None))
             ids.clear()
             held.clear()
             return pa.RecordBatch.from_pylist([dict(zip(schema.names, row, strict=True)) for row in rows], schema=schema)
@@ -156,8 +170,8 @@ def _meet(bits: int):
         out = group[group["known"].isna()][["pack", "docs", "values", "ids", "sizes"]]
         if met.empty:
             return out
-        high = int(met["bucket"].iloc[0]) >> (bits - 8)
-        parts = [_from_low_bytes(v, high) for v in met["values"]]
+        bucket = int(met["bucket"].iloc[0])
+        parts = [_unpacked_values(v, bucket, bits) for v in met["values"]]
         value = np.concatenate(parts)
         owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         known = met["known"].to_numpy(dtype=bool)
@@ -174,7 +188,9 @@ def _meet(bits: int):
         for i, (pack, docs) in enumerate(zip(met["pack"], met["docs"], strict=True)):
             if edges[i] < edges[i + 1]:
                 at = hit[edges[i] : edges[i + 1]]
-                answers.append((pack, np.frombuffer(docs, np.uint32)[at - begin[i]].tobytes(), value[at].tobytes(), None, None))
+                width = 2 if len(docs) == 2 * len(parts[i]) else 4
+                docs = np.frombuffer(docs, f"u{width}")[at - begin[i]]
+                answers.append((pack, docs.tobytes(), value[at].tobytes(), None, None))
         return pd.concat([out, pd.DataFrame(answers, columns=out.columns)], ignore_index=True) if answers else out
 
     return run
@@ -186,7 +202,7 @@ def _unpack(join: Join):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         head = group[group["sizes"].notna()].iloc[0]
         sizes = np.frombuffer(head["sizes"], np.int64)
-        doc = np.concatenate([np.frombuffer(d, np.uint32) for d in group["docs"]])
+        doc = np.concatenate([_unpacked_docs(d, len(v) // 8) for d, v in zip(group["docs"], group["values"], strict=True)])
         value = np.concatenate([np.frombuffer(v, np.uint64) for v in group["values"]])
         order = np.lexsort((value, doc))
         doc, value = doc[order], value[order]
@@ -539,3 +555,22 @@ def near_components(docs: DataFrame, join: Join = FOUR_WORDS_85) -> DataFrame:
     return sets.join(of_rows.select("row", "component_id"), "row", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def one_of_each(docs: DataFrame, join: Join, columns: list[str]) -> DataFrame:
+    """``columns`` of one row of each component of ``near_components``: the first by doc_id, then by md5 of the text.
+
+    Rows without doc_id come last. Rows without words are linked with nothing and stay. Rows alike in
+    doc_id and text are one row.
+    """
+    doc_id, kind = F.col("doc_id"), dict(docs.dtypes)["doc_id"]
+    if kind != "string":  # so that the order of the names is that of the numbers
+        doc_id = F.lpad((doc_id.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    name = F.concat_ws("-", F.coalesce(doc_id, F.lit("~")), F.md5(whole(F.col("text"))))
+    classes = near_components(docs.select(name.alias("doc_id"), "text"), join)
+    first = (
+        classes.where((F.col("doc_id") == F.col("component_id")) | (F.col("n_shingles") == 0))
+        .select(F.col("doc_id").alias("_name"))
+        .distinct()
+    )
+    return docs.select(*columns, name.alias("_name")).join(first, "_name", "left_semi").dropDuplicates(["_name"]).select(*columns)

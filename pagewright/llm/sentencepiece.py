@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,6 +31,8 @@ NEVER = np.int64(1) << 62
 TEXT_CHARS = 6_000_000
 WORD_CHARS = 400_000
 LONG_WORD = 200
+# encoded words a worker keeps for its next texts; it starts afresh beyond
+KNOWN_WORDS = 500_000
 
 
 @dataclass
@@ -42,6 +45,7 @@ class Pieces:
     model: int
     ids: dict[str, int] = field(init=False)
     bytes_at: list[int] = field(init=False)
+    known: dict[str, bytes] = field(init=False, default_factory=dict)  # words a worker has met, bounded
 
     def __post_init__(self) -> None:
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == NORMAL}
@@ -250,9 +254,14 @@ def encode_texts(texts: list[str], table: Pieces) -> list[np.ndarray]:
         [codes.setdefault(w, len(codes)) for w in table.word.findall(SPACE + text.replace(" ", SPACE))] if text else []
         for text in texts
     ]
-    ids = encode_words(list(codes), table)
-    sizes = np.array([len(i) for i in ids], dtype=np.int64)
-    flat = np.fromiter((x for i in ids for x in i), dtype=np.int32, count=int(sizes.sum()))
+    new = [w for w in codes if w not in table.known]
+    packed = {w: array("i", ids).tobytes() for w, ids in zip(new, encode_words(new, table), strict=True)}
+    parts = [packed[w] if w in packed else table.known[w] for w in codes]
+    if len(table.known) + len(packed) > KNOWN_WORDS:
+        table.known.clear()
+    table.known.update(packed if len(packed) <= KNOWN_WORDS else {})
+    sizes = np.array([len(p) for p in parts], dtype=np.int64) // 4
+    flat = np.frombuffer(b"".join(parts), dtype=np.int32)
     first = np.cumsum(sizes) - sizes
     out = []
     for some in lists:
