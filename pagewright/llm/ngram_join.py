@@ -226,16 +226,17 @@ def _prefixes(join: Join):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, values = [], []
+            rows, values, sizes = [], [], []
             columns = [batch.column(c).to_pylist() for c in ("row", "n_shingles", "shared")]
             for row, n, shared in zip(*columns, strict=True):
                 value = np.frombuffer(shared, np.int64)
                 length = len(value) - join.own_overlap(n) + 1
                 rows.append(np.full(length, row, dtype=np.int64))
                 values.append(value[:length])
+                sizes.append(np.full(length, n, dtype=np.int64))
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(values)), pa.array(np.concatenate(rows))], names=["gram", "row"]
+                    [pa.array(np.concatenate(x)) for x in (values, rows, sizes)], names=["gram", "row", "n_shingles"]
                 )
 
     return run
@@ -467,15 +468,14 @@ def _link_blocks(join: Join):
     return run
 
 
-def _sliced(sets: DataFrame, join: Join) -> DataFrame:
+def _sliced(sizes: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
     """Every pair of slices of a block, each with the rows of both; most blocks are one slice.
 
     Slices hold ``SLICE`` n-grams of sets in order of size; only slices whose sizes allow a link meet.
     """
     before = Window.partitionBy("block").orderBy("n_shingles", "row").rowsBetween(Window.unboundedPreceding, -1)
-    grams = F.length("shared") / 8
     placed = (
-        sets.select("block", "row", "n_shingles", grams.alias("grams"))
+        sizes.select("block", "row", "n_shingles", "grams")
         .withColumn("slice", F.floor(F.coalesce(F.sum("grams").over(before), F.lit(0)) / SLICE).cast("int"))
         .drop("grams")
     )
@@ -529,12 +529,19 @@ def near_components(docs: DataFrame, join: Join = FOUR_WORDS_85) -> DataFrame:
         "same", F.concat_ws("-", F.md5("shared"), F.col("n_shingles").cast("string"), F.when(F.length("shared") < 8 * F.col("n_shingles"), F.col("row").cast("string")))
     )
     classes = stage(may.groupBy("same").agg(F.min("row").alias("row"), F.min("doc_id").alias("least")), "set-classes")
-    first = stage(may.select("row", "n_shingles", "shared").join(classes.select("row"), "row"), "different-sets")
-    grams = stage(first.mapInArrow(_prefixes(join), "gram long, row long"), "prefixes")
-    hubs = grams.groupBy("gram").agg(F.min("row").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
-    met = grams.join(hubs, "gram").select(F.col("row").alias("a"), F.col("hub").alias("b"))
-    blocks = components(met).select(F.col("node").alias("row"), F.col("component").alias("block"))
-    compared = _sliced(first.join(blocks, "row"), join)
+    # only small rows move until it is known which sets meet
+    firsts = classes.select(F.col("row").alias("first"))
+    grams = may.select("row", "n_shingles", "shared").mapInArrow(_prefixes(join), "gram long, row long, n_shingles long")
+    grams = grams.join(firsts, F.col("row") == F.col("first"), "left_semi")
+    # of the sets with one n-gram, neighbours in size; a linked pair has only compatible sizes between
+    by_size = Window.partitionBy("gram").orderBy("n_shingles", "row")
+    met = grams.select(
+        "row", "n_shingles", F.lag("row").over(by_size).alias("before"), F.lag("n_shingles").over(by_size).alias("size_before")
+    ).where(F.col("size_before") * join.of >= F.col("n_shingles") * join.part)
+    blocks = components(met.select(F.col("row").alias("a"), F.col("before").alias("b")))
+    sizes = may.select("row", "n_shingles", (F.length("shared") / 8).alias("grams"))
+    blocked = sizes.join(blocks.select(F.col("node").alias("row"), F.col("component").alias("block")), "row")
+    compared = _sliced(blocked, may, join)
     links = stage(
         compared.select("block", "i", "j", "row", "shared", "n_shingles", "left", "right")
         .repartition("block", "i", "j")
