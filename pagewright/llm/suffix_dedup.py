@@ -205,22 +205,20 @@ def _passage_rows(unit: Unit):
 def repeated_windows(data: np.ndarray, starts: np.ndarray, copies: np.ndarray, unit: Unit) -> np.ndarray:
     """Which windows, by index into ``starts``, equal another one or stand for several ``copies``.
 
-    Most-significant-digit passes: windows are sorted by (group, digit), groups are cut where the
-    digit changes, and groups of one leave.
+    Most-significant-digit passes: windows are sorted by group and digit, mixed into one number,
+    groups are cut where it changes, and groups of one leave.
     """
     runs = Runs(byte_values(data) if data.dtype == np.uint8 else data)
     cuts = np.linspace(0, unit.width, DIGITS + 1).astype(np.int64)
     alive = np.arange(len(starts))
-    group = np.zeros(len(starts), dtype=np.int64)
+    group = np.zeros(len(starts), dtype=np.uint64)
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        digit = runs.fingerprints(starts[alive] + a, starts[alive] + b)
-        order = np.lexsort((digit, group))
-        alive, group, digit = alive[order], group[order], digit[order]
-        new = np.concatenate(([True], (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])))
-        group = np.cumsum(new) - 1
-        size = np.bincount(group)
-        stays = size[group] > 1
-        alive, group = alive[stays], group[stays]
+        digit = mixed(runs.fingerprints(starts[alive] + a, starts[alive] + b) + group)
+        order = np.argsort(digit)
+        alive, digit = alive[order], digit[order]
+        same = digit[1:] == digit[:-1]
+        stays = np.concatenate((same, [False])) | np.concatenate(([False], same))
+        alive, group = alive[stays], digit[stays]
         if not len(alive):
             break
     return np.union1d(alive, np.flatnonzero(copies > 1))
