@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html import unescape
 from urllib.parse import urljoin
 
@@ -29,6 +30,10 @@ MARKUP = re.compile(
     r"|<[!?/][^>]*>",
     re.IGNORECASE | re.DOTALL,
 )
+UNFINISHED = re.compile(r"<(?:/?[a-z]|[!?/])", re.IGNORECASE)
+BARE_TAG = re.compile(
+    r"<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>[^<>]*)>", re.IGNORECASE
+)
 HREF = re.compile(r"""(?:^|[\s"'])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 SPACE = re.compile(r"[ \t\n\f\r\xa0]+")
 
@@ -42,6 +47,22 @@ PAGE_FIELDS = StructType(
 )
 
 
+def _markup(html: str) -> Iterator[re.Match]:
+    """Matches of ``MARKUP`` in one forward pass: a mark that nothing ends makes the rest text."""
+    at = html.find("<")
+    while at >= 0:
+        found = MARKUP.match(html, at)
+        if found is None and UNFINISHED.match(html, at):
+            if html.find(">", at) < 0:
+                return
+            # an open quote: read this page's further tags without regard to quotes
+            yield from BARE_TAG.finditer(html, at)
+            return
+        if found is not None:
+            yield found
+        at = html.find("<", found.end() if found else at + 1)
+
+
 def _squeeze(pieces: list[str]) -> str:
     return SPACE.sub(" ", "".join(pieces)).strip()
 
@@ -63,7 +84,7 @@ def read_fields(html: str) -> tuple[str, str, list[str], str]:
         if in_paragraph:
             paragraphs[-1].append(text)
 
-    for found in MARKUP.finditer(html):
+    for found in _markup(html):
         if found.start() > position:
             write(unescape(html[position : found.start()]))
         position = found.end()
@@ -96,7 +117,7 @@ def read_fields(html: str) -> tuple[str, str, list[str], str]:
 def read_links(url: str, html: str) -> list[str]:
     """Absolute targets of all anchors that carry an href."""
     base, base_seen, targets = url, False, []
-    for found in MARKUP.finditer(html):
+    for found in _markup(html):
         name = (found["name"] or "").lower()
         if found["end"] or name not in ("a", "base"):
             continue

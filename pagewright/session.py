@@ -29,6 +29,7 @@ RUNTIME_SETTINGS = {
 
 
 _shipped: set[str] = set()
+_staged: list[str] = []
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -87,10 +88,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_staged(spark: SparkSession) -> None:
+    """Remove the tables written by ``stage`` so far; for jobs whose results are all stored by now."""
+    while _staged:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint, which keeps the partitioning of ``df`` (``stage`` does not)."""
     sc = df.sparkSession.sparkContext
