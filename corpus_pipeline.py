@@ -1,4 +1,8 @@
-"""Documents to training data: five stages, each one operator of ``pagewright.llm``."""
+"""Documents to training data: five stages, each one operator of ``pagewright.llm``.
+
+A stage's input is a stored table, so a stage begins by removing what its predecessors had written
+for themselves.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.llm import mixing, ngram_join, quality_rules, sentencepiece, suffix_dedup
-from pagewright.session import scratch_path, tune
+from pagewright.session import release_staged, scratch_path, tune
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -16,11 +20,13 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that they reject go."""
+    release_staged(spark)
     return quality_rules.keep_good(docs, COLUMNS)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join on five words at 0.8: of documents that hang together the first stays."""
+    release_staged(spark)
     return ngram_join.one_of_each(docs, ngram_join.FIVE_WORDS_80, COLUMNS)
 
 
@@ -29,6 +35,7 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Every document stays, with what is left of its text, which may be nothing.
     """
+    release_staged(spark)
     cut = suffix_dedup.remove_repeats(docs, suffix_dedup.WORDS_50, tuple(COLUMNS))
     text = F.col("kept").cast("string")
     changed = F.col("n_removed") > 0
@@ -40,11 +47,13 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: whole documents, a row for each time one is taken."""
+    release_staged(spark)
     return mixing.mixed_documents(docs, COLUMNS)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece: the token ids of each text, and whether they decode to it."""
+    release_staged(spark)
     return sentencepiece.encode_documents(docs, sentencepiece.load(MODEL_PATH), ("doc_id", "lang", "source"))
 
 
