@@ -24,7 +24,7 @@ RUNTIME_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     # web pages are large rows, so bound a Python batch by bytes as well as by rows
-    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8388608",
 }
 
 
