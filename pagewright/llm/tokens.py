@@ -13,7 +13,7 @@ import numpy as np
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 2**64)
 # texts are worked on in pieces of about this many bytes, longer texts on their own
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
