@@ -32,13 +32,15 @@ def _(t):
     return pagerank.repair_sinks(t.sql(I.BIPARTITE))
 
 
+# all links; those to a URL that ends in 7 lead to a file without links
+FILE_LINKS = f"SELECT source, CASE WHEN dest LIKE '%7' THEN concat(dest, '.pdf') ELSE dest END AS dest FROM ({I.LINKS}) l"
+
+
 @query("G4_url_level_cleaning", f"""
-WITH links AS ({I.LINKS} AND a.l_returnflag = 'R' AND b.l_discount >= 0.08), e AS (SELECT source, dest FROM links WHERE source <> dest)
-SELECT dest AS source, source AS dest FROM e WHERE dest NOT IN (SELECT source FROM e) UNION SELECT source, dest FROM e"""
-       .replace("ON sb.s_suppkey = b.l_suppkey AND", "ON sb.s_suppkey = b.l_suppkey WHERE"))
+WITH links AS ({FILE_LINKS}), e AS (SELECT source, dest FROM links WHERE source <> dest)
+SELECT dest AS source, source AS dest FROM e WHERE dest NOT IN (SELECT source FROM e) UNION SELECT source, dest FROM e""")
 def _(t):
-    links = t.sql(I.LINKS + " WHERE a.l_returnflag = 'R' AND b.l_discount >= 0.08")
-    return pagerank.clean_url_graph(links)
+    return pagerank.clean_url_graph(t.sql(FILE_LINKS))
 
 
 @query("G5_out_weights", f"WITH {REPAIRED} SELECT source, round(1.0 / count(*), 8) AS out_weight FROM repaired GROUP BY source")

@@ -46,12 +46,12 @@ JOIN {{lineitem}} b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_line
 JOIN {{supplier}} sa ON sa.s_suppkey = a.l_suppkey
 JOIN {{supplier}} sb ON sb.s_suppkey = b.l_suppkey"""
 
-# (source, dest): part to next part of the same order
+# (source, dest): part to next part of the same order; what points to every seventh part points to a
+# node without links instead
 EDGES = """
-SELECT DISTINCT a.l_partkey AS source, b.l_partkey AS dest
+SELECT DISTINCT a.l_partkey AS source, CASE WHEN b.l_partkey % 7 = 0 THEN -b.l_partkey ELSE b.l_partkey END AS dest
 FROM {lineitem} a JOIN {lineitem} b
-  ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1
-WHERE a.l_returnflag = 'R' AND b.l_discount >= 0.08"""
+  ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1"""
 
 # (source, dest): customer to supplier, every supplier a sink
 BIPARTITE = """
@@ -142,6 +142,11 @@ fields AS (
     list_reduce(list_prepend('', paragraphs), lambda t, p: CASE WHEN length(t) < 300 THEN t || p || ' ' ELSE t END) AS preview,
     {_shown(_NO_TAGS.format("regexp_extract(h, '<body>(.*)$', 1, 's')"))} AS body
   FROM parts)"""
+# stored(id, text, headers, title): pages and plain texts, none of which holds a tag
+STORED_SQL = f"""{PAGE_FIELDS_SQL},
+stored AS (
+  SELECT id, title || ' ' || body AS text, headers, title FROM fields
+  UNION ALL SELECT doc_id + 1000000, {_shown('text')}, '', '' FROM {{documents}})"""
 LINKS_SQL = """
 anchors AS (SELECT url AS source, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM {pages}),
 normal_links AS (

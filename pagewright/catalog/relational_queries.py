@@ -46,14 +46,12 @@ def _(t):
 
 
 @query("J5_iteration_diff_join", """
-SELECT l_partkey AS node, round(abs(max(l_quantity) - max(l_tax)), 8) AS diff FROM lineitem
-WHERE l_partkey IN (SELECT p_partkey FROM part WHERE p_size > 10) GROUP BY l_partkey""")
+WITH before AS (SELECT l_partkey AS node, max(l_quantity) AS before FROM lineitem GROUP BY 1),
+after AS (SELECT o_custkey AS node, max(o_totalprice) AS after FROM orders GROUP BY 1)
+SELECT node, round(abs(before - after), 8) AS diff FROM before JOIN after USING (node)""")
 def _(t):
-    by_part = t.lineitem.groupBy(F.col("l_partkey").alias("node"))
-    after = by_part.agg(F.max("l_tax").alias("after"))
-    before = by_part.agg(F.max("l_quantity").alias("before")).join(
-        t.part.where("p_size > 10").select(F.col("p_partkey").alias("node")), "node", "left_semi"
-    )
+    before = t.lineitem.groupBy(F.col("l_partkey").alias("node")).agg(F.max("l_quantity").alias("before"))
+    after = t.orders.groupBy(F.col("o_custkey").alias("node")).agg(F.max("o_totalprice").alias("after"))
     return before.join(after, "node").select("node", F.round(F.abs(F.col("before") - F.col("after")), 8).alias("diff"))
 
 
@@ -70,13 +68,13 @@ def _(t):
 
 @query("J7_score_document_rank", """
 WITH scores AS (SELECT o_custkey AS qid, o_orderkey AS id, o_totalprice / 100000 AS score FROM orders),
-ranks AS (SELECT l_orderkey AS id, sum(l_discount) AS rank FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+ranks AS (SELECT l_partkey AS id, sum(l_discount) AS rank FROM lineitem GROUP BY 1)
 SELECT qid, id, round(score + rank, 8) AS score FROM scores JOIN ranks USING (id)""")
 def _(t):
     scores = t.orders.select(
         F.col("o_custkey").alias("qid"), F.col("o_orderkey").alias("id"), (F.col("o_totalprice") / 100000).alias("score")
     )
-    ranks = t.lineitem.where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("id")).agg(F.sum("l_discount").alias("rank"))
+    ranks = t.lineitem.groupBy(F.col("l_partkey").alias("id")).agg(F.sum("l_discount").alias("rank"))
     return search.with_document_rank(scores, ranks).select("qid", "id", F.round("score", 8).alias("score"))
 
 

@@ -17,16 +17,18 @@ def _(t):
     return src.read_table(t.spark, f"{t.folder}/documents.parquet", 8).select("doc_id", "lang", "n_chars")
 
 
-CLEANED = """
-SELECT u1.url AS source, u2.url AS dest
-FROM {links} l JOIN {urls} u1 ON l.source = u1.url JOIN {urls} u2 ON l.dest = u2.url
-WHERE u1.url <> u2.url"""
+# links between two different pages that were both crawled
+INNER_LINKS = """
+SELECT link.source, link.dest FROM {links} link
+WHERE link.dest <> link.source
+  AND EXISTS (SELECT 1 FROM {urls} page WHERE page.url = link.source)
+  AND EXISTS (SELECT 1 FROM {urls} page WHERE page.url = link.dest)"""
 
 
 @query("S2_pushed_query", f"WITH links AS ({I.LINKS}), urls AS ({I.URLS}) "
-       + CLEANED.format(links="links", urls="urls"))
+       + INNER_LINKS.format(links="links", urls="urls"))
 def _(t):
-    return src.read_query(t.spark, CLEANED, links=t.sql(I.LINKS), urls=t.sql(I.URLS))
+    return src.read_query(t.spark, INNER_LINKS, links=t.sql(I.LINKS), urls=t.sql(I.URLS))
 
 
 @query("S3_key_lookup", """SELECT doc_id, source, n_chars FROM documents
@@ -35,12 +37,12 @@ def _(t):
     return ops.by_keys(t.documents, t.labels.where("toxic = 1"), "doc_id", ["doc_id", "source", "n_chars"])
 
 
-@query("S4_overwrite_keep_definition", "SELECT s_suppkey AS id, s_acctbal AS balance FROM supplier WHERE s_acctbal > 0")
+@query("S4_overwrite_keep_definition", "SELECT c_custkey AS id, c_acctbal AS balance FROM customer")
 def _(t):
     path = scratch_path(t.spark, "overwrite")
-    supplier = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("balance"))
-    src.recreate_table(supplier, path)
-    return src.overwrite_table(supplier.where("balance > 0").withColumn("id", F.col("id").cast("int")), path)
+    src.recreate_table(t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("balance")), path)
+    customers = t.customer.select(F.col("c_custkey").cast("int").alias("id"), F.col("c_acctbal").alias("balance"))
+    return src.overwrite_table(customers, path)
 
 
 @query("S5_drop_and_recreate", "SELECT s_suppkey, s_name FROM supplier")

@@ -31,21 +31,33 @@ def _(t):
     return inverted.select("id", "term", F.round("weight", 8).alias("weight"))
 
 
-FIELD_COUNTS_SQL = f"""{I.PAGE_FIELDS_SQL},
+# the page form of the index without stems: every stored document counts
+@query("X1_page_index", f"""
+WITH {I.STORED_SQL}, docs AS (SELECT id, text FROM stored), tokens AS ({I.index_tokens_sql()}),
+per_term AS (SELECT id, term, count(*) AS n FROM tokens WHERE {I.KEPT} GROUP BY id, term),
+tf AS (SELECT id, term, 0.5 + 0.5 * n / max(n) OVER (PARTITION BY id) AS tf FROM per_term),
+idfs AS (SELECT term, ln((SELECT count(*) FROM docs) / (count(*) + 1.0)) AS idf FROM tf GROUP BY term)
+SELECT id, term, round(tf * idf, 8) AS weight FROM tf JOIN idfs USING (term)""")
+def _(t):
+    inverted, _ = index.build_index(content.page_texts(t.sql(I.CRAWLER_DOCS)), stem=False)
+    return inverted.select("id", "term", F.round("weight", 8).alias("weight"))
+
+
+FIELD_COUNTS_SQL = f"""{I.STORED_SQL},
 boosted AS (
-  SELECT id, u.t AS raw, 1 AS boost FROM fields, unnest({I.SPLIT.format("regexp_replace(body, '[^\\x01-\\x7F]', '', 'g')")}) u(t)
-  UNION ALL SELECT id, u.t, 4 FROM fields, unnest({I.SPLIT.format('headers')}) u(t)
-  UNION ALL SELECT id, u.t, 10 FROM fields, unnest({I.SPLIT.format('title')}) u(t)),
+  SELECT id, u.t AS raw, 1 AS boost FROM stored, unnest({I.SPLIT.format('text')}) u(t)
+  UNION ALL SELECT id, u.t, 4 FROM stored, unnest({I.SPLIT.format('headers')}) u(t)
+  UNION ALL SELECT id, u.t, 10 FROM stored, unnest({I.SPLIT.format('title')}) u(t)),
 field_terms AS (SELECT id, regexp_replace(raw, '^[^a-z0-9]+', '') AS term, boost FROM boosted WHERE raw <> ''),
 field_n AS (SELECT id, term, sum(boost) AS n FROM field_terms WHERE term <> '' AND term NOT IN ({I.STOP_LIST}) GROUP BY id, term),
 field_tf AS (SELECT id, term, 0.4 + 0.6 * n / max(n) OVER (PARTITION BY id) AS tf FROM field_n),
-field_idf AS (SELECT term, ln((SELECT count(*) FROM fields) / (count(*) + 1.0)) AS idf FROM field_tf GROUP BY term)"""
+field_idf AS (SELECT term, ln((SELECT count(*) FROM stored) / (count(*) + 1.0)) AS idf FROM field_tf GROUP BY term)"""
 
 
 @query("X2_field_weighted_index", f"""
 WITH {FIELD_COUNTS_SQL} SELECT id, term, round(tf * idf, 8) AS weight FROM field_tf JOIN field_idf USING (term)""")
 def _(t):
-    inverted, _ = index.build_field_index(content.page_content(t.sql(I.CRAWLER_DOCS)), stem=False)
+    inverted, _ = index.build_field_index(content.field_texts(t.sql(I.CRAWLER_DOCS)), stem=False)
     return inverted.select("id", "term", F.round("weight", 8).alias("weight"))
 
 

@@ -10,15 +10,18 @@ from pagewright.functions.url import crawl_domain, file_path
 from pagewright.operators.scale import salted_lookup
 
 AGENT = "pagewright"
-SPECIAL_CHARACTERS = r"([<(\[{\\^\-=$!|\]})?+.>])"
+
+
+def _quoted(literal: Column) -> Column:
+    """Regex that matches ``literal`` as it stands; an end mark inside is quoted by itself."""
+    return F.concat(F.lit(r"\Q"), F.replace(literal, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
 
 
 def pattern_regex(template: Column) -> Column:
     """Robots path pattern as an anchored regex: ``*`` is any text, a final ``$`` an exact end."""
     exact = template.endswith("$")
     stem = F.when(exact, template.substr(F.lit(1), F.length(template) - 1)).otherwise(template)
-    escaped = F.regexp_replace(stem, SPECIAL_CHARACTERS, r"\\$1")
-    body = F.regexp_replace(escaped, r"\*", ".*")
+    body = F.array_join(F.transform(F.split(stem, r"\*", -1), _quoted), ".*")
     return F.concat(F.lit("^"), body, F.when(exact, "$").otherwise(".*$"))
 
 

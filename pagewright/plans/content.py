@@ -34,14 +34,13 @@ def ascii_text(text: Column) -> Column:
 
 
 def parsed_pages(docs: DataFrame) -> DataFrame:
-    """(id, page) with the fields of each HTML document read once."""
-    html = spread(docs.where(contains_html(F.col("type"))).select("id", "content"))
-    return html.select("id", page_fields(F.col("content")).alias("page"))
+    """(id, page) with the fields of each document read once; plain text is all body."""
+    return spread(docs.select("id", "content")).select("id", page_fields(F.col("content")).alias("page"))
 
 
 def page_content(docs: DataFrame) -> DataFrame:
-    """The content table: id, title, content (preview), headers, body."""
-    return parsed_pages(docs).select(
+    """The content table of the HTML documents: id, title, content (preview), headers, body."""
+    return parsed_pages(docs.where(contains_html(F.col("type")))).select(
         "id",
         F.col("page.title").alias("title"),
         preview(F.col("page.paragraphs")).alias("content"),
@@ -51,10 +50,17 @@ def page_content(docs: DataFrame) -> DataFrame:
 
 
 def page_texts(docs: DataFrame) -> DataFrame:
-    """(id, text) for the index: title and body text, markup removed."""
+    """(id, text) for the index: title and body text of every document, markup removed."""
     return parsed_pages(docs).select("id", full_text(F.col("page")).alias("text"))
 
 
+def field_texts(docs: DataFrame) -> DataFrame:
+    """(id, text, headers, title) of every document; the text holds headers and title too."""
+    return parsed_pages(docs).select(
+        "id", full_text(F.col("page")).alias("text"), "page.headers", "page.title"
+    )
+
+
 def raw_links(pages: DataFrame) -> DataFrame:
     """(source, dest) for every anchor of an HTML page; targets absolute but not normalised."""
     html = spread(pages.where(starts_html(F.col("type"))).select("url", "document"))

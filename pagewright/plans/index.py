@@ -15,7 +15,7 @@ from pagewright.session import stage
 SMOOTHING = 0.5
 FIELD_SMOOTHING = 0.4
 # occurrences in a heading or title count on top of the one in the page text
-FIELD_BOOSTS = {"body": 1, "headers": 4, "title": 10}
+FIELD_BOOSTS = {"text": 1, "headers": 4, "title": 10}
 
 
 def term_counts(

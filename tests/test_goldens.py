@@ -316,6 +316,29 @@ def test_page_fields(spark):
     assert (rows[3].title, rows[3].content, rows[3].headers, rows[3].body) == ("", "", "", "")
     texts = {r.id: r.text for r in content.page_texts(docs).collect()}
     assert texts[1].startswith("A & B c t1 one")
+    assert (texts[2], texts[3]) == ("x", "")
+
+
+def test_field_index_counts_title_words_in_the_text_too(spark):
+    docs = spark.createDataFrame(
+        [(1, "<title>fox</title><h1>caf\xe9</h1><p>fox hen", "text/html"), (2, "plain hen", "text/plain")],
+        "id long, content string, type string",
+    )
+    counts = index.field_counts(content.field_texts(docs), stem=False).collect()
+    assert {(r.id, r.term): r.n for r in counts} == {
+        (1, "fox"): 12, (1, "caf\xe9"): 5, (1, "hen"): 1, (2, "plain"): 1, (2, "hen"): 1,
+    }
+
+
+def test_robots_pattern_is_quoted(spark):
+    patterns = ["/a.b*c$", "/q\\E(1)+", "/x*", "*.gif$", ""]
+    paths = ["/a.b/c", "/axb/c", "/q\\E(1)+z", "/x", "/i.gif", "/i.gifs"]
+    rows = spark.createDataFrame([(p, q) for p in patterns for q in paths], "pattern string, path string")
+    hits = rows.where(F.regexp_like("path", robots.pattern_regex(F.col("pattern")))).collect()
+    assert {tuple(r) for r in hits} == {
+        ("/a.b*c$", "/a.b/c"), ("/q\\E(1)+", "/q\\E(1)+z"), ("/x*", "/x"), ("*.gif$", "/i.gif"),
+        *(("", path) for path in paths),
+    }
 
 
 def test_links(spark):
