@@ -6,6 +6,7 @@ from pagewright.catalog import inputs as I
 from pagewright.catalog.registry import query
 from pagewright.catalog.relational_queries import REPAIRED
 from pagewright.plans import pagerank
+from pagewright.session import stage
 
 CRAWLED = f"""
 links AS ({I.LINKS}), urls AS ({I.URLS}), crawled AS (
@@ -29,7 +30,7 @@ def _(t):
 WITH e AS ({I.BIPARTITE})
 SELECT dest AS source, source AS dest FROM e WHERE dest NOT IN (SELECT source FROM e) UNION SELECT source, dest FROM e""")
 def _(t):
-    return pagerank.repair_sinks(t.sql(I.BIPARTITE))
+    return pagerank.repair_sinks(stage(t.sql(I.BIPARTITE), "edges"))
 
 
 # all links; those to a URL that ends in 7 lead to a file without links
@@ -43,15 +44,20 @@ def _(t):
     return pagerank.clean_url_graph(t.sql(FILE_LINKS))
 
 
+def repaired(t):
+    """The sink-repaired links, stored: several steps read them."""
+    return stage(pagerank.repair_sinks(stage(t.sql(I.EDGES), "edges")), "repaired")
+
+
 @query("G5_out_weights", f"WITH {REPAIRED} SELECT source, round(1.0 / count(*), 8) AS out_weight FROM repaired GROUP BY source")
 def _(t):
-    weights = pagerank.out_weights(pagerank.repair_sinks(t.sql(I.EDGES)))
+    weights = pagerank.out_weights(repaired(t))
     return weights.select("source", F.round("out_weight", 8).alias("out_weight"))
 
 
 @query("G6_initial_ranks", f"WITH {REPAIRED} SELECT DISTINCT source AS node, CAST(1.0 AS DOUBLE) AS rank FROM repaired")
 def _(t):
-    return pagerank.initial_ranks(pagerank.repair_sinks(t.sql(I.EDGES)))
+    return pagerank.initial_ranks(repaired(t))
 
 
 def steps_sql(edges: str, last: int) -> str:
@@ -73,14 +79,14 @@ normal AS (SELECT node AS domain, (rank - (SELECT min(rank) FROM standard)) / (S
 
 @query("G7_rank_step", steps_sql(I.EDGES, 0) + " SELECT node, round(rank, 8) AS rank FROM ranks WHERE step = 0")
 def _(t):
-    edges = pagerank.repair_sinks(t.sql(I.EDGES))
+    edges = repaired(t)
     step = pagerank.rank_step(edges, pagerank.out_weights(edges), pagerank.initial_ranks(edges))
     return step.select("node", F.round("rank", 8).alias("rank"))
 
 
 @query("G8_iterate_to_convergence", steps_sql(I.EDGES, 100) + " SELECT node, round(rank, 6) AS rank FROM final")
 def _(t):
-    ranks = pagerank.iterate_ranks(pagerank.repair_sinks(t.sql(I.EDGES)))
+    ranks = pagerank.iterate_ranks(repaired(t))
     return ranks.select("node", F.round("rank", 6).alias("rank"))
 
 

@@ -153,3 +153,24 @@ normal_links AS (
   SELECT source, regexp_extract(source, '^(https?://[^/]+)', 1)
     || CASE WHEN source LIKE 'https:%' THEN ':443' ELSE ':80' END || href AS dest
   FROM anchors)"""
+
+
+def best_sql(source: str, k: int) -> str:
+    """The ``k`` best rows per query of ``source``, a select of (qid, id, score)."""
+    return f"""
+WITH {WEIGHTS_SQL}, scored AS ({source}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 12) DESC NULLS LAST, id) AS place FROM scored)
+SELECT qid, id, round(score, 6) AS score FROM ranked WHERE place <= {k}"""
+
+
+# (id, lcs) of the strings (id, a, b) in texts: one step per character of a, a row per character of b
+LCS_SQL = """
+letters AS (SELECT id, unnest(regexp_extract_all(b, '(?s:.)')) AS letter, generate_subscripts(regexp_extract_all(b, '(?s:.)'), 1) AS j FROM texts),
+steps(i, id, j, letter, v) AS (
+  SELECT 0, id, j, letter, 0 FROM letters
+  UNION ALL
+  SELECT i, id, j, letter, CAST(max(c) OVER (PARTITION BY id ORDER BY j) AS INTEGER) FROM (
+    SELECT i + 1 AS i, steps.id, j, letter,
+      CASE WHEN substr(a, i + 1, 1) = letter THEN 1 + coalesce(lag(v) OVER (PARTITION BY steps.id ORDER BY j), 0) ELSE v END AS c
+    FROM steps JOIN texts ON steps.id = texts.id WHERE i < length(a))),
+common AS (SELECT id, max(v) AS lcs FROM steps GROUP BY id)"""

@@ -9,7 +9,7 @@ from pagewright.functions.similarity import longest_common_subsequence
 from pagewright.functions.stem import stem_all
 from pagewright.operators import gates
 from pagewright.operators.robots import pattern_regex
-from pagewright.operators.scale import spread
+from pagewright.operators.scale import spread, top_k_per_group
 from pagewright.plans import index, search
 from pagewright.plans.content import raw_links
 from pagewright.streaming.grouping import domain_sharding
@@ -117,8 +117,9 @@ pages_of AS (SELECT qid, CAST(ceil(count(*) / 10.0) AS BIGINT) AS total_pages FR
 SELECT qid, id, rank, total_pages FROM ranked JOIN pages_of USING (qid) WHERE rank BETWEEN 11 AND 20""")
 def _(t):
     scored = t.events.select(F.col("user_id").alias("qid"), F.col("event_id").alias("id"), F.col("value").alias("score"))
-    ranked = search.final_order(scored).select("qid", "id", F.col("rank").cast("long").alias("rank"))
-    return search.result_page(ranked, 2).join(search.page_counts(ranked), "qid")
+    first_pages = top_k_per_group(scored, ["qid"], search.by_score(), 20, "id")
+    ranked = first_pages.select("qid", "id", F.col("rank").cast("long").alias("rank"))
+    return search.result_page(ranked, 2).join(search.page_counts(scored), "qid")
 
 
 # ---- functions --------------------------------------------------------------------------------
@@ -178,14 +179,17 @@ def score_query(name: str, scores, sql: str):
     def _(t):
         inverted, idfs = index.build_index(t.sql(I.TEXTS), stem=False)
         weights = search.query_weights(search.query_counts(t.sql(I.QUERIES), stem=False), idfs)
-        return scores(inverted, weights).select("qid", "id", F.round("score", 6).alias("score"))
+        found = search.top_scores(scores(inverted, weights), search.EARLY_CANDIDATES)
+        return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
-score_query("F8_cosine", search.cosine_scores, f"WITH {I.WEIGHTS_SQL} SELECT qid, id, round(score, 6) AS score FROM cosines")
-score_query("F9_dot_product", search.dot_scores, f"WITH {I.WEIGHTS_SQL} SELECT qid, id, round(dot, 6) AS score FROM dots")
+score_query("F8_cosine", search.cosine_scores, I.best_sql("SELECT * FROM cosines", 100))
+score_query("F9_dot_product", search.dot_scores, I.best_sql("SELECT qid, id, dot AS score FROM dots", 100))
 
 
-@query("F10_common_subsequence")
+@query("F10_common_subsequence", f"""
+WITH RECURSIVE texts AS (SELECT page_id AS id, lower(url) AS a, lower(html) AS b FROM pages), {I.LCS_SQL}
+SELECT id AS page_id, CASE WHEN a IS NULL OR b IS NULL THEN NULL ELSE coalesce(lcs, 0) END AS lcs FROM texts LEFT JOIN common USING (id)""")
 def _(t):
     pairs = t.pages.select("page_id", F.lower("url").alias("a"), F.lower("html").alias("b"))
     return pairs.select("page_id", longest_common_subsequence(F.col("a"), F.col("b")).alias("lcs"))

@@ -67,26 +67,26 @@ def scores_of(t, scorer):
     return scorer(inverted, weights)
 
 
-def top(source: str, k: int) -> str:
-    return f"""
-WITH {I.WEIGHTS_SQL}, scored AS ({source}),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 12) DESC NULLS LAST, id) AS place FROM scored)
-SELECT qid, id, round(score, 6) AS score FROM ranked WHERE place <= {k}"""
+@query("X3_search_cosine", I.best_sql("SELECT * FROM cosines", 2000))
+def _(t):
+    found = search.top_scores(scores_of(t, search.cosine_scores), search.CANDIDATES)
+    return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
-@query("X3_search_cosine", top("SELECT * FROM cosines", 2000))
+# a k that cuts every query's matches
+@query("X3_search_cosine_top_50", I.best_sql("SELECT * FROM cosines", 50))
 def _(t):
-    found = search.top_scores(scores_of(t, search.cosine_scores), search.CANDIDATES)
+    found = search.top_scores(scores_of(t, search.cosine_scores), 50)
     return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
-@query("X4_search_dot_product", top("SELECT qid, id, dot AS score FROM dots", 100))
+@query("X4_search_dot_product", I.best_sql("SELECT qid, id, dot AS score FROM dots", 100))
 def _(t):
     found = search.top_scores(scores_of(t, search.dot_scores), search.EARLY_CANDIDATES)
     return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
-@query("X5_search_cosine_plus_rank", top(
+@query("X5_search_cosine_plus_rank", I.best_sql(
     "SELECT qid, c.id, score + quality / 4.0 AS score FROM cosines c JOIN labels ON doc_id = c.id", 100))
 def _(t):
     ranks = t.labels.select(F.col("doc_id").alias("id"), (F.col("quality") / 4.0).alias("rank"))
@@ -112,7 +112,9 @@ pairs AS (SELECT id, lower(query) AS query, title, headers, preview FROM hosts J
 
 
 def pairs(t):
-    fields = content.page_content(t.sql(I.CRAWLER_DOCS)).withColumnRenamed("content", "preview")
+    # read by the pairs and by the query texts, so parsed once
+    parsed = stage(content.page_content(t.sql(I.CRAWLER_DOCS)), "content")
+    fields = parsed.withColumnRenamed("content", "preview")
     urls = t.pages.select(F.col("page_id").alias("id"), F.regexp_extract("url", "//([^/]+)", 1).alias("host"))
     hosts = fields.join(urls, "id")
     asked = hosts.groupBy("host").agg(F.min("title").alias("query"))
@@ -125,27 +127,36 @@ def details(rows):
     return terms.withColumn("idf", idf).withColumn("stems", search.stem_all(F.col("terms")))
 
 
-def term_bonus_query(name: str, field: str, strict: bool = False):
-    @query(name)
+def term_bonus_query(name: str, field: str, strict: bool = False, sql: str | None = None):
+    @query(name, sql)
     def _(t):
         earned = search.term_bonus(field, F.col(field), F.col("terms"), F.col("stems"), F.col("idf"), strict)
         return details(pairs(t)).select("id", F.round(earned, 8).alias("bonus"))
 
 
 term_bonus_query("X7_title_term_bonus", "title")
-term_bonus_query("X10_header_term_bonus", "headers")
+# by default no stem is tested in headers: each term that is not met earns the stem bonus
+term_bonus_query("X10_header_term_bonus", "headers", sql=f"""{PAIRS_SQL},
+asked_terms AS (SELECT id, unnest({I.SPLIT.format('query')}) AS term, {I.SPLIT.format('headers')} AS words FROM pairs),
+earned AS (SELECT id, sum(CASE WHEN list_contains(words, term) THEN 0.005 ELSE CAST(0.003 AS DOUBLE) * length(term) / 10 END) AS bonus
+  FROM asked_terms WHERE term <> '' GROUP BY id)
+SELECT id, round(coalesce(bonus, 0.0), 8) AS bonus FROM pairs LEFT JOIN earned USING (id)""")
 term_bonus_query("X10_header_term_bonus_strict", "headers", strict=True)
 
 
-def sequence_query(name: str, field: str):
-    @query(name)
+def sequence_query(name: str, field: str, factor: float):
+    sql = f"""{PAIRS_SQL.replace("WITH", "WITH RECURSIVE", 1)}, texts AS (SELECT id, query AS a, lower({field}) AS b FROM pairs), {I.LCS_SQL}
+SELECT id, round(CASE WHEN coalesce(lcs, 0) >= 0.9 * length(query) AND query <> '' THEN ln(length(query)) * {factor} * lcs / length(query) ELSE 0.0 END, 8) AS bonus
+FROM pairs LEFT JOIN common USING (id)"""
+
+    @query(name, sql)
     def _(t):
         earned = search.sequence_bonus(field, F.col(field), F.col("query"))
         return pairs(t).select("id", F.round(earned, 8).alias("bonus"))
 
 
-sequence_query("X8_title_sequence_bonus", "title")
-sequence_query("X11_header_sequence_bonus", "headers")
+sequence_query("X8_title_sequence_bonus", "title", 0.06)
+sequence_query("X11_header_sequence_bonus", "headers", 0.03)
 
 
 def contains_query(name: str, field: str, factor: float):

@@ -134,5 +134,5 @@ def _stem_arrays(terms: pd.Series) -> pd.Series:
 
 
 def stem_all(terms: Column) -> Column:
-    """Porter2 stems of an array of lower-case words, in the same order."""
+    """Porter2 stems of an array of words, in the same order; the rules apply to lower-case letters."""
     return once(_stem_arrays)(terms)

@@ -30,6 +30,11 @@ def _non_empty(tokens: Column) -> Column:
     return F.filter(tokens, lambda t: t != "")
 
 
+def typed_terms(text: Column) -> Column:
+    """Pieces between separators as they are written, in order, duplicates kept."""
+    return _non_empty(F.split(blank_if_null(text), SEPARATOR))
+
+
 def raw_terms(text: Column) -> Column:
     """Lower-case pieces between separators, in order, duplicates kept."""
     return _non_empty(F.split(F.lower(blank_if_null(text)), SEPARATOR))

@@ -2,48 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagewright.session import stage
 
-SALTS = 32
 HOT_SHARE = 1000
 TRACKED_ITEMS = 4000
 MERGE_GROUPS = 128
-BROADCAST_BYTES = 64 * 1024 * 1024
-PUSHED_KEYS = 500
+SLICES_PER_PARTITION = 8
+TOP_K_SLICES = 32
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy work on a few input splits all cores; large inputs are left as scanned."""
-    if df.isStreaming:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Repartition the input of CPU-heavy work when the session asks for it.
 
-
-def broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
-    """Broadcast hint only when the counted rows fit; otherwise the planner is left to choose."""
-    return F.broadcast(df) if fits_broadcast(rows, bytes_per_row) else df
-
-
-def fits_broadcast(rows: int, bytes_per_row: int) -> bool:
-    return rows * bytes_per_row <= BROADCAST_BYTES
+    ``spark.pagewright.inputPartitions`` is for tables of one small file; without it rows stay as scanned.
+    """
+    parts = df.sparkSession.conf.get("spark.pagewright.inputPartitions", None)
+    return df.repartition(int(parts)) if parts and not df.isStreaming else df
 
 
-def only_keys(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Push ``key IN (...)`` into the scan of ``table`` when ``keys`` holds few values.
+def slices_of(rows: Column, total: Column) -> Column:
+    """Over how many slices a key with ``rows`` of ``total`` rows is split.
 
-    On a table sorted by ``key`` this skips most row groups. With more values the table is returned
-    as it is; the join that follows selects the rows either way.
+    It follows the key's share, so a slice holds an eighth of a mean shuffle partition however large
+    the key is, and what hashes to one partition stays near the mean.
     """
-    few = keys.select(key).distinct().limit(PUSHED_KEYS + 1).collect()
-    return table.where(F.col(key).isin([row[0] for row in few])) if len(few) <= PUSHED_KEYS else table
+    parts = int(SparkSession.active().conf.get("spark.sql.shuffle.partitions"))
+    return F.greatest(F.ceil(rows / total * (SLICES_PER_PARTITION * parts)), F.lit(1)).cast("int")
 
 
 def hot_keys(df: DataFrame, *keys: str) -> dict[str, DataFrame]:
-    """For each column, the values that hold at least ``1/HOT_SHARE`` of the rows.
+    """For each column, (value, slices) of the values that hold at least ``1/HOT_SHARE`` of the rows.
 
     One pass with a frequent-items sketch, merged in two levels; no key is shuffled. The sketch never
     misses such a value, and what it lists too much only costs a few more copies. Each result has at
@@ -55,6 +46,8 @@ def hot_keys(df: DataFrame, *keys: str) -> dict[str, DataFrame]:
             F.count("*").alias("_rows"),
             *[F.expr(f"approx_top_k_accumulate({key}, {TRACKED_ITEMS})").alias(key) for key in keys],
         )
+        # grouped by a constant: a task without rows then has no sketch to combine
+        .groupBy(F.lit("all"))
         .agg(
             F.sum("_rows").alias("_rows"),
             *[F.expr(f"approx_top_k_combine({key}, {TRACKED_ITEMS})").alias(key) for key in keys],
@@ -66,7 +59,7 @@ def hot_keys(df: DataFrame, *keys: str) -> dict[str, DataFrame]:
         return (
             merged.select("_rows", found)
             .where(F.col("_found.count") * HOT_SHARE >= F.col("_rows"))
-            .select(F.col("_found.item").alias(key))
+            .select(F.col("_found.item").alias(key), slices_of(F.col("_found.count"), F.col("_rows")).alias("slices"))
         )
 
     return {key: listed(key) for key in keys}
@@ -79,29 +72,31 @@ def salted_lookup(
     how: str,
     spread_by: list[str],
     hot: DataFrame | None = None,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``facts`` with a table that has at most one row per ``key``.
 
-    Rows of hot keys are split over ``salts`` partitions by a hash of ``spread_by``; only the lookup
-    rows of those keys are repeated. The hot list is broadcast, which is safe because at most
-    ``HOT_SHARE`` keys can hold ``1/HOT_SHARE`` of the rows each.
+    Rows of hot keys are split over as many slices as their share asks for, by a hash of
+    ``spread_by``; only the lookup rows of those keys are repeated. ``hot`` is (key, slices). It is
+    broadcast, which is safe because at most ``HOT_SHARE`` keys can hold ``1/HOT_SHARE`` of the rows
+    each. Null keys meet nothing and are spread as well.
     """
     hot = hot_keys(facts, key)[key] if hot is None else hot
-    marked = F.broadcast(hot.select(key, F.lit(True).alias("_hot")))
-    fact_salt = F.when(
-        F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    ).otherwise(0)
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
+    marked = F.broadcast(hot.select(key, F.col("slices").alias("_slices")))
+    spread_hash = F.xxhash64(*spread_by)
+    fact_salt = (
+        F.when(F.col(key).isNull(), F.pmod(spread_hash, F.lit(2**20)))
+        .when(F.col("_slices").isNotNull(), F.pmod(spread_hash, F.col("_slices")))
+        .otherwise(0)
+        .cast("int")
     )
-    left = facts.join(marked, key, "left").withColumn("_salt", fact_salt).drop("_hot")
-    right = lookup.join(marked, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    copies = F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)
+    left = facts.join(marked, key, "left").withColumn("_salt", fact_salt).drop("_slices")
+    right = lookup.join(marked, key, "left").withColumn("_salt", F.explode(copies)).drop("_slices")
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
 def top_k_per_group(
-    df: DataFrame, group: list[str], order: list[Column], k: int, spread_by: str, salts: int = SALTS
+    df: DataFrame, group: list[str], order: list[Column], k: int, spread_by: str, salts: int = TOP_K_SLICES
 ) -> DataFrame:
     """The first ``k`` rows of every group, ranked in ``rank``; exact for groups of any size.
 

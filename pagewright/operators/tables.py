@@ -6,9 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.functions.http import content_hash
-from pagewright.operators.scale import broadcast_if_small, only_keys, positions
-
-KEY_BYTES = 256
+from pagewright.operators.scale import positions
 
 
 def absent(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
@@ -19,10 +17,9 @@ def absent(new: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
 def held(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of a large table whose keys occur in a small, persisted one.
 
-    While the counted keys fit, they are broadcast and the large table is only scanned.
+    The planner knows the persisted table's size and broadcasts its keys while they are small.
     """
-    wanted = broadcast_if_small(new.select(*keys), new.count(), KEY_BYTES * len(keys))
-    return existing.join(wanted, keys, "left_semi")
+    return existing.join(new.select(*keys), keys, "left_semi")
 
 
 def new_urls(dictionary: DataFrame, seen: DataFrame, last_id: Column) -> DataFrame:
@@ -42,13 +39,17 @@ def largest_id(dictionary: DataFrame) -> Column:
 
 
 def latest_by_key(updates: DataFrame, key: str, sequence: str) -> DataFrame:
-    """The row with the highest ``sequence`` per key; partial results are combined before the shuffle."""
+    """The row with the highest ``sequence`` per key; of equal ones that with the highest row hash.
+
+    The winner is found on (key, sequence, hash) rows, combined before the shuffle; the payload only
+    meets its own key.
+    """
     payload = [name for name in updates.columns if name != key]
-    return (
-        updates.groupBy(key)
-        .agg(F.max_by(F.struct(*payload), sequence).alias("_row"))
-        .select(key, *[F.col("_row")[name].alias(name) for name in payload])
-    )
+    place = F.struct(F.col(sequence).alias("at"), F.xxhash64(*payload).alias("hash"))
+    marked = updates.withColumn("_place", place)
+    last = marked.groupBy(F.col(key).alias("_key")).agg(F.max("_place").alias("_last"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col("_place").eqNullSafe(F.col("_last"))
+    return marked.join(last, same, "left_semi").select(key, *payload).dropDuplicates([key])
 
 
 def upsert_docs(current: DataFrame, updates: DataFrame, sequence: str = "seq") -> DataFrame:
@@ -93,4 +94,4 @@ def lookup_documents(docs: DataFrame, urls: DataFrame, wanted: Column | DataFram
 def by_keys(table: DataFrame, keys: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """``SELECT columns WHERE key IN (keys)``."""
     wanted = keys.select(key).distinct()
-    return only_keys(table, wanted, key).join(wanted, key, "left_semi").select(*columns)
+    return table.join(wanted, key, "left_semi").select(*columns)

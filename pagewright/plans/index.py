@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions.counts import exploded_counts
 from pagewright.functions.text import STOP_WORDS, index_terms, legacy_index_terms
-from pagewright.operators.scale import HOT_SHARE, salted_lookup, spread
+from pagewright.operators.scale import HOT_SHARE, salted_lookup, slices_of, spread
 from pagewright.session import stage
 
 SMOOTHING = 0.5
@@ -43,8 +43,8 @@ def inverse_document_frequency(n_docs: int | Column, df: Column) -> Column:
     return F.log(n.cast("double") / (df + 1))
 
 
-def weighted_postings(counts: DataFrame, n_docs: int, a: float) -> tuple[DataFrame, DataFrame]:
-    """(inverted index, idfs) from term counts.
+def postings_with_idf(counts: DataFrame, n_docs: int, a: float) -> tuple[DataFrame, DataFrame]:
+    """(id, term, tf, idf) postings and (term, idf) from term counts.
 
     The postings are written once and read by both outputs. A term in a third of all documents is
     joined to its idf in slices.
@@ -58,11 +58,15 @@ def weighted_postings(counts: DataFrame, n_docs: int, a: float) -> tuple[DataFra
         "term", inverse_document_frequency(n_docs, F.col("df")).alias("idf")
     )
     total = frequencies.agg(F.sum("df")).scalar()
-    hot = frequencies.where(F.col("df") * HOT_SHARE >= total).select("term")
-    index = salted_lookup(postings, idfs, "term", "inner", ["id"], hot=hot).select(
-        "id", "term", (F.col("tf") * F.col("idf")).alias("weight")
-    )
-    return index, idfs
+    frequent = frequencies.where(F.col("df") * HOT_SHARE >= total)
+    hot = frequent.select("term", slices_of(F.col("df"), total).alias("slices"))
+    return salted_lookup(postings, idfs, "term", "inner", ["id"], hot=hot), idfs
+
+
+def weighted_postings(counts: DataFrame, n_docs: int, a: float) -> tuple[DataFrame, DataFrame]:
+    """(inverted index, idfs) from term counts."""
+    postings, idfs = postings_with_idf(counts, n_docs, a)
+    return postings.select("id", "term", (F.col("tf") * F.col("idf")).alias("weight")), idfs
 
 
 def build_index(

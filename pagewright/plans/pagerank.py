@@ -8,7 +8,7 @@ from pyspark.storagelevel import StorageLevel
 
 from pagewright.functions.url import authority
 from pagewright.operators.gates import without_self_links
-from pagewright.operators.scale import HOT_SHARE, SALTS, hot_keys, salted_lookup
+from pagewright.operators.scale import HOT_SHARE, hot_keys, salted_lookup, slices_of
 from pagewright.session import checkpointed, stage
 
 DAMPING = 0.85
@@ -59,7 +59,7 @@ def repair_sinks(edges: DataFrame) -> DataFrame:
 
 def clean_url_graph(links: DataFrame) -> DataFrame:
     """Sink-repaired graph on URLs instead of domains."""
-    return repair_sinks(without_self_links(links).select("source", "dest"))
+    return repair_sinks(stage(without_self_links(links).select("source", "dest"), "links"))
 
 
 def out_weights(edges: DataFrame) -> DataFrame:
@@ -100,14 +100,12 @@ def _hot_sources(degrees: DataFrame) -> DataFrame:
     """Sources with at least ``1/HOT_SHARE`` of all edges, hence at most ``HOT_SHARE`` rows."""
     total = degrees.agg(F.sum("degree")).scalar()
     hot = degrees.where(F.col("degree") * HOT_SHARE >= total)
-    return F.broadcast(hot.select("source", F.lit(True).alias("hot")))
+    return F.broadcast(hot.select("source", slices_of(F.col("degree"), total).alias("parts")))
 
 
-def sliced_edges(edges: DataFrame, degrees: DataFrame, salts: int = SALTS) -> DataFrame:
+def sliced_edges(edges: DataFrame, degrees: DataFrame) -> DataFrame:
     """Edges partitioned by (source, slice); only hot sources have more than one slice."""
-    slice_of = F.when(
-        F.col("hot"), F.pmod(F.xxhash64("dest"), F.lit(salts)).cast("int")
-    ).otherwise(0)
+    slice_of = F.pmod(F.xxhash64("dest"), F.coalesce("parts", F.lit(1))).cast("int")
     parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         edges.join(_hot_sources(degrees), "source", "left")
@@ -116,11 +114,9 @@ def sliced_edges(edges: DataFrame, degrees: DataFrame, salts: int = SALTS) -> Da
     )
 
 
-def starting_state(degrees: DataFrame, salts: int = SALTS) -> DataFrame:
+def starting_state(degrees: DataFrame) -> DataFrame:
     """(node, rank = 1, out_weight, slices): what a node needs to send its rank along its edges."""
-    slices = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
+    slices = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
     return degrees.join(_hot_sources(degrees), "source", "left").select(
         F.col("source").alias("node"),
         F.lit(1.0).alias("rank"),
@@ -172,18 +168,14 @@ def iterate_ranks(
 
 
 def normalise_ranks(ranks: DataFrame) -> DataFrame:
-    """z-score, then scaled to [0, 1]; NULL when all ranks are equal."""
-    stats = ranks.agg(F.avg("rank").alias("mean"), F.stddev_samp("rank").alias("std"))
-    standard = ranks.select(
-        F.col("node").alias("domain"),
-        F.try_divide(
-            F.col("rank") - stats.select("mean").scalar(), stats.select("std").scalar()
-        ).alias("rank"),
-    )
-    span = standard.agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
+    """Scaled to [0, 1]; NULL when all ranks are equal.
+
+    Standardising first, as is usual, gives the same: a linear map does not change min-max scaling.
+    """
+    span = ranks.agg(F.min("rank").alias("low"), F.max("rank").alias("high"))
     low, high = span.select("low").scalar(), span.select("high").scalar()
-    return standard.select(
-        "domain", F.try_divide(F.col("rank") - low, high - low).alias("rank")
+    return ranks.select(
+        F.col("node").alias("domain"), F.try_divide(F.col("rank") - low, high - low).alias("rank")
     )
 
 
@@ -194,4 +186,4 @@ def pagerank(
     damping: float = DAMPING,
 ) -> DataFrame:
     """Normalised PageRank (domain, rank) of a raw edge table."""
-    return normalise_ranks(iterate_ranks(repair_sinks(edges), tolerance, last_step, damping))
+    return normalise_ranks(iterate_ranks(repair_sinks(stage(edges, "raw-edges")), tolerance, last_step, damping))

@@ -15,16 +15,14 @@ from pagewright.functions.counts import exploded_counts
 from pagewright.functions.exprs import bind, blank_if_null
 from pagewright.functions.similarity import longest_common_subsequence
 from pagewright.functions.stem import stem_all
-from pagewright.functions.text import query_terms, raw_terms
+from pagewright.functions.text import query_terms, raw_terms, typed_terms
 from pagewright.functions.url import authority
 from pagewright.operators.gates import truncated
-from pagewright.operators.scale import broadcast_if_small, fits_broadcast, only_keys, top_k_per_group
+from pagewright.operators.scale import top_k_per_group
 from pagewright.session import stage
 
 CANDIDATES = 2000
 EARLY_CANDIDATES = 100
-TERM_SLICES = 16
-TERM_ROW_BYTES = 128
 PAGE_SIZE = 10
 TIE_DIGITS = 12
 
@@ -61,21 +59,13 @@ def query_weights(counts: DataFrame, idfs: DataFrame) -> DataFrame:
 def matching_postings(index: DataFrame, weights: DataFrame) -> DataFrame:
     """(qid, id, q, w): one row per query term a document holds.
 
-    While the counted term rows of the queries fit, they are broadcast and the postings are only
-    scanned, with the terms pushed into the scan when they are few. Beyond that both sides are
-    shuffled, and the term rows are repeated per slice of document ids, so the postings of a term
-    found in most documents are shared out over ``TERM_SLICES`` partitions.
+    ``weights`` is a stored table, so the planner broadcasts it by the size of its files while that is
+    small and only scans the postings. Beyond that both sides are shuffled by term, reduced by a
+    runtime filter, and the partitions of very frequent terms are split.
     """
-    rows = weights.count()
-    index = only_keys(index, weights, "term")
     postings = index.select("term", "id", F.col("weight").alias("w"))
     wanted = weights.select("term", "qid", F.col("weight").alias("q"))
-    if fits_broadcast(rows, TERM_ROW_BYTES):
-        return postings.join(F.broadcast(wanted), "term").select("qid", "id", "q", "w")
-    slices = F.sequence(F.lit(0), F.lit(TERM_SLICES - 1))
-    sliced = postings.withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(TERM_SLICES)).cast("int"))
-    wanted = wanted.withColumn("_slice", F.explode(slices))
-    return sliced.join(wanted, ["term", "_slice"]).select("qid", "id", "q", "w")
+    return postings.join(wanted, "term").select("qid", "id", "q", "w")
 
 
 def dot_scores(index: DataFrame, weights: DataFrame) -> DataFrame:
@@ -167,11 +157,10 @@ def enrich(
 ) -> DataFrame:
     """Add url, title, preview, headers and domain rank to (qid, id, score) rows.
 
-    Content and rank may be missing. The large tables are first reduced to the candidates' keys,
-    which are broadcast when their counted number allows it.
+    Content and rank may be missing. The large tables are first reduced to the candidates' keys.
+    Candidates without a URL have no domain.
     """
     ids = candidates.select("id").distinct()
-    ids = broadcast_if_small(ids, candidates.count(), 16)
     their_urls = urls.select("id", "url").join(ids, "id", "left_semi")
     fields = content.select(
         "id",
@@ -183,7 +172,7 @@ def enrich(
     return (
         candidates.join(their_urls, "id", "left")
         .join(fields, "id", "left")
-        .withColumn("domain", authority(F.col("url")))
+        .withColumn("domain", F.when(F.col("url") != "", authority(F.col("url"))))
         .join(ranks.select("domain", F.col("rank").alias("domain_rank")), "domain", "left")
     )
 
@@ -203,6 +192,8 @@ def term_bonus(
 ) -> Column:
     """Per query term (duplicates count): exact match, else a stem bonus times the term's idf.
 
+    Case is ignored for the exact match only; stem and idf are those of the term as it is given.
+
     Headers earn the stem bonus whether or not the stem occurs, unless ``strict``.
     """
     stem_weight = (STRICT_STEM_BONUS if strict else STEM_BONUS)[field]
@@ -212,7 +203,7 @@ def term_bonus(
         stem_bonus = stem_weight * F.coalesce(F.try_element_at(idf, term), F.lit(1.0))
         met = F.array_contains(stemmed_words, stem) if tested else F.lit(True)
         return (
-            F.when(F.array_contains(words, term), EXACT_BONUS[field])
+            F.when(F.array_contains(words, F.lower(term)), EXACT_BONUS[field])
             .when(met, stem_bonus)
             .otherwise(0.0)
         )
@@ -270,12 +261,15 @@ def bonus(
     return total + F.when(preview != "", contains_bonus("preview", preview, query)).otherwise(0.0)
 
 
-def query_details(queries: DataFrame, weights: DataFrame) -> DataFrame:
-    """Per query: raw terms with their stems, and a map from matched term to idf."""
+def query_details(queries: DataFrame, weights: DataFrame, lower: bool = False) -> DataFrame:
+    """Per query: terms as typed with their stems, and a map from matched term to idf.
+
+    With ``lower`` terms are lower-cased first, so that capitals in a query change nothing.
+    """
     found = weights.groupBy("qid").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "idf"))).alias("idf_of")
     )
-    terms = queries.select("qid", "query", raw_terms(F.col("query")).alias("terms"))
+    terms = queries.select("qid", "query", (raw_terms if lower else typed_terms)(F.col("query")).alias("terms"))
     return terms.select("*", stem_all(F.col("terms")).alias("stems")).join(found, "qid")
 
 
@@ -292,15 +286,13 @@ def rescore(pages: DataFrame, details: DataFrame, strict: bool = False) -> DataF
 def without_repeats(rows: DataFrame, order: list[Column]) -> DataFrame:
     """Keep the first row per query of pages with the same non-empty title and preview.
 
-    A group is at most the candidates of one query.
+    Copies are cut where they are before the shuffle, so a group of any size sends one row a task.
     """
-    same = Window.partitionBy("qid", "title", "preview").orderBy(*order)
-    comparable = (F.col("title") != "") & (F.col("preview") != "")
-    return (
-        rows.withColumn("_copy", F.row_number().over(same))
-        .where(~comparable | (F.col("_copy") == 1))
-        .drop("_copy")
-    )
+    comparable = F.coalesce((F.col("title") != "") & (F.col("preview") != ""), F.lit(False))
+    # a page that cannot be compared is a group of its own
+    own = F.when(~comparable, F.col("id"))
+    same = Window.partitionBy("qid", "title", "preview", own).orderBy(*order)
+    return rows.withColumn("_copy", F.row_number().over(same)).where(F.col("_copy") == 1).drop("_copy")
 
 
 def final_order(rows: DataFrame) -> DataFrame:
@@ -319,6 +311,7 @@ def search(
     k: int = CANDIDATES,
     stem: bool = True,
     strict: bool = False,
+    lower: bool = False,
 ) -> DataFrame:
     """Ranked results (qid, id, url, title, preview, headers, score, rank) of a batch of queries.
 
@@ -334,7 +327,7 @@ def search(
     pages = rows.withColumnRenamed("title", "shown").withColumn(
         "title", F.when(F.col("has_content"), F.col("shown")).otherwise("")
     )
-    scored = rescore(pages, query_details(queries, weights), strict)
+    scored = rescore(pages, query_details(queries, weights, lower), strict)
     shown = scored.drop("title").withColumnRenamed("shown", "title")
     kept = without_repeats(shown, by_score("cosine"))
     return final_order(kept).select(

@@ -59,6 +59,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.pagewright.inputPartitions", str(os.cpu_count() if cores == "*" else cores))
         .getOrCreate()
     )
 

@@ -5,22 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_INLINE_WORDS = 10_000
-
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """One word per line, as (word)."""
     return spark.read.text(path).select(F.col("value").alias("word")).distinct()
 
 
-def as_stop_words(words: DataFrame) -> list[str]:
-    """The list in the form the tokenizers take; refused when it is too long for an expression."""
-    rows = words.limit(MAX_INLINE_WORDS + 1).collect()
-    if len(rows) > MAX_INLINE_WORDS:
-        raise ValueError(f"more than {MAX_INLINE_WORDS} words: use without_words on the terms")
-    return [row.word for row in rows]
-
-
 def without_words(terms: DataFrame, words: DataFrame) -> DataFrame:
     """Drop the rows whose term is in a word table of any length."""
     return terms.join(words.withColumnRenamed("word", "term"), "term", "left_anti")

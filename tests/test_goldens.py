@@ -130,7 +130,7 @@ def bonus_of(spark, title, headers, preview, query, idf=None, strict=False):
         [(1, title, headers, preview, 1.0)], "qid long, title string, headers string, preview string, score double"
     )
     details = spark.createDataFrame([(1, query, idf or {})], "qid long, query string, idf_of map<string,double>")
-    details = details.withColumn("terms", text.raw_terms(F.col("query")))
+    details = details.withColumn("terms", text.typed_terms(F.col("query")))
     details = details.withColumn("stems", stem.stem_all(F.col("terms")))
     return search.rescore(row, details, strict).first().score
 
@@ -146,8 +146,8 @@ def brute_bonus(title, headers, preview, query, idf, strict=False):
     """The bonus rules, one loop per rule."""
     import re
 
-    query = query.lower()
     terms = [t for t in re.split(r"[!-/:-@\[-`{-~\s]+", query) if t]
+    query = query.lower()
     total, size = 0.0, math.log(len(query))
     for name, field, exact, stemmed, sequence, inside in (
         ("title", title, 0.01, 0.003, 0.06, 0.04),
@@ -159,7 +159,7 @@ def brute_bonus(title, headers, preview, query, idf, strict=False):
         words = set(re.split(r"[!-/:-@\[-`{-~\s]+", field))
         stems = {stem.stem_word(w) for w in words}
         for term in terms:
-            if term in words:
+            if term.lower() in words:
                 total += exact
             elif (name == "headers" and not strict) or stem.stem_word(term) in stems:
                 total += stemmed * idf.get(term, 1.0)
@@ -188,6 +188,7 @@ CASES = [
     ("", "Some Header", "nothing", "header graph"),
     ("graph databases", "graphs", "graph databases are", "graph databases"),
     ("t", "h", "p", "a longer query, than the fields"),
+    ("Graphs of Graph", "running", "", "Graphing Running RUNS graphs"),
 ]
 
 
