@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from hashlib import blake2b
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -58,6 +59,10 @@ MAX_DEPTH = 64
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.2
 
+NODE_SCHEMA = "host string, page long, path string, content long, presentation long, plain long, chars long, outside boolean"
+NODE_COLUMNS = [column.split()[0] for column in NODE_SCHEMA.split(", ")]
+NODE_TYPES = {name: "int64" for name in ("page", "content", "presentation", "plain", "chars")} | {"outside": "bool"}
+
 
 def _tag_end(text: str, at: int) -> int:
     """Just behind the ``>`` that ends the tag begun at ``at``, quoted values skipped; -1 if none."""
@@ -139,38 +144,59 @@ def _named(attributes: str) -> tuple[str, bool]:
     return style, silent
 
 
-def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, str]]:
-    """(path, text, silent, main) of each block of text in page order.
+class Block(NamedTuple):
+    """A block of text: its ``path`` holds tag and first class of each element around it, ``silent``
+    says that one of them is no main text, ``main`` numbers the outermost ``article`` or ``main``
+    around it (0: none), ``plain`` counts its characters outside links."""
+
+    path: tuple[str, ...]
+    text: str
+    silent: bool
+    main: int
+    plain: int
+
 
-    ``path`` holds tag and first class of each element around it, ``silent`` says that one of them is
-    named as no main text, ``main`` is ``article`` or ``main`` when the block is inside one. Character
-    references are decoded and white space is one space.
+def blocks(page: str) -> list[Block]:
+    """Each block of text in page order; character references decoded, white space one space.
+
+    Text that stands right in an element that also holds an ``article`` or ``main`` gets a further,
+    empty step, so that it can be told from the element as a whole.
     """
-    found = []
-    stack: list[tuple[str, str, bool, str]] = []  # tag, path step, silent, main
+    found: list[Block] = []
+    stack: list[tuple[str, str, bool, int]] = []  # tag, path step, silent, main
     parts: list[str] = []
     still_open: Counter[str] = Counter()
+    mains, linked, link = 0, 0, -1  # link: depth of the stack where a link was opened
 
     def leave(at: int) -> None:
+        nonlocal link
         still_open.subtract(step[0] for step in stack[at:])
         del stack[at:]
+        if at < link:
+            link = -1
 
     def flush() -> None:
+        nonlocal linked
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             parts.clear()
             if text:
-                _, _, silent, main = stack[-1] if stack else ("", "", False, "")
+                _, _, silent, main = stack[-1] if stack else ("", "", False, 0)
                 outer = [step for tag, step, _, _ in stack[:MAX_DEPTH] if tag not in INLINE]
-                found.append((tuple(outer), text, silent, main))
+                found.append(Block(tuple(outer), text, silent, main, max(0, len(text) - linked)))
+        linked = 0
 
     for kind, name, rest in _tokens(page):
         if kind == "text":
             parts.append(rest)
+            if link >= 0:
+                linked += len(rest)
             continue
         if name == "br":
             parts.append(" ")
             continue
+        if name == "a":
+            link = len(stack) if kind == "open" else -1
         if kind == "open":
             style, named = _named(rest) if "=" in rest else ("", False)
             if name in INLINE and not named:
@@ -186,10 +212,11 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, str]]:
                         break
             if name in VOID or rest.endswith("/") and name not in RAW:
                 continue
-            _, _, silent, main = stack[-1] if stack else ("", "", False, "")
+            _, _, silent, main = stack[-1] if stack else ("", "", False, 0)
             silent = silent or named or name in SILENT
             if not main and not silent and name in MAIN:
-                main = name
+                mains += 1
+                main = mains
             stack.append((name, f"{name}.{style}" if style else name, silent, main))
             still_open[name] += 1
         else:
@@ -199,88 +226,138 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, bool, str]]:
             if still_open[name]:
                 leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
     flush()
-    return found
+    holders = _holders(found)
+    return [b._replace(path=(*b.path, "")) if not b.main and b.path in holders else b for b in found]
+
+
+def _holders(found: list[Block]) -> set[tuple[str, ...]]:
+    """Paths of the elements around an ``article`` or ``main``."""
+    holders = set()
+    for path in {b.path for b in found if b.main}:
+        inner = next((i for i, step in enumerate(path) if step.split(".")[0] in MAIN), len(path))
+        holders.update(path[:depth] for depth in range(inner + 1))
+    return holders
 
 
 def _digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def page_nodes(page: str) -> list[tuple[str, int, int]]:
-    """(path, content, presentation) of each style node of a page.
+def _keys(path: tuple[str, ...]) -> list[str]:
+    return ["/".join(path[:depth]) for depth in range(1, len(path) + 1)]
+
 
-    Content is a digest of all text below the node, presentation one of the element kinds below it.
+def page_nodes(found: list[Block]) -> list[tuple[str, int, int, int, int, bool]]:
+    """(path, content, presentation, plain, chars, outside) of each style node of a page.
+
+    Content is a digest of all text below the node, presentation one of the element kinds below it,
+    ``plain`` and ``chars`` its characters outside links and all of them. ``outside`` says that the
+    page has an ``article`` or ``main`` which is neither in the node nor around it.
     """
+    holders = _holders(found)
     below: dict[tuple[str, ...], tuple[list[str], list[str]]] = {}
-    for path, text, _, _ in blocks(page):
+    sizes: Counter[tuple[str, ...]] = Counter()
+    plains: Counter[tuple[str, ...]] = Counter()
+    outside = {}
+    for path, text, _, main, plain in found:
         for depth in range(1, len(path) + 1):
-            texts, styles = below.setdefault(path[:depth], ([], []))
+            node = path[:depth]
+            texts, styles = below.setdefault(node, ([], []))
             texts.append(text)
             style = "/".join(path[depth:])
             if not styles or styles[-1] != style:
                 styles.append(style)
-    return [("/".join(p), _digest("\n".join(t)), _digest("\n".join(s))) for p, (t, s) in below.items()]
-
-
-def main_text(page: str, noise: frozenset[str] = frozenset()) -> str:
+            sizes[node] += len(text)
+            plains[node] += plain
+            outside[node] = bool(holders) and not main and node not in holders
+    return [
+        ("/".join(p), _digest("\n".join(t)), _digest("\n".join(s)), plains[p], sizes[p], outside[p])
+        for p, (t, s) in below.items()
+    ]
+
+
+def _chosen(found: list[Block], noise: frozenset[str], kept: frozenset[str]) -> list[str]:
+    """Texts of the blocks of main text."""
+    spoken = [b for b in found if not b.silent and not (noise and any(key in noise for key in _keys(b.path)))]
+    inside = Counter()
+    for b in spoken:
+        if b.main:
+            inside[b.main] += b.plain
+    if not inside:
+        return [b.text for b in spoken]
+    largest, holders = max(inside.values()), _holders(found)
+
+    def branch(path: tuple[str, ...]) -> tuple[str, ...]:
+        return next((path[:d] for d in range(1, len(path) + 1) if path[:d] not in holders), path)
+
+    outer = Counter()
+    for b in spoken:
+        if not b.main:
+            outer[branch(b.path)] += b.plain
+    whole = {at for at, plain in outer.items() if plain > largest or "/".join(at) in kept}
+    return [b.text for b in spoken if b.main or branch(b.path) in whole]
+
+
+def main_text(page: str, noise: frozenset[str] = frozenset(), kept: frozenset[str] = frozenset()) -> str:
     """The page's blocks of main text, one per line.
 
-    Blocks named as something else are out. If an ``article`` holds text, the articles are the main
-    text, else a ``main``; on other pages it is all blocks outside the ``noise`` paths of the site.
+    Blocks named as something else and those at ``noise`` paths of the site are out, inside and outside
+    an ``article`` or ``main``. If a page has one of these with text, a branch outside stays when it is
+    among the ``kept`` paths of the site or holds more text outside links than each of them.
     """
-    spoken = [b for b in blocks(page) if not b[2]]
-    for kind in MAIN:
-        inside = [text for _, text, _, main in spoken if main == kind]
-        if inside:
-            return "\n".join(inside)
-    return "\n".join(
-        text
-        for path, text, _, _ in spoken
-        if not noise
-        or not any("/".join(path[:depth]) in noise for depth in range(1, len(path) + 1))
-    )
+    return "\n".join(_chosen(blocks(page), noise, kept))
 
 
-def _entropy(count: str, total: Column) -> Column:
-    """Entropy of the shares ``count / total`` in units of log(total): 0 all alike, 1 all different."""
-    share = F.col(count) / total
-    return F.sum(-share * F.log(share)) / F.log(F.max(total))
+def _entropy(of: str) -> Column:
+    """Entropy of the counts ``of`` in units of log(their sum): 0 all alike, 1 all different."""
+    n, total = F.col(of), F.sum(of)
+    return F.round((F.log(total) - F.sum(n * F.log(n)) / total) / F.log(total), 9)
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance) of the nodes of each host's style tree.
+    """(host, path, pages, importance, outer) of the nodes of each host's style tree.
 
-    Counts are made per (host, path, content) first, so a host with a third of all pages is spread
-    over its contents and merged from partial sums.
+    Pages of a host with the same main text count once, so a copied article is not taken for something
+    that a site repeats. ``importance`` is the larger entropy of content and presentation, twice that
+    inside ``article`` or ``main``. ``outer`` is that of a node beside them: half its content entropy,
+    less its part of links; null if no page has it there. Counts are made per (host, path, content)
+    first, so a host with a third of all pages is spread over its contents and merged from partial sums.
     """
 
     def nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                (site, *node)
-                for site, page in zip(batch["host"], batch["html"], strict=True)
-                for node in page_nodes(page or "")
-            ]
-            yield pd.DataFrame(rows, columns=["host", "path", "content", "presentation"]).astype(
-                {"content": "int64", "presentation": "int64"}
-            )
+            rows = []
+            for site, page in zip(batch["host"], batch["html"], strict=True):
+                found = blocks(page or "")
+                own = _digest("\n".join(_chosen(found, frozenset(), frozenset()) or [b.text for b in found]))
+                rows += [(site, own, *node) for node in page_nodes(found)]
+            yield pd.DataFrame(rows, columns=NODE_COLUMNS).astype(NODE_TYPES)
 
     seen = stage(
-        pages.select(host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html")).mapInPandas(
-            nodes, "host string, path string, content long, presentation long"
-        ),
+        pages.select(host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
+        .mapInPandas(nodes, NODE_SCHEMA)
+        .groupBy("host", "path", "page")
+        .agg(*(F.min(c).alias(c) for c in ("content", "presentation", "plain", "chars")), F.max("outside").alias("outside")),
         "style-nodes",
     )
-    totals = seen.groupBy("host", "path").agg(F.count("*").alias("pages")).where(F.col("pages") >= MIN_PAGES)
 
-    def entropy(of: str) -> DataFrame:
-        counted = seen.groupBy("host", "path", of).agg(F.count("*").alias("n")).join(totals, ["host", "path"])
-        return counted.groupBy("host", "path", "pages").agg(_entropy("n", F.col("pages")).alias(of))
-
-    shown, built = entropy("content"), entropy("presentation").drop("pages")
+    def entropy(of: str, *sums: str) -> DataFrame:
+        counted = seen.groupBy("host", "path", of).agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in sums))
+        return (
+            counted.groupBy("host", "path")
+            .agg(F.sum("n").alias("pages"), _entropy("n").alias(of), *(F.sum(c).alias(c) for c in sums))
+            .where(F.col("pages") >= MIN_PAGES)
+        )
+
+    seen = seen.withColumn("outside", F.col("outside").cast("long"))
+    shown, built = entropy("content", "plain", "chars", "outside"), entropy("presentation").drop("pages")
+    raised = F.when(F.col("path").rlike(r"(^|/)(article|main)([./]|$)"), 2.0).otherwise(1.0)
+    beside = 0.5 * F.col("content") * F.col("plain") / F.col("chars")
     return shown.join(built, ["host", "path"]).select(
-        "host", "path", "pages", F.greatest("content", "presentation").alias("importance")
-    )
+        "host", "path", "pages",
+        (raised * F.greatest("content", "presentation")).alias("importance"),
+        F.when(F.col("outside") > 0, beside).alias("outer"),
+    )
 
 
 def extract_text(pages: DataFrame, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
@@ -291,22 +368,29 @@ def extract_text(pages: DataFrame, min_importance: float = MIN_IMPORTANCE) -> Da
     parser goes forward once. A node that fewer than ``MIN_PAGES`` pages of a site have is never
     noise. No pages give no rows; further columns are ignored.
     """
-    tree = style_tree(pages).where(F.col("importance") < min_importance)
+    noisy, important = F.col("importance") < min_importance, F.col("outer") >= min_importance
+    tree = style_tree(pages).where(noisy | important)
     # written, so that the planner broadcasts it only when its measured size is small
-    noise = stage(tree.groupBy("host").agg(F.collect_list("path").alias("noise")), "noise")
+    judged = stage(
+        tree.groupBy("host").agg(
+            F.collect_list(F.when(noisy, F.col("path"))).alias("noise"),
+            F.collect_list(F.when(important, F.col("path"))).alias("kept"),
+        ),
+        "noise",
+    )
     sited = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), host(F.col("url")).alias("host"))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [
-                main_text(page or "", frozenset(noise) if noise is not None else frozenset())
-                for page, noise in zip(batch["html"], batch["noise"], strict=True)
+                main_text(page or "", *(frozenset(paths) if paths is not None else frozenset() for paths in judged))
+                for page, *judged in zip(batch["html"], batch["noise"], batch["kept"], strict=True)
             ]
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
 
     types = dict(sited.dtypes)
     return (
-        sited.join(noise, "host", "left")
-        .select("page_id", "url", "html", "noise")
+        sited.join(judged, "host", "left")
+        .select("page_id", "url", "html", "noise", "kept")
         .mapInPandas(read, f"page_id {types['page_id']}, url {types['url']}, text string")
     )

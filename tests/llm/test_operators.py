@@ -170,6 +170,21 @@ def test_style_tree_removes_what_a_site_repeats(spark):
     assert texts[102] == "Welcome to A"
 
 
+def test_style_tree_judges_inside_and_outside_articles(spark):
+    share = "<div class=x12>Tell your friends</div>"
+    rows = [(i, f"http://a.com/{i}", f"<div class=x9>Daily A</div><article><p>story {i}</p>{share}</article>") for i in range(12)]
+    cards = "<article><p>teaser</article>" * 3
+    rows += [(20 + i, f"http://b.com/{i}", f"<div class=x1><p>the body of page {i}</div>{cards}") for i in range(12)]
+    rows += [(40 + i, f"http://c.com/{i}", f"<article><p>one story</p></article>{i % 2}") for i in range(12)]
+    rows += [(60, "http://d.com/", f"<div><p>the only page of its site</div>{cards}")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in html.extract_text(table).collect()}
+    assert texts[3] == "story 3"
+    assert texts[23].split("\n")[0] == "the body of page 3"
+    assert texts[43] == "one story"
+    assert texts[60].split("\n")[0] == "the only page of its site"
+
+
 # --- URLs
 
 
