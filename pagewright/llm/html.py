@@ -2,8 +2,8 @@
 
 Pages of one host are merged into a tree of element paths (tag and class). A node of the tree is
 important when its pages differ, in what they show there (content entropy) or in how they build it
-(presentation entropy). Branches that look alike all over a site are noise, as are those that their
-markup names as menus, adverts, comments and the like.
+(presentation entropy). Branches that look alike all over a site are noise. What markup names as menus,
+adverts, comments and the like has a lower importance, and is noise unless its content makes up for it.
 """
 
 from __future__ import annotations
@@ -29,18 +29,27 @@ INLINE = frozenset(
     "strong sub sup time tt u var wbr img br".split()
 )
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-SILENT = frozenset(
+HIDDEN = frozenset(
     "head script style noscript template iframe object svg canvas video audio map math select button option "
-    "textarea title form input datalist dialog nav menu header footer aside".split()
+    "textarea title input datalist".split()
 )
+SUSPECT = frozenset("form dialog nav menu header footer aside".split())
 MAIN = ("article", "main")
-SILENT_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
-SILENT_NAMES = frozenset(
+NEVER_SUSPECT = frozenset(["html", "body", *MAIN])
+SUSPECT_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
+SUSPECT_NAMES = frozenset(
     "nav navbar navigation menu menubar header masthead footer sidebar aside ad ads adv advert adverts advertisement "
     "advertising adslot adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices popup modal overlay "
     "newsletter subscribe subscription signup login search share sharing social related recommended breadcrumb "
     "breadcrumbs pagination pager comment comments disqus respond reply replies discussion widget toolbar skip".split()
 )
+# words that say no more about an element named as above
+PLACE_NAMES = frozenset(
+    "site main page top bottom left right primary secondary global box block slot unit list bar section container "
+    "wrap wrapper inner outer area links link buttons button form icons items".split()
+)
+# ends of a path step: the element is named by such words alone, or among others
+WHOLLY, PARTLY = "!", "?"
 CLOSES = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
     "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]),
@@ -58,10 +67,12 @@ MAX_DEPTH = 64
 # a node is judged when this many pages of the host have it, and is noise below this importance
 MIN_PAGES = 8
 MIN_IMPORTANCE = 0.2
+# shares of a page's text that a name does not outweigh
+MOST, MOST_BESIDE_MAIN = 0.5, 0.8
 
-NODE_SCHEMA = "host string, page long, path string, content long, presentation long, plain long, chars long, outside boolean"
+NODE_SCHEMA = "host string, page long, total long, path string, content long, presentation long, plain long, chars long, outside boolean"
 NODE_COLUMNS = [column.split()[0] for column in NODE_SCHEMA.split(", ")]
-NODE_TYPES = {name: "int64" for name in ("page", "content", "presentation", "plain", "chars")} | {"outside": "bool"}
+NODE_TYPES = {name: "int64" for name in ("page", "total", "content", "presentation", "plain", "chars")} | {"outside": "bool"}
 
 
 def _tag_end(text: str, at: int) -> int:
@@ -130,40 +141,44 @@ def _tokens(text: str) -> Iterator[tuple[str, str, str]]:
                 gone.add(name)
 
 
-def _named(attributes: str) -> tuple[str, bool]:
-    """(first class for the path, whether class, id or role name something that is no main text)."""
-    style, silent = "", False
+def _named(attributes: str) -> tuple[str, str]:
+    """(first class for the path, mark: how class, id or role name something that is no main text)."""
+    style, mark = "", ""
     for kind, a, b, c in ATTRIBUTE.findall(attributes):
         value = a or b or c
         if kind.lower() == "role":
-            silent |= value.strip().lower() in SILENT_ROLES
+            mark = WHOLLY if value.strip().lower() in SUSPECT_ROLES else mark
             continue
+        names = value.split() if kind.lower() == "class" else [value]
         if kind.lower() == "class":
-            style = value.split()[0] if value.split() else ""
-        silent |= any(part.lower() in SILENT_NAMES for part in NAME_PARTS.findall(value))
-    return style, silent
+            style = names[0].rstrip(WHOLLY + PARTLY) if names else ""
+        for name in names:
+            words = {word.lower() for word in NAME_PARTS.findall(name)}
+            if words & SUSPECT_NAMES and mark != WHOLLY:
+                mark = WHOLLY if words <= SUSPECT_NAMES | PLACE_NAMES else PARTLY
+    return style, mark
 
 
 class Block(NamedTuple):
-    """A block of text: its ``path`` holds tag and first class of each element around it, ``silent``
-    says that one of them is no main text, ``main`` numbers the outermost ``article`` or ``main``
-    around it (0: none), ``plain`` counts its characters outside links."""
+    """A block of text: its ``path`` holds tag, first class and mark of each element around it, ``main``
+    numbers the outermost ``article`` or ``main`` around it (0: none), ``plain`` counts its characters
+    outside links."""
 
     path: tuple[str, ...]
     text: str
-    silent: bool
     main: int
     plain: int
 
 
 def blocks(page: str) -> list[Block]:
-    """Each block of text in page order; character references decoded, white space one space.
+    """Each block of shown text in page order; character references decoded, white space one space.
 
+    An ``article`` in an element marked as no main text (a comment, a teaser) is not counted as main.
     Text that stands right in an element that also holds an ``article`` or ``main`` gets a further,
     empty step, so that it can be told from the element as a whole.
     """
     found: list[Block] = []
-    stack: list[tuple[str, str, bool, int]] = []  # tag, path step, silent, main
+    stack: list[tuple[str, str, bool, bool, int]] = []  # tag, path step, hidden, marked, main
     parts: list[str] = []
     still_open: Counter[str] = Counter()
     mains, linked, link = 0, 0, -1  # link: depth of the stack where a link was opened
@@ -180,10 +195,10 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             parts.clear()
-            if text:
-                _, _, silent, main = stack[-1] if stack else ("", "", False, 0)
-                outer = [step for tag, step, _, _ in stack[:MAX_DEPTH] if tag not in INLINE]
-                found.append(Block(tuple(outer), text, silent, main, max(0, len(text) - linked)))
+            _, _, hidden, _, main = stack[-1] if stack else ("", "", False, False, 0)
+            if text and not hidden:
+                outer = [step for tag, step, *_ in stack[:MAX_DEPTH] if tag not in INLINE or step.endswith(WHOLLY)]
+                found.append(Block(tuple(outer), text, main, max(0, len(text) - linked)))
         linked = 0
 
     for kind, name, rest in _tokens(page):
@@ -198,8 +213,8 @@ def blocks(page: str) -> list[Block]:
         if name == "a":
             link = len(stack) if kind == "open" else -1
         if kind == "open":
-            style, named = _named(rest) if "=" in rest else ("", False)
-            if name in INLINE and not named:
+            style, mark = _named(rest) if "=" in rest else ("", "")
+            if name in INLINE and mark != WHOLLY:
                 continue
             flush()
             closed = frozenset() if name in INLINE else CLOSES.get(name, frozenset()) | {"p"}
@@ -212,12 +227,17 @@ def blocks(page: str) -> list[Block]:
                         break
             if name in VOID or rest.endswith("/") and name not in RAW:
                 continue
-            _, _, silent, main = stack[-1] if stack else ("", "", False, 0)
-            silent = silent or named or name in SILENT
-            if not main and not silent and name in MAIN:
+            _, _, hidden, marked, main = stack[-1] if stack else ("", "", False, False, 0)
+            hidden = hidden or name in HIDDEN
+            if name in NEVER_SUSPECT:
+                mark = ""
+            elif name in SUSPECT and not (name == "header" and main):
+                mark = WHOLLY
+            marked = marked or mark == WHOLLY
+            if not main and not hidden and name in MAIN and not (name == "article" and marked):
                 mains += 1
                 main = mains
-            stack.append((name, f"{name}.{style}" if style else name, silent, main))
+            stack.append((name, (f"{name}.{style}" if style else name) + mark, hidden, marked, main))
             still_open[name] += 1
         else:
             if name in INLINE and not still_open[name]:
@@ -243,10 +263,6 @@ def _digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
 
-def _keys(path: tuple[str, ...]) -> list[str]:
-    return ["/".join(path[:depth]) for depth in range(1, len(path) + 1)]
-
-
 def page_nodes(found: list[Block]) -> list[tuple[str, int, int, int, int, bool]]:
     """(path, content, presentation, plain, chars, outside) of each style node of a page.
 
@@ -259,7 +275,7 @@ def page_nodes(found: list[Block]) -> list[tuple[str, int, int, int, int, bool]]
     sizes: Counter[tuple[str, ...]] = Counter()
     plains: Counter[tuple[str, ...]] = Counter()
     outside = {}
-    for path, text, _, main, plain in found:
+    for path, text, main, plain in found:
         for depth in range(1, len(path) + 1):
             node = path[:depth]
             texts, styles = below.setdefault(node, ([], []))
@@ -276,9 +292,44 @@ def page_nodes(found: list[Block]) -> list[tuple[str, int, int, int, int, bool]]
     ]
 
 
+def _spoken(found: list[Block], noise: frozenset[str], kept: frozenset[str]) -> list[Block]:
+    """Blocks that are neither at a noise path nor in a branch that its name tells against.
+
+    A marked branch stays when it holds an ``article`` or ``main`` or is among the ``kept`` paths. If the
+    site does not tell, it stays with more than half of the page's text outside links, beside an
+    ``article`` or ``main`` with four fifths; one that is marked in part also if most of its text is
+    outside links.
+    """
+    holders, mains = _holders(found), any(b.main for b in found)
+    sizes: Counter[tuple[str, ...]] = Counter()
+    plains: Counter[tuple[str, ...]] = Counter()
+    for b in found:
+        plains[()] += b.plain
+        for depth, step in enumerate(b.path, 1):
+            if step.endswith((WHOLLY, PARTLY)):
+                sizes[b.path[:depth]] += len(b.text)
+                plains[b.path[:depth]] += b.plain
+
+    def stays(node: tuple[str, ...]) -> bool:
+        marked = node[-1].endswith((WHOLLY, PARTLY))
+        if marked and node in holders:
+            return True
+        if noise and "/".join(node) in noise:
+            return False
+        if not marked or "/".join(node) in kept:
+            return True
+        beside = mains and not any(step.split(".")[0] in MAIN for step in node)
+        if plains[node] > plains[()] * (MOST_BESIDE_MAIN if beside else MOST):
+            return True
+        return node[-1].endswith(PARTLY) and 2 * plains[node] >= sizes[node]
+
+    good = {path: all(stays(path[:depth]) for depth in range(1, len(path) + 1)) for path in {b.path for b in found}}
+    return [b for b in found if good[b.path]]
+
+
 def _chosen(found: list[Block], noise: frozenset[str], kept: frozenset[str]) -> list[str]:
     """Texts of the blocks of main text."""
-    spoken = [b for b in found if not b.silent and not (noise and any(key in noise for key in _keys(b.path)))]
+    spoken = _spoken(found, noise, kept)
     inside = Counter()
     for b in spoken:
         if b.main:
@@ -301,8 +352,8 @@ def _chosen(found: list[Block], noise: frozenset[str], kept: frozenset[str]) ->
 def main_text(page: str, noise: frozenset[str] = frozenset(), kept: frozenset[str] = frozenset()) -> str:
     """The page's blocks of main text, one per line.
 
-    Blocks named as something else and those at ``noise`` paths of the site are out, inside and outside
-    an ``article`` or ``main``. If a page has one of these with text, a branch outside stays when it is
+    Blocks at ``noise`` paths of the site are out, inside and outside an ``article`` or ``main``, and so
+    are those named as something else, unless their branch holds too much to be that. If a page has one of these with text, a branch outside stays when it is
     among the ``kept`` paths of the site or holds more text outside links than each of them.
     """
     return "\n".join(_chosen(blocks(page), noise, kept))
@@ -315,13 +366,15 @@ def _entropy(of: str) -> Column:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, path, pages, importance, outer) of the nodes of each host's style tree.
+    """(host, path, pages, importance, support) of the nodes of each host's style tree.
 
     Pages of a host with the same main text count once, so a copied article is not taken for something
     that a site repeats. ``importance`` is the larger entropy of content and presentation, twice that
-    inside ``article`` or ``main``. ``outer`` is that of a node beside them: half its content entropy,
-    less its part of links; null if no page has it there. Counts are made per (host, path, content)
-    first, so a host with a third of all pages is spread over its contents and merged from partial sums.
+    inside ``article`` or ``main``; for a marked node it is its support. ``support`` is what speaks for
+    a node in spite of its name or place: a wholly marked one has the content entropy times its share of
+    the pages' text, one marked in part or beside ``article`` and ``main`` half the content entropy less
+    its part of links; null for others. Counts are made per (host, path, content) first, so a host
+    with a third of all pages is spread over its contents and merged from partial sums.
     """
 
     def nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -330,14 +383,15 @@ def style_tree(pages: DataFrame) -> DataFrame:
             for site, page in zip(batch["host"], batch["html"], strict=True):
                 found = blocks(page or "")
                 own = _digest("\n".join(_chosen(found, frozenset(), frozenset()) or [b.text for b in found]))
-                rows += [(site, own, *node) for node in page_nodes(found)]
+                total = sum(b.plain for b in found)
+                rows += [(site, own, total, *node) for node in page_nodes(found)]
             yield pd.DataFrame(rows, columns=NODE_COLUMNS).astype(NODE_TYPES)
 
     seen = stage(
         pages.select(host(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
         .mapInPandas(nodes, NODE_SCHEMA)
         .groupBy("host", "path", "page")
-        .agg(*(F.min(c).alias(c) for c in ("content", "presentation", "plain", "chars")), F.max("outside").alias("outside")),
+        .agg(*(F.min(c).alias(c) for c in ("content", "presentation", "plain", "chars", "total")), F.max("outside").alias("outside")),
         "style-nodes",
     )
 
@@ -350,14 +404,21 @@ def style_tree(pages: DataFrame) -> DataFrame:
         )
 
     seen = seen.withColumn("outside", F.col("outside").cast("long"))
-    shown, built = entropy("content", "plain", "chars", "outside"), entropy("presentation").drop("pages")
+    shown, built = entropy("content", "plain", "chars", "total", "outside"), entropy("presentation").drop("pages")
     raised = F.when(F.col("path").rlike(r"(^|/)(article|main)([./]|$)"), 2.0).otherwise(1.0)
-    beside = 0.5 * F.col("content") * F.col("plain") / F.col("chars")
+    wholly, partly = F.endswith("path", F.lit(WHOLLY)), F.endswith("path", F.lit(PARTLY))
+    half = 0.5 * F.col("content") * F.col("plain") / F.col("chars")
+    support = (
+        F.when(wholly, raised * F.col("content") * F.try_divide("plain", "total"))
+        .when(partly, raised * half)
+        .when(F.col("outside") > 0, half)
+    )
+    importance = F.when(wholly | partly, F.coalesce(support, F.lit(0.0))).otherwise(
+        raised * F.greatest("content", "presentation")
+    )
     return shown.join(built, ["host", "path"]).select(
-        "host", "path", "pages",
-        (raised * F.greatest("content", "presentation")).alias("importance"),
-        F.when(F.col("outside") > 0, beside).alias("outer"),
-    )
+        "host", "path", "pages", importance.alias("importance"), support.alias("support")
+    )
 
 
 def extract_text(pages: DataFrame, min_importance: float = MIN_IMPORTANCE) -> DataFrame:
@@ -368,7 +429,7 @@ def extract_text(pages: DataFrame, min_importance: float = MIN_IMPORTANCE) -> Da
     parser goes forward once. A node that fewer than ``MIN_PAGES`` pages of a site have is never
     noise. No pages give no rows; further columns are ignored.
     """
-    noisy, important = F.col("importance") < min_importance, F.col("outer") >= min_importance
+    noisy, important = F.col("importance") < min_importance, F.col("support") >= min_importance
     tree = style_tree(pages).where(noisy | important)
     # written, so that the planner broadcasts it only when its measured size is small
     judged = stage(

@@ -185,6 +185,31 @@ def test_style_tree_judges_inside_and_outside_articles(spark):
     assert texts[60].split("\n")[0] == "the only page of its site"
 
 
+def test_names_alone_silence_no_main_text(spark):
+    text = "<p>the text of this page"
+    for wrapped in (
+        f'<body class="single no-sidebar">{text}',
+        f'<body class="sidebar">{text}',
+        f'<div id="content" class="with-sidebar">{text}</div><div class=comments>x</div>',
+        f'<div class=search><article class="post comments-open">{text}</article></div>',
+        f'<div class=search><main class=header>{text}</main></div>',
+        f'<form id=page>{text}</form><footer>(c)</footer>',
+        f'<section class="social-policy">{text}</section>',
+    ):
+        assert html.main_text(wrapped) == "the text of this page", wrapped
+    links = "<ul><li><a href=/a>one</a><li><a href=/b>two</a></ul>"
+    assert html.main_text(f"<div class=nav-of-a>{links}</div><nav>{links}</nav>{text}") == "the text of this page"
+    rows = []
+    for i in range(12):
+        long = f"<p>story {i} in some more words than the rest of the page has"
+        rows.append((i, f"http://a.com/{i}", f"<div class=notice>notice {i} is long</div><div class=my-promo>buy</div><article>{long}</article>"))
+        rows.append((20 + i, f"http://b.com/{i}", f"<div class=story-comments>short {i}</div><div class=ad>ad {i}</div>{long}"))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text.split("\n") for r in html.extract_text(table).collect()}
+    assert texts[3] == ["notice 3 is long", "story 3 in some more words than the rest of the page has"]
+    assert texts[23] == ["short 3", "story 3 in some more words than the rest of the page has"]
+
+
 # --- URLs
 
 
