@@ -187,15 +187,20 @@ def _(t):
 
 
 def page_search(t, **options):
-    """The pages as a corpus, one query per host, PageRank of the hosts that share a path."""
+    """All stored documents as a corpus, one query per host, PageRank of the hosts that share a path.
+
+    Plain texts have no content row, so their results show the URL.
+    """
     # content and index are stored tables: written by their jobs, read by the search
-    parsed = stage(content.page_content(t.sql(I.CRAWLER_DOCS)), "content")
-    texts = parsed.select("id", F.concat_ws(" ", "title", "body").alias("text"))
-    inverted, idfs = index.build_index(texts)
+    docs = t.sql(I.CRAWLER_DOCS)
+    parsed = stage(content.page_content(docs), "content")
+    inverted, idfs = index.build_index(content.page_texts(docs))
     inverted = stage(inverted, "index")
-    urls = t.pages.select(F.col("page_id").alias("id"), "url")
+    pages = t.pages.select(F.col("page_id").alias("id"), "url")
+    plain = docs.where("type = 'text/plain'").select("id", F.concat(F.lit("http://texts.example.com:80/"), "id").alias("url"))
+    urls = pages.unionByName(plain)
     host = F.regexp_extract("url", "//([^/]+)", 1)
-    asked = urls.join(parsed, "id").groupBy(host.alias("host")).agg(
+    asked = pages.join(parsed, "id").groupBy(host.alias("host")).agg(
         F.min("id").alias("qid"), F.min("title").alias("query")
     )
     # hosts whose pages link to the same path, in the order of their names

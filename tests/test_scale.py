@@ -179,3 +179,20 @@ def test_full_search_on_a_small_corpus(spark):
     assert [r.id for r in found] == sorted(expected, key=lambda i: -expected[i])
     assert {r.id: round(r.score, 9) for r in found} == {i: round(s, 9) for i, s in expected.items()}
     assert {r.id: r.title for r in found}[3] == "http://h3.com:80/p"
+
+
+def test_full_search_finds_plain_documents(spark):
+    from pagewright.catalog import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    found = QUERIES["X15_full_search"](spark, folder).where("id >= 1000000")
+    index = QUERIES["X1_stemmed_page_index"](spark, folder)
+    titles = spark.read.parquet(f"{folder}/pages.parquet").selectExpr(
+        "regexp_extract(url, '//([^/]+)', 1) AS host", "page_id", "regexp_extract(html, '<title>([^<]*)', 1) AS query"
+    )
+    asked = titles.groupBy("host").agg(F.min("page_id").alias("qid"), F.min("query").alias("query"))
+    terms = search.query_counts(asked.select("qid", "query"), True).select("qid", "term")
+    expected = index.where("id >= 1000000").join(terms, "term").select("qid", "id").distinct()
+    assert expected.count() > 0
+    assert rows(found.select("qid", "id")) == rows(expected)
+    assert found.where("title <> url OR preview <> '' OR url IS NULL").count() == 0
