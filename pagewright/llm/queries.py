@@ -240,3 +240,78 @@ def op4_sentencepiece(t: Tables) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         "round_trip",
     )
+
+
+# --- Merkle manifest -------------------------------------------------------------------------
+
+# unsigned crc32 of a short ASCII text: its bytes come in, eight shifts follow each
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''),
+    lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 4294967295::BIGINT)"""
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::VARCHAR))::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field_sql, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+def _levels_sql(name: str, start: str) -> str:
+    """All levels of the trees whose leaves ``start`` gives as (lang, pos, hash, n)."""
+    return f"""
+{name}(level, lang, pos, hash, n) AS (
+  SELECT 0, lang, pos, hash, n FROM ({start})
+  UNION ALL
+  SELECT level + 1, lang, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (any_value(n) + 1) // 2
+  FROM {name} WHERE n > 1 GROUP BY level, lang, pos // 2)"""
+
+
+OP13_SQL = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf_sql('n_chars')} AS leaf,
+    CASE WHEN {CRC32_SQL.format('doc_id::VARCHAR')} % 7 = 0 THEN {_leaf_sql('(n_chars + 1)')} END AS changed FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+{_levels_sql('low', 'SELECT lang, pos, leaf AS hash, count(*) OVER (PARTITION BY lang) AS n FROM placed')},
+subroots AS (
+  SELECT lang, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree FROM low WHERE n = 1),
+{_levels_sql('high', "SELECT 'all' AS lang, tree AS pos, subroot AS hash, count(*) OVER () AS n FROM subroots")},
+steps AS (
+  SELECT lang, level, pos, hash, n > 1 AS inner_node FROM low),
+places AS (
+  SELECT p.doc_id, p.lang, p.pos, p.leaf, coalesce(p.changed, p.leaf) AS start, tree, subroot FROM placed p
+  JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang),
+siblings AS (
+  SELECT doc_id, places.lang, places.pos, l.level, xor(places.pos >> l.level, 1) < places.pos >> l.level AS to_left, o.hash
+  FROM places
+  JOIN (SELECT DISTINCT lang, level FROM low WHERE n > 1) l ON l.lang IS NOT DISTINCT FROM places.lang
+  LEFT JOIN low o ON o.lang IS NOT DISTINCT FROM places.lang AND o.level = l.level AND o.pos = xor(places.pos >> l.level, 1)
+  UNION ALL
+  SELECT doc_id, places.lang, places.pos, 1000 + l.level, xor(tree >> l.level, 1) < tree >> l.level, o.hash
+  FROM places CROSS JOIN (SELECT DISTINCT level FROM high WHERE n > 1) l
+  LEFT JOIN high o ON o.level = l.level AND o.pos = xor(tree >> l.level, 1)),
+proofs AS (
+  SELECT lang, pos, sha256(coalesce(string_agg(hash, '' ORDER BY level), '')) AS proof_sha256,
+    list(coalesce(CASE WHEN to_left THEN '<' ELSE '>' END || hash, '') ORDER BY level) AS path
+  FROM siblings GROUP BY lang, pos),
+folded AS (
+  SELECT p.*, proof_sha256, (SELECT hash FROM high WHERE n = 1) AS root,
+    list_reduce(list_prepend(start, path), lambda h, s: CASE WHEN s[1] = '<' THEN sha256(s[2:] || h) ELSE sha256(h || s[2:]) END) AS folded_root
+  FROM places p JOIN proofs f ON f.lang IS NOT DISTINCT FROM p.lang AND f.pos = p.pos)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded"""
+
+
+@query("op13_merkle_manifest", OP13_SQL)
+def op13_merkle_manifest(t: Tables) -> DataFrame:
+    from pagewright.llm import merkle
+
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = merkle.manifest(merkle.document_leaves(t.documents, tampered))
+    start = F.coalesce("changed", "leaf")
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+        merkle.root_of(start, F.col("version")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))

@@ -79,3 +79,41 @@ def statistics(text):
         len(lines) - len(set(lines)),
         len(repeated),
     )
+
+
+def hashed(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def merkle_rows(rows, changed):
+    """Sorted (doc_id, leaf, subroot, root, proof, folded root) of (doc_id, source, lang, n_chars, text) rows."""
+
+    def leaf_of(row):
+        return hashed("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def fold(level):
+        levels = [level]
+        while len(levels[-1]) > 1:
+            below = levels[-1]
+            levels.append([hashed("".join(below[i : i + 2])) for i in range(0, len(below), 2)])
+        return levels
+
+    def sides(levels, at):
+        return [(below[at >> i ^ 1] if at >> i ^ 1 < len(below) else "", at >> i & 1) for i, below in enumerate(levels[:-1])]
+
+    languages = sorted({r[2] for r in rows}, key=lambda x: (x is not None, (x or "").encode()))
+    placed = {
+        name: sorted(((r[0] is not None, r[0] or 0, leaf_of(r), r) for r in rows if r[2] == name), key=lambda x: x[:3])
+        for name in languages
+    }
+    trees = {name: fold([p[2] for p in placed[name]]) for name in languages}
+    top = fold([trees[name][-1][0] for name in languages])
+    out = []
+    for i, name in enumerate(languages):
+        for at, (_, _, leaf, row) in enumerate(placed[name]):
+            path = sides(trees[name], at) + sides(top, i)
+            node = leaf_of((*row[:3], None if row[3] is None else row[3] + 1, row[4])) if changed(row[0]) else leaf
+            for other, right in path:
+                node = hashed(other + node if right else node + other)
+            out.append((str(row[0]), leaf, trees[name][-1][0], top[-1][0], hashed("".join(p[0] for p in path)), node))
+    return sorted(out)
