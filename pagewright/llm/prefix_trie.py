@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.operators.scale import HOT_SHARE, salted_lookup, slices_of
@@ -160,16 +160,16 @@ def prefixes(turns: DataFrame) -> DataFrame:
         .mapInArrow(_running, "part long, conv_id long, depth long, fp1 long, fp2 long, up1 long, up2 long, chars long"),
         "prefixes",
     )
-    # the conversation a partition ends with goes on in the next ones
+    # the conversation a partition begins with may come from the partitions before, which it ends
     last = within.groupBy("part").agg(F.max(F.struct("conv_id", "depth", "fp1", "fp2")).alias("last"))
     first = within.groupBy("part").agg(F.min("conv_id").alias("conv_id"))
-    earlier = last.select(F.col("part").alias("of"), "last.*")
-    carried = F.broadcast(
-        first.join(earlier, "conv_id")
-        .where("of < part")
-        .groupBy("part", "conv_id")
-        .agg(F.expr("bit_xor(fp1)").alias("c1"), F.expr("bit_xor(fp2)").alias("c2"))
+    nothing = F.lit(0).cast("long")
+    marks = first.select("part", "conv_id", F.lit(0).alias("ends"), nothing.alias("fp1"), nothing.alias("fp2")).union(
+        last.select("part", "last.conv_id", F.lit(1), "last.fp1", "last.fp2")
     )
+    before = Window.partitionBy("conv_id").orderBy("part", "ends").rowsBetween(Window.unboundedPreceding, -1)
+    sums = [F.expr(f"bit_xor({name})").over(before).alias(to) for name, to in (("fp1", "c1"), ("fp2", "c2"))]
+    carried = F.broadcast(marks.select("part", "conv_id", "ends", *sums).where("ends = 0 AND c1 IS NOT NULL").drop("ends"))
 
     def moved(name: str, by: str) -> Column:
         return F.col(name).bitwiseXOR(F.coalesce(by, F.lit(0).cast("long"))).alias(name)

@@ -315,3 +315,87 @@ def op13_merkle_manifest(t: Tables) -> DataFrame:
         F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
         merkle.root_of(start, F.col("version")).alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+# --- conversation prefix trie ----------------------------------------------------------------
+
+# a conversation's first turns are those of the first one of its hundred, at most this many less one
+FAMILY, HEADS = 100, 6
+
+OP12_SQL = f"""
+WITH own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL),
+sizes AS (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id),
+members AS (
+  SELECT c.conv_id, c.conv_id - c.conv_id % {FAMILY} AS base, {CRC32_SQL.format('c.conv_id::VARCHAR')} % {HEADS} AS h,
+    least({CRC32_SQL.format('c.conv_id::VARCHAR')} % {HEADS}, coalesce(b.n, 0)) AS taken
+  FROM sizes c LEFT JOIN sizes b ON b.conv_id = c.conv_id - c.conv_id % {FAMILY}),
+turns AS (
+  SELECT m.conv_id, o.place AS depth, role, text FROM members m JOIN own o ON o.conv_id = m.base AND o.place <= h
+  UNION ALL
+  SELECT m.conv_id, o.place - h + taken, role, text FROM members m JOIN own o ON o.conv_id = m.conv_id AND o.place > h),
+paths AS (
+  SELECT conv_id, depth, length(text) AS chars,
+    list(sha256(role || chr(0) || text)) OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM turns
+  UNION ALL SELECT conv_id, 0, 0, [] FROM members),
+nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM paths GROUP BY path, depth),
+children AS (SELECT path[:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+own_totals AS (
+  SELECT nodes.path, depth, CASE WHEN children.n IS NULL THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * chars AS saved
+  FROM nodes LEFT JOIN children ON children.path = nodes.path),
+totals AS (
+  SELECT path[:up] AS path, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT *, unnest(range(depth + 1)) AS up FROM own_totals) GROUP BY 1),
+last AS (SELECT conv_id, max_by(path, depth) AS path FROM paths GROUP BY conv_id),
+ends AS (SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM last GROUP BY path)
+SELECT nodes.conv_id, nodes.depth, up.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children,
+  n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nodes JOIN totals ON totals.path = nodes.path
+LEFT JOIN children ON children.path = nodes.path
+LEFT JOIN ends ON ends.path = nodes.path
+LEFT JOIN nodes up ON nodes.depth > 0 AND up.path = nodes.path[:nodes.depth - 1]"""
+
+
+def _rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(conv_id, depth, said, chars) of the rebuilt conversations, and the ids of them all.
+
+    Turns without a conv_id belong to none. Of one turn number the smaller hash comes first.
+    """
+    from pagewright.llm.prefix_trie import said
+    from pagewright.operators.scale import positions, salted_lookup
+    from pagewright.session import stage
+
+    role, text = (F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("role", "text"))
+    turns = conversations.where("conv_id IS NOT NULL").select(
+        F.col("conv_id").cast("long").alias("conv_id"),
+        F.col("turn").cast("long").alias("turn"),
+        said(role, text).alias("said"),
+        F.length(text).cast("long").alias("chars"),
+    )
+    own = stage(positions(stage(turns, "turns"), ["turn", "said"], group="conv_id").drop("turn"), "own-turns")
+    sizes = stage(own.groupBy("conv_id").agg(F.count("*").alias("n")), "sizes")
+    base = (F.col("conv_id") - F.col("conv_id") % FAMILY).alias("base")
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % HEADS).cast("long").alias("h")
+    members = sizes.select("conv_id", base, h).join(
+        sizes.select(F.col("conv_id").alias("base"), "n"), "base", "left"
+    ).withColumn("taken", F.least("h", F.coalesce("n", F.lit(0).cast("long"))))
+    # at most HEADS - 1 turns of one conversation in FAMILY, met by the ids of its family
+    heads = own.where((F.col("conv_id") % FAMILY == 0) & (F.col("position") < HEADS)).withColumnRenamed("conv_id", "base")
+    first = members.join(heads, "base").where("position <= h").select(
+        "conv_id", F.col("position").alias("depth"), "said", "chars"
+    )
+    rest = salted_lookup(own, members.select("conv_id", "h", "taken"), "conv_id", "inner", ["position"]).where(
+        "position > h"
+    ).select("conv_id", (F.col("position") - F.col("h") + F.col("taken")).alias("depth"), "said", "chars")
+    return first.unionByName(rest), sizes.select("conv_id")
+
+
+@query("op12_prefix_trie", OP12_SQL)
+def op12_prefix_trie(t: Tables) -> DataFrame:
+    from pagewright.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(*_rebuilt(t.conversations)).drop("node", "parent")

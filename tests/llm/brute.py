@@ -117,3 +117,25 @@ def merkle_rows(rows, changed):
                 node = hashed(other + node if right else node + other)
             out.append((str(row[0]), leaf, trees[name][-1][0], top[-1][0], hashed("".join(p[0] for p in path)), node))
     return sorted(out)
+
+
+def trie_rows(sequences):
+    """Sorted (conv_id, depth, parent, members, children, leaves, saved, ends digest) of {id: [(role, text), ...]}."""
+    members, ends = {}, {}
+    for conv_id, turns in sequences.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(conv_id)
+        ends.setdefault(tuple(turns), []).append(conv_id)
+    children = Counter(node[:-1] for node in members if node)
+    leaves, saved = Counter(), Counter()
+    for node, ids in members.items():
+        for d in range(len(node) + 1):
+            leaves[node[:d]] += node not in children
+            saved[node[:d]] += (len(ids) - 1) * len(node[-1][1]) if node else 0
+    return sorted(
+        (
+            min(ids), len(node), str(min(members[node[:-1]]) if node else None), len(ids), children[node],
+            leaves[node], saved[node], hashed(",".join(map(str, sorted(ends.get(node, []))))),
+        )
+        for node, ids in members.items()
+    )
