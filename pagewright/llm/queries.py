@@ -399,3 +399,16 @@ def op12_prefix_trie(t: Tables) -> DataFrame:
     from pagewright.llm.prefix_trie import prefix_trie
 
     return prefix_trie(*_rebuilt(t.conversations)).drop("node", "parent")
+
+
+# --- packing ---------------------------------------------------------------------------------
+
+TOKENIZER_PATH = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@query("op11_best_fit_packing")
+def op11_best_fit_packing(t: Tables) -> DataFrame:
+    from pagewright.llm.packing import pack, token_pieces
+    from pagewright.session import stage
+
+    return pack(stage(token_pieces(t.documents, TOKENIZER_PATH), "pieces"))
