@@ -36,40 +36,83 @@ LARGE = 1 / 3
 GROUPS = 256
 # a configuration that is better by less than this share is not looked for
 TOLERANCE = 0.001
-# texts go to the tokenizer in parts of about this many characters
-PART_CHARS = 1 << 17
-# where a text may be cut: a space between two characters that are none starts a new token
-CUT = re.compile(r"(?<=\S) (?=\S)")
-
-
-def _parts(text: str) -> list[str]:
-    """A text in parts whose ids, one after the other, are those of the whole text."""
-    parts, start = [], 0
-    while len(text) - start > PART_CHARS:
-        cut = CUT.search(text, start + PART_CHARS)
-        if cut is None:
-            break
-        parts.append(text[start : cut.start()])
-        start = cut.start()
-    return [*parts, text[start:]]
-
-
-def _ids(texts: list[str], tokenizer) -> Iterator[np.ndarray]:
-    """The ids of each text, the end id behind them."""
-    parts = [_parts(text) for text in texts]
-    flat = [part for of in parts for part in of]
-    encoded: list[np.ndarray] = []
-    start = size = 0
-    for i, part in enumerate([*flat, ""]):
-        if i == len(flat) or (size and size + len(part) > PART_CHARS):
-            for made in tokenizer.encode_batch_fast(flat[start:i], add_special_tokens=False):
-                encoded.append(np.array(made.ids, dtype="<u4"))
-            start, size = i, 0
-        size += len(part)
-    end, at = np.array([END_ID], dtype="<u4"), 0
-    for of in parts:
-        yield np.concatenate([*encoded[at : at + len(of)], end])
-        at += len(of)
+# distinct units of text whose ids a worker remembers, in each of two generations, and their longest
+MAX_UNITS = 1 << 19
+UNIT_CHARS = 64
+# where a text may be cut: before a space between two characters that are none a new token starts
+CUT = re.compile(r"(?<=\S)(?= \S)")
+
+
+class _Encoder:
+    """Ids of texts as little-endian bytes. Most units come again, so the ids of short ones are remembered.
+
+    A unit goes from one cut to the next: a space and what follows it up to the next space. Units seen
+    for the first time go to the tokenizer as one text, which is cut again by the number of bytes each
+    id stands for.
+    """
+
+    def __init__(self, model: str):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.tokenizer = Tokenizer.from_str(model)
+        self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            self.sizes[number] = len(token)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn(self, units: list[str]) -> dict[str, bytes]:
+        ids = self._encoded("".join(units))
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(unit.encode()) for unit in units])) + 1
+        raw, start, made = ids.tobytes(), 0, {}
+        for unit, end in zip(units, (4 * ends).tolist(), strict=True):
+            made[unit] = raw[start:end]
+            start = end
+        return made
+
+    def ids(self, text: str) -> bytes:
+        known, older = self.known, self.older
+        first, *units = text.split(" ")
+        units = [" " + unit for unit in units]
+        new = [unit for unit in set(units) if unit not in known]
+        # what is known stands between cuts; a space beside other white space is no cut
+        if (units and (not first or first[-1].isspace())) or any(
+            len(unit) < 2 or unit[1].isspace() or unit[-1].isspace() for unit in new
+        ):
+            first, *units = CUT.split(text)
+            last = units.pop() if units and units[-1][-1].isspace() else ""
+            new = [unit for unit in set(units) if unit not in known]
+        else:
+            last = ""
+        for unit in [unit for unit in new if unit in older]:
+            known[unit] = older[unit]
+        new = [unit for unit in new if unit not in known]
+        made = self._learn(new) if new else {}
+        long = {unit: ids for unit, ids in made.items() if len(unit) > UNIT_CHARS}
+        known.update(made)
+        parts = [self._encoded(first).tobytes(), *[known[unit] for unit in units], self._encoded(last).tobytes()]
+        for unit in long:
+            del known[unit]
+        if len(known) > MAX_UNITS:
+            self.known, self.older = {}, known
+        return b"".join(parts)
+
+
+_encoders: dict[str, _Encoder] = {}
+
+
+def _encoder(model: str) -> _Encoder:
+    """The worker's encoder, which its next tasks use again."""
+    if model not in _encoders:
+        _encoders.clear()
+        _encoders[model] = _Encoder(model)
+    return _encoders[model]
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -77,24 +120,23 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY)
 
     A document is its text's ids (null: an empty text) and the end id. One longer than ``capacity`` is
     cut into pieces of that length, of which the first may be shorter. Repeated rows are documents of
-    their own. Other columns are ignored. A very long text is tokenized in parts that give the same ids.
+    their own. Other columns are ignored. A very long text is tokenized in units that give the same ids.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_str(model.value)
-        tokenizer.encode_special_tokens = True
+        encoder = _encoder(model.value)
+        end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             rows = {name: [] for name in ("row", "piece", "start", "length", "ids_crc32")}
-            for row, ids in enumerate(_ids(batch["text"].to_pylist(), tokenizer)):
-                first = len(ids) % capacity
-                edges = [*([0] if first else []), *range(first, len(ids) + 1, capacity)]
+            for row, text in enumerate(batch["text"].to_pylist()):
+                ids = encoder.ids(text) + end
+                n = len(ids) // 4
+                first = n % capacity
+                edges = [*([0] if first else []), *range(first, n + 1, capacity)]
                 for piece, (start, stop) in enumerate(zip(edges, edges[1:], strict=False)):
-                    values = row, piece, start, stop - start, zlib.crc32(ids[start:stop].tobytes())
+                    values = row, piece, start, stop - start, zlib.crc32(ids[4 * start : 4 * stop])
                     for name, value in zip(rows, values, strict=True):
                         rows[name].append(value)
             ids_of = batch["doc_id"].take(pa.array(rows.pop("row"), pa.int64()))

@@ -80,6 +80,8 @@ def test_token_pieces(spark, docs, monkeypatch):
     rng = random.Random(3)
     texts = [None, "", " ", "<|endoftext|> x", "é🙂\n\n a  b", " ".join(f"w{rng.randrange(999)}" for _ in range(3000))]
     texts += ["".join(rng.choice("ab \n\t'.é7") for _ in range(400_000)), "x" * 5000]
+    odd = " \u00a0\u3000\x1c\x85\u2028\r\n\tab.'s9é<|>"
+    texts += ["".join(rng.choice(odd) for _ in range(n)) for n in (1, 2, 3, 5, 9, 30, 400) * 30]
     rows = [*enumerate(texts), (None, "null id"), (1, ""), (5, texts[5])]
     df = docs(rows).withColumn("piece", F.lit("p")).withColumn("length", F.lit("l")).withColumn("row", F.lit(1))
     found = packing.token_pieces(df, TOKENIZER_PATH).collect()
