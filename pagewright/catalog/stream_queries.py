@@ -3,9 +3,12 @@
 from pyspark.sql import functions as F
 
 from pagewright.catalog import inputs as I
+from pagewright.catalog.crawl_queries import PATHS, disallowed
 from pagewright.catalog.registry import query
+from pagewright.catalog.scalar_queries import TYPE_OK
 from pagewright.functions.http import content_hash
 from pagewright.operators.gates import fetch_gate
+from pagewright.operators.robots import robots_records
 from pagewright.plans.content import extract_links
 from pagewright.session import scratch_path
 from pagewright.streaming import crawl, grouping
@@ -56,16 +59,30 @@ def _(t):
     return collected(t, fetch_gate(fetched, 2).select("id", "url", "type"))
 
 
-@query("R3_stream_content_dedupe", "SELECT DISTINCT md5(text) AS hash FROM documents")
+GATE = f"""coalesce(content_length <= 2000000, true) AND status < 400 AND {TYPE_OK}"""
+
+
+@query("R2_stream_gate_routes", f"""
+WITH log AS ({I.FETCH_LOG}), paths AS ({PATHS})
+SELECT id, CASE WHEN path LIKE '/purchase%' OR path LIKE '/click%' THEN 'frontier' ELSE 'keep' END AS route
+FROM log JOIN paths USING (id) WHERE {GATE} AND (path LIKE '/click%' OR NOT {disallowed('path')})""")
+def _(t):
+    # clicks were asked for under the http site and answered by the https one
+    answered = F.when(F.col("type") == "application/rss+xml", F.regexp_replace("url", "^http:(.*):80/", "https:$1:443/"))
+    fetched = t.spark.sql(LOG, stream=stream_of(t, "events")).withColumn("final_url", answered)
+    pages = fetched.withColumn("document", F.lit(""))
+    routed = crawl.accepted_pages(pages, robots_records(t.sql(I.ROBOTS)))
+    return collected(t, routed.select("id", "route"))
+
+
+@query("R3_stream_content_dedupe", "SELECT min(doc_id) AS doc_id, md5(text) AS hash FROM documents GROUP BY 2")
 def _(t):
-    fresh = crawl.first_contents(crawl.accepted_pages(plain_texts(t)))
-    return collected(t, fresh.select("hash"))
+    return kept_contents(stored(t, plain_texts(t)))
 
 
-@query("R3_stream_content_dedupe_bounded", "SELECT DISTINCT md5(text) AS hash FROM documents")
+@query("R3_stream_content_dedupe_bounded", "SELECT min(doc_id) AS doc_id, md5(text) AS hash FROM documents GROUP BY 2")
 def _(t):
-    fresh = crawl.first_contents(crawl.accepted_pages(plain_texts(t)), within="7 days")
-    return collected(t, fresh.select("hash"))
+    return kept_contents(stored(t, plain_texts(t), within="7 days"))
 
 
 @query("R4_stream_link_extraction", f"WITH {I.LINKS_SQL} SELECT source, dest, count(*) AS n FROM normal_links GROUP BY 1, 2")
@@ -74,12 +91,18 @@ def _(t):
     return links.groupBy("source", "dest").agg(F.count("*").alias("n"))
 
 
-def stored(t, pages):
+def stored(t, pages, **options):
     folder = scratch_path(t.spark, "crawl-tables")
-    crawl.crawl_stream(pages, folder, scratch_path(t.spark, "crawl-state")).awaitTermination()
+    crawl.crawl_stream(pages, folder, scratch_path(t.spark, "crawl-state"), **options).awaitTermination()
     return crawl.CrawlTables(t.spark, folder)
 
 
+def kept_contents(tables):
+    pages = tables.docs().join(tables.urls(), "id")
+    number = F.regexp_extract("url", "([0-9]+)$", 1).cast("long")
+    return pages.select(number.alias("doc_id"), content_hash(F.col("content")).alias("hash"))
+
+
 NORMAL_URL = """regexp_extract(url, '^(https?://[^/]+)', 1) || CASE WHEN url LIKE 'https:%' THEN ':443' ELSE ':80' END
   || regexp_extract(url, '^https?://[^/]+(/.*)$', 1)"""
 
@@ -101,6 +124,16 @@ def _(t):
     )
 
 
+@query("R6_stored_last_seen", "SELECT 'http://u' || user_id AS url, max(ts) AS last_crawled FROM events GROUP BY 1")
+def _(t):
+    seen = stream_of(t, "events").select(
+        F.concat(F.lit("http://u"), "user_id").alias("url"), F.col("ts").alias("fetched_at")
+    )
+    state = scratch_path(t.spark, "last-seen-state")
+    crawl.run_latest(crawl.last_seen(seen), scratch_path(t.spark, "last-seen"), state, "url")
+    return crawl.stored_last_seen(t.spark, state)
+
+
 @query("R7_shuffle_grouping", "SELECT event_id FROM events")
 def _(t):
     return collected(t, grouping.shuffle_grouping(stream_of(t, "events"), 4).select("event_id"))
@@ -124,6 +157,38 @@ def _(t):
     return stored(t, web_pages(t)).links().select("source", "dest")
 
 
+# robots of the page sites: two kinds of rules by the end of the host
+SITE = "regexp_extract(url, '^(https?://[^/]+)', 1)"
+SITE_PORT = f"concat({SITE}, CASE WHEN url LIKE 'https:%' THEN ':443' ELSE ':80' END)"
+SITE_ROBOTS = f"""
+SELECT DISTINCT {SITE_PORT} AS domain,
+  CASE WHEN {SITE} LIKE '%.org' THEN concat('User-agent: *', chr(10), 'Disallow: /de', chr(10), 'Crawl-delay: 2.5')
+       WHEN {SITE} LIKE '%.net' THEN concat('User-agent: *', chr(10), 'Allow: /them', chr(10), 'Disallow: /the', chr(10), 'Crawl-delay: 7')
+  END AS robots_txt, false AS timed_out FROM {{pages}}"""
+REFUSED = """(({0} LIKE '%.org:80' OR {0} LIKE '%.org:443') AND {1} LIKE '/de%'
+  OR ({0} LIKE '%.net:80' OR {0} LIKE '%.net:443') AND {1} LIKE '/the%' AND {1} NOT LIKE '/them%')"""
+
+
+@query("R10_crawl_frontier", f"""
+WITH fetched AS (
+  SELECT {NORMAL_URL} AS url, {SITE_PORT} AS domain, regexp_extract(url, '^https?://[^/]+(/.*)$', 1) AS path, html,
+    url AS written, TIMESTAMP '2024-01-01' + to_seconds(page_id) AS fetched_at FROM pages),
+accepted AS (SELECT * FROM fetched WHERE NOT {REFUSED.format('domain', 'path')}),
+first AS (SELECT * FROM accepted QUALIFY row_number() OVER (PARTITION BY md5(html) ORDER BY fetched_at, url) = 1),
+found AS (SELECT DISTINCT domain, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS path FROM first),
+fresh AS (
+  SELECT domain, domain || path AS url FROM found
+  WHERE NOT {REFUSED.format('domain', 'path')} AND domain || path NOT IN (SELECT url FROM accepted)),
+delays AS (
+  SELECT domain, CASE WHEN domain LIKE '%.org:%' THEN 2500 WHEN domain LIKE '%.net:%' THEN 7000 ELSE 0 END AS delay,
+    max(fetched_at) AS last FROM accepted GROUP BY 1)
+SELECT url, greatest((SELECT max(fetched_at) FROM accepted), last + to_milliseconds(delay))
+    + to_milliseconds((row_number() OVER (PARTITION BY domain ORDER BY url) - 1) * delay) AS date_added
+FROM fresh JOIN delays USING (domain)""")
+def _(t):
+    return stored(t, web_pages(t), records=robots_records(t.sql(SITE_ROBOTS))).frontier()
+
+
 @query("D4_user_defined_step", "SELECT user_id, value * 2 AS doubled FROM events WHERE event_type = 'purchase'")
 def _(t):
     def step(rows):

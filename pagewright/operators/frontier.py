@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from pagewright.functions.http import parse_http_date
 from pagewright.functions.url import crawl_domain, normalise_url
-from pagewright.operators.robots import with_robots
+from pagewright.operators.robots import stream_with_robots, with_robots
 from pagewright.operators.scale import positions, salted_lookup
 from pagewright.operators.tables import absent
+from pagewright.session import stage
 
 
 def _plus_millis(ts: Column, millis: Column) -> Column:
@@ -35,6 +36,18 @@ def due_times(urls: DataFrame, last_requests: DataFrame, now: Column, order: lis
     ).select(*urls.columns, "due")
 
 
+def frontier_additions(
+    known: DataFrame, discovered: DataFrame, records: DataFrame, last_requests: DataFrame, now: Column
+) -> DataFrame:
+    """(url, domain, due) of the discovered URLs that are allowed and not among the ``known`` ones."""
+    urls = discovered.select(normalise_url(F.col("url")).alias("url")).where("url IS NOT NULL")
+    # counted for hot domains before it is joined, so it is worked out once
+    fresh = stage(absent(urls, known, ["url"]), "fresh")
+    allowed = with_robots(fresh, records).where(~F.col("disallowed"))
+    added = due_times(allowed.select("url", "domain", "delay"), last_requests, now, ["url"])
+    return added.select("url", "domain", "due")
+
+
 def frontier_update(
     frontier: DataFrame,
     discovered: DataFrame,
@@ -43,10 +56,7 @@ def frontier_update(
     now: Column,
 ) -> DataFrame:
     """Frontier plus the discovered URLs that are allowed and not queued yet, with their due time."""
-    urls = discovered.select(normalise_url(F.col("url")).alias("url")).where("url IS NOT NULL")
-    fresh = absent(urls, frontier, ["url"])
-    allowed = with_robots(fresh, records).where(~F.col("disallowed"))
-    added = due_times(allowed.select("url", "domain", "delay"), last_requests, now, ["url"])
+    added = frontier_additions(frontier, discovered, records, last_requests, now)
     return frontier.select("url", "date_added").unionByName(
         added.select("url", F.col("due").alias("date_added"))
     )
@@ -121,7 +131,8 @@ def seen_after(plan: DataFrame, seen: DataFrame, now: Column) -> DataFrame:
 
 def redirect_routes(fetches: DataFrame, records: DataFrame) -> DataFrame:
     """Add ``route``: frontier when the final URL has another domain, drop when disallowed, else keep."""
-    checked = with_robots(fetches, records, "final_url")
+    check = stream_with_robots if fetches.isStreaming else with_robots
+    checked = check(fetches, records, "final_url")
     same = F.coalesce(crawl_domain(F.col("url")) == F.col("domain"), F.lit(False))
     route = F.when(~same, "frontier").when(F.col("disallowed"), "drop").otherwise("keep")
     return checked.select(

@@ -140,17 +140,17 @@ def compiled_records(records: DataFrame) -> DataFrame:
     )
 
 
-def with_robots(urls: DataFrame, records: DataFrame, url: str = "url") -> DataFrame:
-    """Add ``disallowed`` and the domain's ``delay`` to each URL; a domain may hold most URLs."""
+def _keyed(urls: DataFrame, url: str) -> DataFrame:
+    return urls.withColumn("domain", crawl_domain(F.col(url))).withColumn("_path", file_path(F.col(url)))
+
+
+def _judged(joined: DataFrame) -> DataFrame:
+    """Apply the compiled record that a row was joined with."""
 
     def matches(pattern: str) -> Column:
         # regexp_instr keeps the compiled pattern while it does not change from row to row
         return F.coalesce(F.regexp_instr(F.col("_path"), F.col(pattern)) > 0, F.lit(False))
 
-    keyed = urls.withColumn("domain", crawl_domain(F.col(url))).withColumn(
-        "_path", file_path(F.col(url))
-    )
-    joined = salted_lookup(keyed, compiled_records(records), "domain", "left", [url])
     return (
         joined.withColumn("disallowed", matches("_disallow") & ~matches("_allow"))
         .withColumn("delay", F.coalesce("delay", F.lit(0.0)))
@@ -158,6 +158,23 @@ def with_robots(urls: DataFrame, records: DataFrame, url: str = "url") -> DataFr
     )
 
 
+def with_robots(urls: DataFrame, records: DataFrame, url: str = "url") -> DataFrame:
+    """Add ``disallowed`` and the domain's ``delay`` to each URL; a domain may hold most URLs."""
+    return _judged(salted_lookup(_keyed(urls, url), compiled_records(records), "domain", "left", [url]))
+
+
+def stream_with_robots(urls: DataFrame, records: DataFrame, url: str = "url", slices: int = 8) -> DataFrame:
+    """``with_robots`` of a stream and a static table of records.
+
+    A stream cannot be counted before it is joined, so every domain's rows are dealt over ``slices``
+    copies of its record.
+    """
+    cut = F.sequence(F.lit(0), F.lit(slices - 1))
+    copies = compiled_records(records).withColumn("_slice", F.explode(cut))
+    left = _keyed(urls, url).withColumn("_slice", F.pmod(F.xxhash64(url), F.lit(slices)).cast("int"))
+    return _judged(left.join(copies, ["domain", "_slice"], "left").drop("_slice"))
+
+
 def robots_filter(urls: DataFrame, records: DataFrame, url: str = "url") -> DataFrame:
     """URLs the rules allow."""
     return with_robots(urls, records, url).where(~F.col("disallowed")).select(*urls.columns)

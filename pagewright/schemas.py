@@ -2,6 +2,7 @@
 
 from pyspark.sql.types import (
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -26,7 +27,18 @@ DOMAINS = _schema(source=StringType, dest=StringType)
 PAGERANK_RESULTS = _schema(domain=StringType, rank=DoubleType)
 URL_SEEN = _schema(url=StringType, last_crawled=TimestampType)
 FRONTIER = _schema(url=StringType, date_added=TimestampType)
+# the last three may be null: an unknown status counts as a success, no final URL as no redirect
 FETCHED_PAGES = _schema(
-    url=StringType, document=StringType, type=StringType, fetched_at=TimestampType
+    url=StringType,
+    document=StringType,
+    type=StringType,
+    fetched_at=TimestampType,
+    status=IntegerType,
+    content_length=LongType,
+    final_url=StringType,
 )
+# what a crawl remembers: contents met, pages fetched, requests made per domain
+CONTENT_SEEN = _schema(hash=StringType, fetched_at=TimestampType)
+PAGE_SEEN = _schema(url=StringType, last_crawled=TimestampType, hash=StringType)
+DOMAIN_REQUESTS = _schema(domain=StringType, last_request=TimestampType)
 QUERIES = _schema(qid=LongType, query=StringType)

@@ -5,7 +5,11 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,7 +33,16 @@ RUNTIME_SETTINGS = {
 
 
 _shipped: set[str] = set()
-_staged: list[str] = []
+
+
+class _Scopes(threading.local):
+    """The lists that tables staged by this thread are noted in, the innermost last."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+_scopes = _Scopes()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -85,22 +98,58 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a parquet table in the scratch folder and read it back.
 
     For inputs used by more than one branch: they are computed once, and a lost executor costs a
-    re-read of files rather than a recomputation.
+    re-read of files rather than a recomputation. They stay until the block they were staged in ends
+    (``staging``), or for good where there is none.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    _staged.append(path)
+    if _scopes.open:
+        _scopes.open[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_staged(spark: SparkSession) -> None:
-    """Remove the tables written by ``stage`` so far; for jobs whose results are all stored by now."""
-    while _staged:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_staged.pop())
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Note in ``paths`` the tables that this thread stages inside the block, and no others."""
+    _scopes.open.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.open.pop()
+
+
+def remove_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete the noted tables and empty the list; once nothing reads them any more."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside the block goes at its end; for jobs that store their results inside it."""
+    paths: list[str] = []
+    try:
+        with recorded(paths):
+            yield
+    finally:
+        remove_tables(spark, paths)
+
+
+def together(*jobs: Callable[[], object]) -> None:
+    """Run independent jobs side by side; what they stage belongs to the caller's block."""
+    scopes = list(_scopes.open)
+
+    def run(job: Callable[[], object]) -> None:
+        _scopes.open = scopes
+        job()
+
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(run, job) for job in jobs]:
+            done.result()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint, which keeps the partitioning of ``df`` (``stage`` does not)."""
     sc = df.sparkSession.sparkContext
