@@ -83,9 +83,11 @@ class KeyStore:
         fs.rename(made, final)
         names = [n for n in self._names("versions", "v") if n <= name]
         live = {place for n in names[-2:] for place in _places(self._load(n))}
+        used = {place.split("/")[0] for place in live}
         for old in names[:-2]:
             for place in _places(self._load(old)) - live:
-                fs.delete(self._path(place), True)
+                part = place.split("/")[0]
+                fs.delete(self._path(place if part in used else part), True)
             fs.delete(self._path(f"versions/{old}"), False)
 
     # --- rows
