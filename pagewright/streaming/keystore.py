@@ -44,6 +44,7 @@ class KeyStore:
     ):
         self.spark, self.folder, self.keys, self.upsert = spark, folder.rstrip("/"), keys, upsert
         self.schema = StructType([*schema.fields]).add(BATCH, LongType())
+        self.columns = [field.name for field in schema.fields]
         self.buckets, self.merge_after = buckets, merge_after
 
     # --- version files
@@ -71,7 +72,7 @@ class KeyStore:
         names = self._names("versions", "v")
         if before is not None:
             names = [name for name in names if name < f"v{before:09d}"]
-        return self._load(names[-1]) if names else {"notes": {}, "parts": {}}
+        return self._load(names[-1]) if names else {"notes": {}, "parts": {}, "made": []}
 
     def _commit(self, version: dict[str, Any], batch: int) -> None:
         fs, name = self._fs(), f"v{batch:09d}"
@@ -85,9 +86,13 @@ class KeyStore:
         live = {place for n in names[-2:] for place in _places(self._load(n))}
         used = {place.split("/")[0] for place in live}
         for old in names[:-2]:
-            for place in _places(self._load(old)) - live:
+            dropped = self._load(old)
+            gone = {part for part in dropped["made"] if part not in used}
+            for place in _places(dropped) - live:
                 part = place.split("/")[0]
-                fs.delete(self._path(place if part in used else part), True)
+                gone.add(place if part in used else part)
+            for place in gone:
+                fs.delete(self._path(place), True)
             fs.delete(self._path(f"versions/{old}"), False)
 
     # --- rows
@@ -105,7 +110,7 @@ class KeyStore:
 
     def read(self, before: int | None = None) -> DataFrame:
         """All rows, one per key."""
-        return self._newest(self._rows(list(_places(self.version(before))))).drop(BATCH)
+        return self._newest(self._rows(list(_places(self.version(before))))).select(*self.columns)
 
     def held(self, rows: DataFrame, before: int | None = None) -> DataFrame:
         """The store's rows whose key is among those of ``rows``; only their buckets are read.
@@ -115,7 +120,7 @@ class KeyStore:
         """
         wanted = {str(row[0]) for row in rows.select(self.bucket()).distinct().collect()}
         found = self._rows([place for place in _places(self.version(before)) if place.rsplit("=", 1)[1] in wanted])
-        return self._newest(held(found, rows, self.keys)).drop(BATCH)
+        return self._newest(held(found, rows, self.keys)).select(*self.columns)
 
     def _write(self, rows: DataFrame, part: str) -> list[str]:
         writer = (
@@ -133,12 +138,11 @@ class KeyStore:
     def write(self, rows: DataFrame, batch: int, **notes: Any) -> DataFrame:
         """Add ``rows``, one per key, as this batch; returns them as stored. ``notes`` replace those of before."""
         version = self.version(before=batch)
-        names = [field.name for field in self.schema.fields if field.name != BATCH]
         part = f"part={batch:09d}"
-        touched = self._write(rows.select(*names).withColumn(BATCH, F.lit(batch).cast("long")), part)
+        touched = self._write(rows.select(*self.columns).withColumn(BATCH, F.lit(batch).cast("long")), part)
         for bucket in touched:
             version["parts"].setdefault(bucket, []).append([part, 0])
-        self._merge(version, batch)
+        version["made"] = [part, *self._merge(version, batch)]
         version["notes"].update(notes)
         self._commit(version, batch)
         return self._rows([f"{part}/bucket={bucket}" for bucket in touched]).drop(BATCH)
@@ -146,8 +150,9 @@ class KeyStore:
     def note(self, name: str, default: Any, before: int | None = None) -> Any:
         return self.version(before)["notes"].get(name, default)
 
-    def _merge(self, version: dict[str, Any], batch: int) -> None:
-        """Merge the smallest size class that is full, in every bucket where one is."""
+    def _merge(self, version: dict[str, Any], batch: int) -> list[str]:
+        """Merge the smallest size class that is full, in every bucket where one is; the parts it made."""
+        made = []
         full: dict[int, dict[str, list[str]]] = {}
         for bucket, parts in version["parts"].items():
             for size in sorted({size for _, size in parts}):
@@ -162,6 +167,8 @@ class KeyStore:
             for bucket, parts in by_bucket.items():
                 kept = [entry for entry in version["parts"][bucket] if entry[0] not in parts]
                 version["parts"][bucket] = [[merged, size + 1], *kept]
+            made.append(merged)
+        return made
 
 
 def _places(version: dict[str, Any]) -> set[str]:
