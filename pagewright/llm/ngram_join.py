@@ -31,9 +31,9 @@ from pagewright.llm.tokens import Runs, chunks, lowered, words
 from pagewright.session import stage
 
 # n-grams of the sets that are packed together, of one bucket, and of one slice of a block
-PACKED = 1_000_000
-BUCKET = 4_000_000
-SLICE = 4_000_000
+PACKED = 500_000
+BUCKET = 1_000_000
+SLICE = 1_000_000
 LEAST_BUCKETS = 256
 CHARS_PER_WORD = 6
 

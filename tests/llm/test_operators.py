@@ -9,7 +9,7 @@ import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
 
-from pagewright.llm import chat, classifier, html, mixing, ngram_join, quality_rules, queries, sentencepiece, suffix_dedup, topk, url_filter
+from pagewright.llm import chat, classifier, components, html, mixing, ngram_join, quality_rules, queries, sentencepiece, suffix_dedup, topk, url_filter
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -54,6 +54,41 @@ def test_near_components_of_sliced_blocks(docs, monkeypatch):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found) == brute.components(rows, 4, 85, 100)
 
 
+def plain_components(links):
+    label = {}
+    for a, b in links:
+        label.setdefault(a, a), label.setdefault(b, b)
+
+    def find(x):
+        while label[x] != x:
+            label[x] = label[label[x]]
+            x = label[x]
+        return x
+
+    for a, b in links:
+        x, y = find(a), find(b)
+        label[max(x, y)] = min(x, y)
+    return sorted((x, find(x)) for x in label)
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "random", "loops", "none"])
+def test_components(spark, shape):
+    rng = random.Random(7)
+    links = {
+        "path": [(i, i + 1) for i in range(10_000)],
+        "star": [(5000, i) for i in range(3000)],
+        "random": [(rng.randrange(900), rng.randrange(900)) for _ in range(500)] * 2,
+        "loops": [(1, 1), (2, 3), (3, 2), (3, 3), (4, 4)],
+        "none": [],
+    }[shape]
+    frame = spark.createDataFrame(links, "a long, b long")
+    found = components.components(frame).collect()
+    assert sorted((r.node, r.component) for r in found) == plain_components(links)
+    if shape == "path":
+        rounds = [step.count() for step in components.contractions(frame)]
+        assert len(rounds) <= 12 and sum(rounds) < 2 * len(links)
+
+
 def test_one_of_each(docs):
     text = " ".join(f"w{i}" for i in range(100))
     rows = [(9, text), (10, text + " more"), (-3, text + " end"), (4, ""), (5, None), (None, text), (7, "else"), (7, "else")]
