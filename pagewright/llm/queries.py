@@ -211,7 +211,7 @@ def op6_html_extraction(t: Tables) -> DataFrame:
 def op3_suffix_dedup(t: Tables) -> DataFrame:
     from pagewright.llm.suffix_dedup import BYTES_400, remove_repeats
 
-    return remove_repeats(t.documents, BYTES_400).drop("kept")
+    return remove_repeats(t.documents, BYTES_400, texts_too=False)
 
 
 # --- n-gram Jaccard join ---------------------------------------------------------------------

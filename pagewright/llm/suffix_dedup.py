@@ -322,9 +322,13 @@ def _cut(unit: Unit):
     return run
 
 
-def remove_repeats(docs: DataFrame, unit: Unit = BYTES_400, columns: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, unit: Unit = BYTES_400, columns: tuple[str, ...] = ("doc_id",), texts_too: bool = True
+) -> DataFrame:
     """``columns`` of each row with (n_bytes, n_removed, n_spans, kept_sha256, kept) of its ``text``.
 
+    Without ``texts_too`` there is no ``kept``, and no text moves for the last join.
+
     Every token covered by a ``unit.width``-token window that also starts anywhere else, in this text
     or another, is removed; windows are judged on the input. ``kept`` holds the remaining bytes,
     which may break a character in ``bytes``. Windows of words are compared by the words alone;
@@ -360,12 +364,21 @@ def remove_repeats(docs: DataFrame, unit: Unit = BYTES_400, columns: tuple[str,
     cut = alone.join(covered, "key").mapInArrow(
         _cut(unit), "key binary, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
-    whole_text = F.col("_text").cast("binary")
-    return keyed.join(cut.withColumnRenamed("key", "_key"), "_key", "left").select(
+    # taken before the join, so that the text itself only moves where it is asked for
+    text = F.col("_text").cast("binary")
+    facts = keyed.select(
+        *columns,
+        "_key",
+        F.length(text).cast("long").alias("n_bytes"),
+        F.sha2(text, 256).alias("_sha256"),
+        *([text.alias("_whole")] if texts_too else []),
+    )
+    cut = cut.withColumnRenamed("key", "_key")
+    return facts.join(cut if texts_too else cut.drop("kept"), "_key", "left").select(
         *columns,
-        F.length(whole_text).cast("long").alias("n_bytes"),
+        "n_bytes",
         F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
-        F.coalesce("kept_sha256", F.sha2(whole_text, 256)).alias("kept_sha256"),
-        F.coalesce("kept", whole_text).alias("kept"),
+        F.coalesce("kept_sha256", "_sha256").alias("kept_sha256"),
+        *([F.coalesce("kept", "_whole").alias("kept")] if texts_too else []),
     )

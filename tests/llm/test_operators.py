@@ -106,6 +106,11 @@ def test_repeats(docs):
     texts += ["pre " + passage[100:700] + " post", passage[200:640] * 2, passage]
     rows = [*enumerate(texts), (5, ""), (8, passage), (None, "x" * 500)]
     found = suffix_dedup.remove_repeats(docs(rows)).collect()
+    plain = suffix_dedup.remove_repeats(docs(rows), texts_too=False)
+    assert "kept" not in plain.columns
+    assert sorted(map(str, plain.collect())) == sorted(
+        str(r) for r in suffix_dedup.remove_repeats(docs(rows)).drop("kept").collect()
+    )
     assert sorted((str(r.doc_id), r.n_removed, r.n_spans, r.kept_sha256) for r in found) == brute.repeats(rows, 400)
 
 
