@@ -2,15 +2,17 @@
 
 A document is one row, so counting its terms needs no shuffle: only the exploded (id, term, n) rows
 ever travel. Tokenizing is native; the counting itself, together with stemming, is one Arrow batch
-call, as an array has no native way to group its elements in linear time.
+call, as an array has no native way to group its elements in linear time. Only one row's words are
+Python objects at a time.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterable
 from functools import cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -29,19 +31,28 @@ TERM_COUNTS = StructType(
 )
 
 
+def _words(tokens: pa.Scalar) -> Iterable[str]:
+    """The words of one row, read from Arrow memory; none for a null."""
+    return tokens.values.to_numpy(zero_copy_only=False) if tokens.is_valid else ()
+
+
 @cache
 def _counter(weights: tuple[int, ...], stem: bool):
-    @F.pandas_udf(TERM_COUNTS)
-    def count(*fields: pd.Series) -> pd.DataFrame:
-        rows = []
-        for arrays in zip(*fields):
+    @F.arrow_udf(TERM_COUNTS)
+    def count(*fields: pa.Array) -> pa.Array:
+        largest, ends, terms, numbers = [], [0], [], []
+        for row in range(len(fields[0])):
             counts = Counter()
-            for weight, terms in zip(weights, arrays):
-                for term, n in Counter(terms).items():
+            for weight, field in zip(weights, fields):
+                for term, n in Counter(_words(field[row])).items():
                     counts[stem_word(term) if stem else term] += n * weight
-            pairs = [{"term": term, "n": n} for term, n in counts.items()]
-            rows.append((max(counts.values(), default=0), pairs))
-        return pd.DataFrame(rows, columns=TERM_COUNTS.fieldNames())
+            largest.append(max(counts.values(), default=0))
+            terms.extend(counts)
+            numbers.extend(counts.values())
+            ends.append(len(terms))
+        pairs = pa.StructArray.from_arrays([pa.array(terms, pa.string()), pa.array(numbers, pa.int64())], ["term", "n"])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+        return pa.StructArray.from_arrays([pa.array(largest, pa.int64()), lists], TERM_COUNTS.fieldNames())
 
     return once(count)
 

@@ -19,6 +19,7 @@ from pagewright.functions.text import query_terms, raw_terms, typed_terms
 from pagewright.functions.url import authority
 from pagewright.operators.gates import truncated
 from pagewright.operators.scale import top_k_per_group
+from pagewright.plans import blocks
 from pagewright.session import stage
 
 CANDIDATES = 2000
@@ -68,26 +69,17 @@ def matching_postings(index: DataFrame, weights: DataFrame) -> DataFrame:
     return postings.join(wanted, "term").select("qid", "id", "q", "w")
 
 
-def dot_scores(index: DataFrame, weights: DataFrame) -> DataFrame:
-    return (
-        matching_postings(index, weights)
-        .groupBy("qid", "id")
-        .agg(F.sum(F.col("q") * F.col("w")).alias("score"))
-    )
+def dot_of(matches: DataFrame, weights: DataFrame) -> DataFrame:
+    return matches.groupBy("qid", "id").agg(F.sum(F.col("q") * F.col("w")).alias("score"))
 
 
-def cosine_scores(index: DataFrame, weights: DataFrame) -> DataFrame:
-    """Cosine over the query terms; NULL when either vector is zero."""
+def cosine_of(matches: DataFrame, weights: DataFrame) -> DataFrame:
     norms = weights.groupBy("qid").agg(
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("query_norm")
     )
-    sums = (
-        matching_postings(index, weights)
-        .groupBy("qid", "id")
-        .agg(
-            F.sum(F.col("q") * F.col("w")).alias("dot"),
-            F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("doc_norm"),
-        )
+    sums = matches.groupBy("qid", "id").agg(
+        F.sum(F.col("q") * F.col("w")).alias("dot"),
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("doc_norm"),
     )
     return sums.join(norms, "qid").select(
         "qid",
@@ -96,6 +88,18 @@ def cosine_scores(index: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
+SCORERS = {"dot": dot_of, "cosine": cosine_of}
+
+
+def dot_scores(index: DataFrame, weights: DataFrame) -> DataFrame:
+    return dot_of(matching_postings(index, weights), weights)
+
+
+def cosine_scores(index: DataFrame, weights: DataFrame) -> DataFrame:
+    """Cosine over the query terms; NULL when either vector is zero."""
+    return cosine_of(matching_postings(index, weights), weights)
+
+
 def by_score(column: str = "score") -> list[Column]:
     """Best first, undefined scores last, ties by id.
 
@@ -116,6 +120,40 @@ def best(scores: DataFrame, k: int) -> DataFrame:
     return scores.orderBy(*by_score()).limit(k)
 
 
+def retrieve(
+    index: DataFrame,
+    weights: DataFrame,
+    k: int,
+    scorer: str = "cosine",
+    ranks: DataFrame | None = None,
+    block_ids: int = blocks.BLOCK_IDS,
+) -> DataFrame:
+    """(qid, id, score, rank) of the ``k`` best documents per query.
+
+    ``index`` is a block table (``blocks.build_block_index``) or a plain inverted index, of which all
+    matching postings are read. Of a block table, the blocks with the highest bounds are scored first;
+    their k-th score is the floor that any other block must be able to reach to be scored at all.
+    """
+    score = SCORERS[scorer]
+
+    def scored(matches: DataFrame) -> DataFrame:
+        scores = score(matches, weights)
+        return scores if ranks is None else with_document_rank(scores, ranks)
+
+    if "postings" not in index.columns:
+        return top_scores(scored(matching_postings(index, weights)), k)
+    bounds = blocks.block_bounds(index, weights, scorer)
+    if ranks is not None:
+        bounds = blocks.with_block_ranks(bounds, ranks, block_ids)
+    bounds = stage(bounds, "block-bounds")
+    leading = stage(blocks.leading_blocks(bounds, k), "leading-blocks")
+    first = stage(top_scores(scored(blocks.matches_in(index, weights, leading)), k), "first-scores")
+    floors = first.where(F.col("rank") == k).select("qid", F.col("score").alias("floor"))
+    others = blocks.reaching_blocks(bounds, leading, floors)
+    more = scored(blocks.matches_in(index, weights, others))
+    return top_scores(first.drop("rank").unionByName(more), k)
+
+
 def search_scored(
     queries: DataFrame,
     index: DataFrame,
@@ -130,10 +168,7 @@ def search_scored(
     With ``ranks`` (id, rank) the PageRank of the document is added; unranked documents drop out.
     """
     weights = query_weights(query_counts(queries, stem), idfs)
-    scores = {"cosine": cosine_scores, "dot": dot_scores}[scorer](index, weights)
-    if ranks is not None:
-        scores = with_document_rank(scores, ranks)
-    return top_scores(scores, k)
+    return retrieve(index, weights, k, scorer, ranks)
 
 
 def with_document_rank(scores: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -318,7 +353,7 @@ def search(
     The candidates (``k`` per query) are written once; all later steps read those few rows.
     """
     weights = query_weights(query_counts(queries, stem), idfs)
-    scores = top_scores(cosine_scores(index, weights), k)
+    scores = retrieve(index, weights, k)
     candidates = stage(scores.select("qid", "id", F.col("score").alias("cosine")), "candidates")
     rows = with_fallback(enrich(candidates, urls, content, ranks)).withColumn(
         "score", blended_score(F.col("cosine"), F.col("domain_rank"))
