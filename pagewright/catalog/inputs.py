@@ -11,6 +11,13 @@ SELECT doc_id + 1000000 AS id, text AS content, 'text/plain' AS type FROM {docum
 UNION ALL
 SELECT page_id AS id, html AS content, 'text/html; charset=utf-8' AS type FROM {pages}"""
 
+# (id, url, content, type): the same documents with the URL each was stored under
+STORED_DOCS = """
+SELECT doc_id + 1000000 AS id, concat('http://texts.example.com:80/', CAST(doc_id + 1000000 AS STRING)) AS url,
+  text AS content, 'text/plain' AS type FROM {documents}
+UNION ALL
+SELECT page_id AS id, url, html AS content, 'text/html; charset=utf-8' AS type FROM {pages}"""
+
 # (url, document, type)
 WEB_PAGES = "SELECT url, html AS document, 'text/html; charset=utf-8' AS type FROM {pages}"
 

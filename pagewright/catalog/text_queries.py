@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pagewright.catalog import inputs as I
 from pagewright.catalog.registry import query
 from pagewright.functions.text import raw_terms
-from pagewright.plans import content, index, pagerank, search
+from pagewright.plans import blocks, content, index, pagerank, search
 from pagewright.session import stage
 
 
@@ -61,38 +61,34 @@ def _(t):
     return inverted.select("id", "term", F.round("weight", 8).alias("weight"))
 
 
-def scores_of(t, scorer):
-    inverted, idfs = text_index(t)
-    weights = search.query_weights(search.query_counts(t.sql(I.QUERIES), stem=False), idfs)
-    return scorer(inverted, weights)
+def found_by(t, k, scorer="cosine", ranks=None):
+    """The ``k`` best documents per query, by block-max retrieval."""
+    table, idfs = blocks.build_block_index(t.sql(I.TEXTS), stem=False)
+    found = search.search_scored(t.sql(I.QUERIES), table, idfs, k, scorer, stem=False, ranks=ranks)
+    return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
 @query("X3_search_cosine", I.best_sql("SELECT * FROM cosines", 2000))
 def _(t):
-    found = search.top_scores(scores_of(t, search.cosine_scores), search.CANDIDATES)
-    return found.select("qid", "id", F.round("score", 6).alias("score"))
+    return found_by(t, search.CANDIDATES)
 
 
 # a k that cuts every query's matches
 @query("X3_search_cosine_top_50", I.best_sql("SELECT * FROM cosines", 50))
 def _(t):
-    found = search.top_scores(scores_of(t, search.cosine_scores), 50)
-    return found.select("qid", "id", F.round("score", 6).alias("score"))
+    return found_by(t, 50)
 
 
 @query("X4_search_dot_product", I.best_sql("SELECT qid, id, dot AS score FROM dots", 100))
 def _(t):
-    found = search.top_scores(scores_of(t, search.dot_scores), search.EARLY_CANDIDATES)
-    return found.select("qid", "id", F.round("score", 6).alias("score"))
+    return found_by(t, search.EARLY_CANDIDATES, "dot")
 
 
 @query("X5_search_cosine_plus_rank", I.best_sql(
     "SELECT qid, c.id, score + quality / 4.0 AS score FROM cosines c JOIN labels ON doc_id = c.id", 100))
 def _(t):
     ranks = t.labels.select(F.col("doc_id").alias("id"), (F.col("quality") / 4.0).alias("rank"))
-    scores = search.with_document_rank(scores_of(t, search.cosine_scores), ranks)
-    found = search.top_scores(scores, search.EARLY_CANDIDATES)
-    return found.select("qid", "id", F.round("score", 6).alias("score"))
+    return found_by(t, search.EARLY_CANDIDATES, ranks=ranks)
 
 
 @query("X6_blended_score", """
@@ -191,26 +187,24 @@ def page_search(t, **options):
 
     Plain texts have no content row, so their results show the URL.
     """
-    # content and index are stored tables: written by their jobs, read by the search
-    docs = t.sql(I.CRAWLER_DOCS)
-    parsed = stage(content.page_content(docs), "content")
-    inverted, idfs = index.build_index(content.page_texts(docs))
-    inverted = stage(inverted, "index")
-    pages = t.pages.select(F.col("page_id").alias("id"), "url")
-    plain = docs.where("type = 'text/plain'").select("id", F.concat(F.lit("http://texts.example.com:80/"), "id").alias("url"))
-    urls = pages.unionByName(plain)
+    # pages are parsed once; content, texts, links and URLs are columns of the stored result
+    read = stage(content.read_pages(t.sql(I.STORED_DOCS)), "pages")
+    parsed = stage(content.content_of(read), "content")
+    table, idfs = blocks.build_block_index(content.texts_of(read))
+    urls = read.select("id", "url")
+    pages = urls.join(parsed.select("id"), "id", "left_semi")
     host = F.regexp_extract("url", "//([^/]+)", 1)
     asked = pages.join(parsed, "id").groupBy(host.alias("host")).agg(
         F.min("id").alias("qid"), F.min("title").alias("query")
     )
     # hosts whose pages link to the same path, in the order of their names
-    links = content.extract_links(t.sql(I.WEB_PAGES)).select(
+    links = content.links_of(read).select(
         F.regexp_extract("source", "//([^/]+)", 1).alias("host"), F.regexp_extract("dest", "//[^/]+(/.*)$", 1).alias("path")
     ).distinct()
     first = links.groupBy("path").agg(F.min("host").alias("dest"))
     edges = links.join(first, "path").select(F.col("host").alias("source"), "dest").where("source <> dest").distinct()
     ranks = pagerank.pagerank(edges)
-    return search.search(asked.select("qid", "query"), inverted, idfs, urls, parsed, ranks, **options)
+    return search.search(asked.select("qid", "query"), table, idfs, urls, parsed, ranks, **options)
 
 
 @query("X15_full_search")
