@@ -63,14 +63,17 @@ def _(t):
 
 def found_by(t, k, scorer="cosine", ranks=None):
     """The ``k`` best documents per query, by block-max retrieval."""
-    table, idfs = blocks.build_block_index(t.sql(I.TEXTS), stem=False)
-    found = search.search_scored(t.sql(I.QUERIES), table, idfs, k, scorer, stem=False, ranks=ranks)
+    built, idfs = blocks.build_block_index(t.sql(I.TEXTS), stem=False)
+    found = search.search_scored(t.sql(I.QUERIES), built, idfs, k, scorer, stem=False, ranks=ranks)
     return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
+# so many of the documents that no block could stay closed: the plain index
 @query("X3_search_cosine", I.best_sql("SELECT * FROM cosines", 2000))
 def _(t):
-    return found_by(t, search.CANDIDATES)
+    inverted, idfs = text_index(t)
+    found = search.search_scored(t.sql(I.QUERIES), inverted, idfs, search.CANDIDATES, stem=False)
+    return found.select("qid", "id", F.round("score", 6).alias("score"))
 
 
 # a k that cuts every query's matches
@@ -190,7 +193,8 @@ def page_search(t, **options):
     # pages are parsed once; content, texts, links and URLs are columns of the stored result
     read = stage(content.read_pages(t.sql(I.STORED_DOCS)), "pages")
     parsed = stage(content.content_of(read), "content")
-    table, idfs = blocks.build_block_index(content.texts_of(read))
+    inverted, idfs = index.build_index(content.texts_of(read))
+    inverted = stage(inverted, "index")
     urls = read.select("id", "url")
     pages = urls.join(parsed.select("id"), "id", "left_semi")
     host = F.regexp_extract("url", "//([^/]+)", 1)
@@ -204,7 +208,7 @@ def page_search(t, **options):
     first = links.groupBy("path").agg(F.min("host").alias("dest"))
     edges = links.join(first, "path").select(F.col("host").alias("source"), "dest").where("source <> dest").distinct()
     ranks = pagerank.pagerank(edges)
-    return search.search(asked.select("qid", "query"), table, idfs, urls, parsed, ranks, **options)
+    return search.search(asked.select("qid", "query"), inverted, idfs, urls, parsed, ranks, **options)
 
 
 @query("X15_full_search")

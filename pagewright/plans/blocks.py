@@ -1,14 +1,15 @@
 """Block-max retrieval: postings in blocks of ids; blocks that cannot reach a query's k-th score are left out.
 
-One row of a block table is the posting list of one term in one range of ids, with the smallest and the
-largest term frequency in it. A list is at most as long as the range, so a term found in a third of all
-documents is many rows. Weights are term frequency times idf, and the idf comes with the query's term:
-building the table takes one shuffle, and no idf is joined to postings.
+Beside the postings there is a bounds table: per term and range of ids, how many documents hold the term
+and the smallest and largest term frequency. Weights are term frequency times idf, and the idf comes with
+the query's term: postings are written as they are counted, without a shuffle, only bounds are aggregated
+(in the tasks first), and no idf is joined to postings. A (term, block) key has as many postings as a
+block has ids, so a term found in a third of all documents is many keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,26 +23,32 @@ BLOCK_IDS = 256
 # bounds and scores are sums in different orders
 SLACK = 1e-9
 
-Scorer = Callable[[DataFrame, DataFrame], DataFrame]
-
 
 def block_of(id: Column, block_ids: int) -> Column:
     return F.floor((id - F.pmod(id, F.lit(block_ids))) / block_ids).cast("long")
 
 
-def block_table(counts: DataFrame, a: float, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """(term, block, n, low, high, postings) from (id, term, n, max_n); postings are (id, tf).
+@dataclass(frozen=True)
+class BlockIndex:
+    """Postings (term, block, id, tf) and bounds (term, block, n, low, high), both stored tables."""
+
+    postings: DataFrame
+    bounds: DataFrame
+    block_ids: int
+
+
+def block_index(counts: DataFrame, a: float, block_ids: int = BLOCK_IDS) -> BlockIndex:
+    """The index of (id, term, n, max_n) counts.
 
     Ids are integers. Neighbouring ids that are alike, as those of URLs in order, give sharper bounds.
     """
-    posting = F.struct("id", term_frequency(F.col("n"), F.col("max_n"), a).alias("tf"))
-    rows = counts.select("term", block_of(F.col("id"), block_ids).alias("block"), posting.alias("p"))
-    return rows.groupBy("term", "block").agg(
-        F.count("*").alias("n"),
-        F.min("p.tf").alias("low"),
-        F.max("p.tf").alias("high"),
-        F.collect_list("p").alias("postings"),
+    tf = term_frequency(F.col("n"), F.col("max_n"), a)
+    rows = counts.select("term", block_of(F.col("id"), block_ids).alias("block"), "id", tf.alias("tf"))
+    postings = stage(rows, "postings")
+    bounds = postings.groupBy("term", "block").agg(
+        F.count("*").alias("n"), F.min("tf").alias("low"), F.max("tf").alias("high")
     )
+    return BlockIndex(postings, stage(bounds, "term-bounds"), block_ids)
 
 
 def build_block_index(
@@ -51,16 +58,16 @@ def build_block_index(
     stem: bool = True,
     stop_words: list[str] | None = STOP_WORDS,
     block_ids: int = BLOCK_IDS,
-) -> tuple[DataFrame, DataFrame]:
-    """Block table and idfs (term, idf) of (id, text) documents; the same weights as ``index.build_index``.
+) -> tuple[BlockIndex, DataFrame]:
+    """Block index and idfs (term, idf) of (id, text) documents; the same weights as ``index.build_index``.
 
-    Document frequencies are sums over the blocks' sizes; the lists themselves are not read for them.
+    Document frequencies are sums over the bounds; the postings are not read for them.
     """
     counts = term_counts(docs, text, lambda c: index_terms(c, stop_words), stem)
-    blocks = stage(block_table(counts, a, block_ids), "blocks")
-    frequencies = blocks.groupBy("term").agg(F.sum("n").alias("df"))
+    built = block_index(counts, a, block_ids)
+    frequencies = built.bounds.groupBy("term").agg(F.sum("n").alias("df"))
     idf = inverse_document_frequency(docs.count(), F.col("df"))
-    return blocks, frequencies.select("term", idf.alias("idf"))
+    return built, frequencies.select("term", idf.alias("idf"))
 
 
 def dot_bounds(met: DataFrame, weights: DataFrame) -> DataFrame:
@@ -80,14 +87,14 @@ def cosine_bounds(met: DataFrame, weights: DataFrame) -> DataFrame:
 BOUNDS = {"dot": dot_bounds, "cosine": cosine_bounds}
 
 
-def block_bounds(blocks: DataFrame, weights: DataFrame, scorer: str) -> DataFrame:
+def block_bounds(index: BlockIndex, weights: DataFrame, scorer: str) -> DataFrame:
     """(qid, block, n, bound): a score that no document of the block exceeds; it holds ``n`` matches or more.
 
-    The posting lists are not read.
+    The postings are not read.
     """
     product = F.col("weight") * F.col("idf")
     most = F.greatest(product * F.col("low"), product * F.col("high"), F.lit(0.0))
-    met = blocks.select("term", "block", "n", "low", "high").join(weights, "term").withColumn("most", most)
+    met = index.bounds.join(weights, "term").withColumn("most", most)
     return BOUNDS[scorer](met, weights)
 
 
@@ -103,13 +110,11 @@ def leading_blocks(bounds: DataFrame, k: int) -> DataFrame:
     return chosen.withColumn("_before", before).where(F.col("_before") < k).select("qid", "block")
 
 
-def matches_in(blocks: DataFrame, weights: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(qid, id, q, w) of the query terms in the chosen (qid, block) pairs; other lists are not opened."""
-    wanted = chosen.join(weights, "qid")
-    met = blocks.select("term", "block", "postings").join(wanted, ["term", "block"])
-    return met.select("qid", "idf", F.col("weight").alias("q"), F.inline("postings")).select(
-        "qid", "id", "q", (F.col("tf") * F.col("idf")).alias("w")
-    )
+def matches_in(index: BlockIndex, weights: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(qid, id, q, w) of the query terms in the chosen (qid, block) pairs; other postings meet nothing."""
+    wanted = chosen.join(weights.select("qid", "term", "idf", F.col("weight").alias("q")), "qid")
+    weight = (F.col("tf") * F.col("idf")).alias("w")
+    return index.postings.join(wanted, ["term", "block"]).select("qid", "id", "q", weight)
 
 
 def reaching_blocks(bounds: DataFrame, leading: DataFrame, floors: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from pagewright.functions.url import authority
 from pagewright.operators.gates import truncated
 from pagewright.operators.scale import top_k_per_group
 from pagewright.plans import blocks
+from pagewright.plans.blocks import BlockIndex
 from pagewright.session import stage
 
 CANDIDATES = 2000
@@ -121,17 +122,16 @@ def best(scores: DataFrame, k: int) -> DataFrame:
 
 
 def retrieve(
-    index: DataFrame,
+    index: DataFrame | BlockIndex,
     weights: DataFrame,
     k: int,
     scorer: str = "cosine",
     ranks: DataFrame | None = None,
-    block_ids: int = blocks.BLOCK_IDS,
 ) -> DataFrame:
     """(qid, id, score, rank) of the ``k`` best documents per query.
 
-    ``index`` is a block table (``blocks.build_block_index``) or a plain inverted index, of which all
-    matching postings are read. Of a block table, the blocks with the highest bounds are scored first;
+    ``index`` is a block index (``blocks.build_block_index``) or a plain inverted index, of which all
+    matching postings are read. Of a block index, the blocks with the highest bounds are scored first;
     their k-th score is the floor that any other block must be able to reach to be scored at all.
     """
     score = SCORERS[scorer]
@@ -140,11 +140,11 @@ def retrieve(
         scores = score(matches, weights)
         return scores if ranks is None else with_document_rank(scores, ranks)
 
-    if "postings" not in index.columns:
+    if not isinstance(index, BlockIndex):
         return top_scores(scored(matching_postings(index, weights)), k)
     bounds = blocks.block_bounds(index, weights, scorer)
     if ranks is not None:
-        bounds = blocks.with_block_ranks(bounds, ranks, block_ids)
+        bounds = blocks.with_block_ranks(bounds, ranks, index.block_ids)
     bounds = stage(bounds, "block-bounds")
     leading = stage(blocks.leading_blocks(bounds, k), "leading-blocks")
     first = stage(top_scores(scored(blocks.matches_in(index, weights, leading)), k), "first-scores")
@@ -156,7 +156,7 @@ def retrieve(
 
 def search_scored(
     queries: DataFrame,
-    index: DataFrame,
+    index: DataFrame | BlockIndex,
     idfs: DataFrame,
     k: int = CANDIDATES,
     scorer: str = "cosine",
@@ -338,7 +338,7 @@ def final_order(rows: DataFrame) -> DataFrame:
 
 def search(
     queries: DataFrame,
-    index: DataFrame,
+    index: DataFrame | BlockIndex,
     idfs: DataFrame,
     urls: DataFrame,
     content: DataFrame,
