@@ -1,5 +1,8 @@
 """Crawl planning jobs: robots rules, frontier, recrawl, dedupe, sharding."""
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagewright.catalog import inputs as I
@@ -7,7 +10,8 @@ from pagewright.catalog.registry import query
 from pagewright.catalog.scalar_queries import TYPE_OK, log
 from pagewright.functions.http import content_hash, format_http_date
 from pagewright.operators import frontier, gates, robots, tables
-from pagewright.streaming.grouping import domain_sharding
+from pagewright.session import scratch_path
+from pagewright.streaming.grouping import read_shard, write_by_shard
 
 # the same rules written out by user, for the oracle
 PATHS = "SELECT event_id AS id, user_id, '/' || event_type || '/' || event_id AS path FROM events"
@@ -161,11 +165,19 @@ def _(t):
     return kept.select("doc_id", content_hash(F.col("text")).alias("hash"))
 
 
-@query("C11_domain_sharding", log("SELECT regexp_extract(url, '^(http://[^/]+)', 1) AS domain, count(*) AS n FROM log GROUP BY 1"))
+SHARD_SQL = "CAST(CAST('0x' || substr(md5({0}), 1, 8) AS BIGINT) % {1} AS INTEGER)"
+
+
+# stored by shard, and every shard read on its own
+@query("C11_domain_sharding", log(f"""
+SELECT domain, {SHARD_SQL.format('domain', 8)} AS shard, n
+FROM (SELECT regexp_extract(url, '^(http://[^/]+)', 1) AS domain, count(*) AS n FROM log GROUP BY 1)"""))
 def _(t):
-    sharded = domain_sharding(t.sql(I.FETCH_LOG), 8)
-    per_shard = sharded.groupBy(F.regexp_extract("url", "^(http://[^/]+)", 1).alias("domain"), "shard").agg(F.count("*").alias("n"))
-    return per_shard.select("domain", "n")
+    path = scratch_path(t.spark, "shards")
+    write_by_shard(t.sql(I.FETCH_LOG), path, 8)
+    domain = F.regexp_extract("url", "^(http://[^/]+)", 1).alias("domain")
+    shards = [read_shard(t.spark, path, n).groupBy(domain, "shard").agg(F.count("*").alias("n")) for n in range(8)]
+    return functools.reduce(DataFrame.unionByName, shards)
 
 
 @query("C12_fetch_gate", log(f"SELECT id, url FROM log WHERE {TYPE_OK} AND coalesce(content_length <= 2000000, true) AND status < 400"))

@@ -249,13 +249,12 @@ def _(t):
     return t.documents.select(F.col("doc_id").alias("id"), http.content_hash(F.col("text")).alias("hash"))
 
 
-@query("F19_domain_shard", raw(f"SELECT {NORMAL} AS domain, count(*) AS n, CAST(1 AS BIGINT) AS shards FROM raw GROUP BY 1"))
+@query("F19_domain_shard", raw(f"""
+SELECT domain, CAST(CAST('0x' || substr(md5(domain), 1, 8) AS BIGINT) % 5 AS INTEGER) AS shard, n
+FROM (SELECT {NORMAL} AS domain, count(*) AS n FROM raw GROUP BY 1)"""))
 def _(t):
     sharded = domain_sharding(t.sql(I.RAW_URLS), 5).withColumn("domain", url.crawl_domain(F.col("url")))
-    in_range = F.coalesce(F.col("shard").between(0, 4), F.col("domain").isNull())
-    return sharded.where(in_range).groupBy("domain").agg(
-        F.count("*").alias("n"), F.countDistinct(F.coalesce("shard", F.lit(-1))).alias("shards")
-    )
+    return sharded.groupBy("domain", "shard").agg(F.count("*").alias("n"))
 
 
 @query("F20_robots_pattern", r"""

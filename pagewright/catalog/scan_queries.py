@@ -37,6 +37,14 @@ def _(t):
     return ops.by_keys(t.documents, t.labels.where("toxic = 1"), "doc_id", ["doc_id", "source", "n_chars"])
 
 
+@query("S3_stored_key_lookup", """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE l_orderkey IN (1, 7, 100, 999, 5000)""")
+def _(t):
+    path = scratch_path(t.spark, "sorted")
+    src.write_sorted(t.lineitem, path, "l_orderkey", "l_linenumber")
+    return src.lookup(t.spark, path, "l_orderkey", [1, 7, 100, 999, 5000], ["l_orderkey", "l_linenumber", "l_quantity"])
+
+
 @query("S4_overwrite_keep_definition", "SELECT c_custkey AS id, c_acctbal AS balance FROM customer")
 def _(t):
     path = scratch_path(t.spark, "overwrite")

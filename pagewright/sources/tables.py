@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
@@ -36,9 +37,52 @@ def read_jdbc(
     return reader.load()
 
 
-def read_jdbc_query(spark: SparkSession, options: dict[str, str], sql: str) -> DataFrame:
-    """The result of a SQL text the database runs."""
-    return spark.read.format("jdbc").options(**options).option("query", sql).load()
+def pushed_query_options(
+    options: dict[str, str],
+    sql: str,
+    partition_column: str | None = None,
+    bounds: tuple[int, int] | None = None,
+    partitions: int = 1,
+) -> dict[str, str]:
+    """Reader options for a SQL text that the database runs.
+
+    With a numeric column of its result and the column's bounds, the text stands as a derived table and
+    each task asks for one range of the column; rows outside the bounds are in the first and last range.
+    A text on its own can only be read by one task.
+    """
+    text = sql.strip().rstrip(";")
+    if partition_column is None:
+        return {**options, "query": text}
+    if bounds is None:
+        raise ValueError("a partition column needs bounds")
+    return {
+        **options,
+        "dbtable": f"({text}) pushed",
+        "partitionColumn": partition_column,
+        "lowerBound": str(bounds[0]),
+        "upperBound": str(bounds[1]),
+        "numPartitions": str(partitions),
+    }
+
+
+def read_jdbc_query(
+    spark: SparkSession,
+    options: dict[str, str],
+    sql: str,
+    partition_column: str | None = None,
+    bounds: tuple[int, int] | None = None,
+    partitions: int = 1,
+    predicates: list[str] | None = None,
+) -> DataFrame:
+    """The result of a SQL text the database runs, read by one task or by many.
+
+    ``predicates`` are conditions on the result that exclude each other and hold for every row between
+    them: one task each. They serve keys that are not numbers.
+    """
+    if predicates:
+        rest = {name: value for name, value in options.items() if name != "url"}
+        return spark.read.jdbc(options["url"], f"({sql.strip().rstrip(';')}) pushed", predicates=predicates, properties=rest)
+    return spark.read.format("jdbc").options(**pushed_query_options(options, sql, partition_column, bounds, partitions)).load()
 
 
 def overwrite_jdbc(df: DataFrame, options: dict[str, str], table: str) -> None:
@@ -81,12 +125,27 @@ def recreate_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_sorted(df: DataFrame, path: str, *keys: str) -> None:
-    """Save sorted by ``keys``, so that a lookup of few key values reads few row groups.
+    """Save sorted by ``keys``, with a Bloom filter on the first, so that a lookup reads few row groups.
 
     Rows are range partitioned on all keys: end them with a unique one, and a key value that holds
     many rows is spread over several files.
     """
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)
+    (
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .write.option(f"parquet.bloom.filter.enabled#{keys[0]}", "true")
+        .mode("overwrite")
+        .parquet(path)
+    )
+
+
+def lookup(spark: SparkSession, path: str, key: str, values: list, columns: list[str]) -> DataFrame:
+    """``SELECT columns WHERE key IN (values)`` on a stored table, for as many values as a caller types.
+
+    The list reaches the parquet reader: of a ``write_sorted`` table only the row groups and pages that
+    may hold a value are read. Many keys are a table; see ``operators.tables.by_keys``.
+    """
+    return spark.read.parquet(path).where(F.col(key).isin(values)).select(*columns)
 
 
 def write_clustered(df: DataFrame, table: str, buckets: int, key: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.functions.url import crawl_domain, domain_shard
@@ -27,3 +27,14 @@ def all_grouping(df: DataFrame, consumers: int) -> DataFrame:
 def domain_sharding(urls: DataFrame, shards: int) -> DataFrame:
     """Add the shard that owns each URL's crawl domain."""
     return urls.withColumn("shard", domain_shard(crawl_domain(F.col("url")), shards))
+
+
+def write_by_shard(urls: DataFrame, path: str, shards: int) -> None:
+    """Store rows that have a ``url`` in one folder per shard; a hot domain's rows are several files."""
+    rows = domain_sharding(urls, shards)
+    rows.repartitionByRange("shard", "url").write.partitionBy("shard").mode("overwrite").parquet(path)
+
+
+def read_shard(spark: SparkSession, path: str, shard: int) -> DataFrame:
+    """The rows one shard owns; no other shard's files are listed for reading."""
+    return spark.read.parquet(path).where(F.col("shard") == shard)
