@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -14,6 +16,7 @@ from pagewright.session import checkpointed, stage
 DAMPING = 0.85
 TOLERANCE = 0.1
 LAST_STEP = 100
+EDGES_PER_PARTITION = 2_000_000
 
 
 def crawled_links(links: DataFrame, urls: DataFrame) -> DataFrame:
@@ -76,12 +79,16 @@ def rank_step(
 ) -> DataFrame:
     """One step: every node sends rank * weight along each of its edges.
 
-    Rank and weight meet on the node table, so the edges are joined once.
+    Rank and weight meet on the node table, so the edges are joined once; the edges of a hub are joined
+    in slices.
     """
     shares = weights.join(ranks.withColumnRenamed("node", "source"), "source").select(
         "source", (F.col("out_weight") * F.col("rank")).alias("share")
     )
-    return received(edges.join(shares, "source"), damping)
+    degree = F.round(1 / F.col("out_weight"))
+    total = weights.agg(F.sum(degree)).scalar()
+    hubs = weights.where(degree * HOT_SHARE >= total).select("source", slices_of(degree, total).alias("slices"))
+    return received(salted_lookup(edges, shares, "source", "inner", ["dest"], hot=hubs), damping)
 
 
 def received(sent: DataFrame, damping: float = DAMPING) -> DataFrame:
@@ -104,9 +111,13 @@ def _hot_sources(degrees: DataFrame) -> DataFrame:
 
 
 def sliced_edges(edges: DataFrame, degrees: DataFrame) -> DataFrame:
-    """Edges partitioned by (source, slice); only hot sources have more than one slice."""
+    """Edges partitioned by (source, slice); only hot sources have more than one slice.
+
+    They are persisted for all steps, so there are as many partitions as their number asks for.
+    """
     slice_of = F.pmod(F.xxhash64("dest"), F.coalesce("parts", F.lit(1))).cast("int")
-    parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, math.ceil(edges.count() / EDGES_PER_PARTITION))
     return (
         edges.join(_hot_sources(degrees), "source", "left")
         .select("source", "dest", slice_of.alias("slice"))

@@ -118,6 +118,25 @@ def test_url_ids_stay(spark):
     assert rows(second) == [(1, "a"), (2, "b"), (3, "0")]
 
 
+def test_a_hub_step_is_joined_in_slices(spark):
+    """One node holds half of all edges: a step equals the plain join and never meets the hub whole."""
+    hub = spark.range(3000).select(F.lit(0).cast("long").alias("source"), (F.col("id") + 1).alias("dest"))
+    edges = hub.union(spark.range(1, 3001).select(F.col("id").alias("source"), (F.col("id") % 7).alias("dest")))
+    weights, ranks = pagerank.out_weights(edges), pagerank.initial_ranks(edges)
+    sent = edges.join(weights, "source").withColumnRenamed("out_weight", "share")
+    expected = {r.node: round(r.rank, 9) for r in pagerank.received(sent).collect()}
+    step = pagerank.rank_step(edges, weights, ranks)
+    assert {r.node: round(r.rank, 9) for r in step.collect()} == expected
+    assert "_salt" in step._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_edge_partitions_follow_their_number(spark, monkeypatch):
+    edges = spark.range(2000).select(F.col("id").alias("source"), (F.col("id") + 1).alias("dest"))
+    degrees = edges.groupBy("source").agg(F.count("*").alias("degree"))
+    monkeypatch.setattr(pagerank, "EDGES_PER_PARTITION", 100)
+    assert pagerank.sliced_edges(edges, degrees).rdd.getNumPartitions() == 20
+
+
 def test_domain_cap(spark):
     arrivals = spark.createDataFrame(
         [("http://a.com/1", 1), ("http://b.com/1", 2), ("http://a.com/2", 3), ("http://c.com/1", 4), ("http://a.com/3", 5)],
