@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pagewright.catalog import inputs as I
 from pagewright.catalog.registry import query
+from pagewright.catalog.stem_sql import stems_sql
 from pagewright.functions import http, text, url
 from pagewright.functions.similarity import longest_common_subsequence
 from pagewright.functions.stem import stem_all
@@ -143,7 +144,9 @@ token_query("F3_legacy_tokenizer", text.legacy_index_terms, f"""{SPLIT_DOCS}
 SELECT id, {CUT} AS term, count(*) AS n FROM raw WHERE {CUT} <> '' AND {CUT} NOT IN ({I.STOP_LIST}) GROUP BY 1, 2""")
 
 
-@query("F4_stemming")
+@query("F4_stemming", f"""
+WITH docs AS ({I.TEXTS}), tokens AS ({I.index_tokens_sql()}), kept AS (SELECT term FROM tokens WHERE {I.KEPT}), {stems_sql('kept')}
+SELECT term, stem FROM stems""")
 def _(t):
     words = t.documents.select(F.array_distinct(text.index_terms(F.col("text"))).alias("terms"))
     pairs = words.select(F.explode(F.arrays_zip(F.col("terms").alias("term"), stem_all(F.col("terms")).alias("stem"))))

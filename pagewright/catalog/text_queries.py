@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pagewright.catalog import inputs as I
 from pagewright.catalog.registry import query
+from pagewright.catalog.stem_sql import stems_sql
 from pagewright.functions.text import raw_terms
 from pagewright.plans import blocks, content, index, pagerank, search
 from pagewright.session import stage
@@ -25,7 +26,13 @@ def _(t):
     return idfs.select("term", F.round("idf", 8).alias("idf"))
 
 
-@query("X1_stemmed_page_index")
+@query("X1_stemmed_page_index", f"""
+WITH {I.STORED_SQL}, docs AS (SELECT id, text FROM stored), tokens AS ({I.index_tokens_sql()}),
+kept AS (SELECT id, term FROM tokens WHERE {I.KEPT}), {stems_sql('kept')},
+per_term AS (SELECT id, stem AS term, count(*) AS n FROM kept JOIN stems USING (term) GROUP BY id, stem),
+tf AS (SELECT id, term, 0.5 + 0.5 * n / max(n) OVER (PARTITION BY id) AS tf FROM per_term),
+idfs AS (SELECT term, ln((SELECT count(*) FROM docs) / (count(*) + 1.0)) AS idf FROM tf GROUP BY term)
+SELECT id, term, round(tf * idf, 8) AS weight FROM tf JOIN idfs USING (term)""")
 def _(t):
     inverted, _ = index.build_index(content.page_texts(t.sql(I.CRAWLER_DOCS)))
     return inverted.select("id", "term", F.round("weight", 8).alias("weight"))
@@ -133,14 +140,41 @@ def term_bonus_query(name: str, field: str, strict: bool = False, sql: str | Non
         return details(pairs(t)).select("id", F.round(earned, 8).alias("bonus"))
 
 
-term_bonus_query("X7_title_term_bonus", "title")
+def term_bonuses_sql(header_part: float, header_tested: bool) -> str:
+    """``earned`` (id, field, bonus): what the query's terms earn in the title and the headers."""
+    return f"""
+page_words AS (
+  SELECT id, 'title' AS field, unnest({I.SPLIT.format('title')}) AS term FROM pairs
+  UNION ALL SELECT id, 'headers', unnest({I.SPLIT.format('headers')}) FROM pairs),
+asked_terms AS (SELECT id, unnest({I.SPLIT.format('query')}) AS term FROM pairs),
+all_words AS (SELECT term FROM page_words UNION ALL SELECT term FROM asked_terms), {stems_sql('all_words')},
+page_terms AS (SELECT DISTINCT id, field, term FROM page_words),
+page_stems AS (SELECT DISTINCT id, field, stem FROM page_words JOIN stems USING (term)),
+values_of(field, exact, part, tested) AS (
+  VALUES ('title', CAST(0.01 AS DOUBLE), CAST(0.003 AS DOUBLE), true),
+    ('headers', CAST(0.005 AS DOUBLE), CAST({header_part} AS DOUBLE), {header_tested})),
+earned AS (
+  SELECT a.id, v.field, sum(CASE WHEN t.term IS NOT NULL THEN exact
+    WHEN s.stem IS NOT NULL OR NOT tested THEN part * length(a.term) / 10 ELSE 0 END) AS bonus
+  FROM asked_terms a JOIN stems q USING (term) CROSS JOIN values_of v
+  LEFT JOIN page_terms t ON t.id = a.id AND t.field = v.field AND t.term = a.term
+  LEFT JOIN page_stems s ON s.id = a.id AND s.field = v.field AND s.stem = q.stem
+  WHERE a.term <> '' GROUP BY a.id, v.field)"""
+
+
+def term_bonus_sql(field: str, header_part: float, header_tested: bool) -> str:
+    return f"""{PAIRS_SQL}, {term_bonuses_sql(header_part, header_tested)}
+SELECT p.id, round(coalesce(bonus, 0.0), 8) AS bonus FROM pairs p LEFT JOIN earned e ON e.id = p.id AND field = '{field}'"""
+
+
+term_bonus_query("X7_title_term_bonus", "title", sql=term_bonus_sql("title", 0.003, False))
 # by default no stem is tested in headers: each term that is not met earns the stem bonus
 term_bonus_query("X10_header_term_bonus", "headers", sql=f"""{PAIRS_SQL},
 asked_terms AS (SELECT id, unnest({I.SPLIT.format('query')}) AS term, {I.SPLIT.format('headers')} AS words FROM pairs),
 earned AS (SELECT id, sum(CASE WHEN list_contains(words, term) THEN 0.005 ELSE CAST(0.003 AS DOUBLE) * length(term) / 10 END) AS bonus
   FROM asked_terms WHERE term <> '' GROUP BY id)
 SELECT id, round(coalesce(bonus, 0.0), 8) AS bonus FROM pairs LEFT JOIN earned USING (id)""")
-term_bonus_query("X10_header_term_bonus_strict", "headers", strict=True)
+term_bonus_query("X10_header_term_bonus_strict", "headers", strict=True, sql=term_bonus_sql("headers", 0.0015, True))
 
 
 def sequence_query(name: str, field: str, factor: float):
@@ -217,7 +251,29 @@ def _(t):
     return found.withColumn("score", F.round("score", 8))
 
 
-@query("X16_bonus_rescoring")
+def _sequence_sql(shared: str, factor: float) -> str:
+    return f"CASE WHEN coalesce({shared}, 0) >= 0.9 * length(query) THEN ln(length(query)) * {factor} * {shared} / length(query) ELSE 0.0 END"
+
+
+def _contains_sql(field: str, factor: float) -> str:
+    return f"CASE WHEN contains(lower({field}), query) THEN ln(length(query)) * {factor} ELSE 0.0 END"
+
+
+# the subsequences of titles and headers are worked out under even and odd numbers
+X16_SQL = f"""{PAIRS_SQL.replace("WITH", "WITH RECURSIVE", 1)}, {term_bonuses_sql(0.003, False)},
+texts AS (
+  SELECT 2 * id AS id, query AS a, lower(title) AS b FROM pairs
+  UNION ALL SELECT 2 * id + 1, query, lower(headers) FROM pairs), {I.LCS_SQL}
+SELECT p.id, round(1.0
+  + CASE WHEN title <> '' THEN coalesce(te.bonus, 0.0) + {_sequence_sql('tc.lcs', 0.06)} + {_contains_sql('title', 0.04)} ELSE 0.0 END
+  + CASE WHEN headers <> '' THEN coalesce(he.bonus, 0.0) + {_sequence_sql('hc.lcs', 0.03)} + {_contains_sql('headers', 0.02)} ELSE 0.0 END
+  + CASE WHEN preview <> '' THEN {_contains_sql('preview', 0.04)} ELSE 0.0 END, 8) AS score
+FROM pairs p
+LEFT JOIN earned te ON te.id = p.id AND te.field = 'title' LEFT JOIN common tc ON tc.id = 2 * p.id
+LEFT JOIN earned he ON he.id = p.id AND he.field = 'headers' LEFT JOIN common hc ON hc.id = 2 * p.id + 1"""
+
+
+@query("X16_bonus_rescoring", X16_SQL)
 def _(t):
     rows = details(pairs(t)).select(
         F.col("id").alias("qid"), "id", "title", "headers", "preview", "query", "terms", "stems", F.col("idf").alias("idf_of")
