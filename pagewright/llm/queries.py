@@ -165,14 +165,14 @@ def op10_source_mixing(t: Tables) -> DataFrame:
 # --- exact top-k search ----------------------------------------------------------------------
 
 OP2_SQL = """
-WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS c FROM embeddings
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS number, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS c FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scores AS (
-  SELECT q.vec_id AS query_id, v.vec_id,
+  SELECT q.number, q.vec_id AS query_id, v.vec_id,
     list_sum(list_transform(list_zip(q.c, v.c), lambda p: p[1] * p[2]))::BIGINT AS score
-  FROM v q JOIN v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+  FROM v q JOIN v ON q.vec_id % 100 = 0 AND q.number <> v.number),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY number ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM scores)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 10"""
 
 
@@ -181,7 +181,7 @@ def op2_exact_top_k(t: Tables) -> DataFrame:
     from pagewright.llm.topk import scaled, top_k
 
     vectors = t.embeddings.select("vec_id", scaled(F.col("embedding")).alias("vector"))
-    return top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10)
+    return top_k(vectors, F.col("vec_id") % 100 == 0, 10)
 
 
 # --- quality classifier ----------------------------------------------------------------------

@@ -340,19 +340,43 @@ def test_mix(spark):
 # --- top-k
 
 
+def best_of(rows, asked, k=10):
+    """Brute force: a query is no candidate of its own, rows alike in all but their place are."""
+    vectors = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    found = []
+    for at, (i, v) in enumerate(vectors):
+        if i is not None and asked(i):
+            scores = [(-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, w, strict=False)))), j is None, j or 0)
+                      for place, (j, w) in enumerate(vectors) if place != at]
+            found += [(i, rank, None if none else j, -s) for rank, (s, none, j) in enumerate(sorted(scores)[:k], 1)]
+    return found
+
+
+def top_of(spark, rows, asked, k=10):
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit("x"))
+    scaled = table.select("vec_id", "score", topk.scaled(F.col("embedding")).alias("vector"))
+    return list(map(tuple, topk.top_k(scaled, F.expr(asked), k).collect()))
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda row: [(value is None, value or 0) for value in row])
+
+
 def test_top_k(spark):
     rng = random.Random(2)
     rows = [(i, [rng.choice([0.1, -0.5, 0.25, 3.0]) for _ in range(rng.choice([0, 3, 5]))]) for i in range(80)]
     rows += [(1000, None), (1001, [None, 1.0]), (1002, [float("nan")]), (1003, [float("inf")]), (7, [1.0]), (7, [1.0]), (2000, [1e12] * 4)]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").select("vec_id", topk.scaled(F.col("embedding")).alias("vector"))
-    asked = table.where("vec_id % 10 = 0")
-    vectors = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
-    expected = []
-    for i, v in vectors:
-        if i % 10 == 0:
-            scores = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, w, strict=False)))), j) for j, w in vectors if j != i)
-            expected += [(i, rank, j, -s) for rank, (s, j) in enumerate(scores[:10], 1)]
-    assert sorted(map(tuple, topk.top_k(table, asked).collect())) == sorted(expected)
+    rows += [(10, [9.0, 1.0]), (10, [9.0, 1.0]), (None, [9.0, 2.0]), (None, [9.0, 2.0]), (None, [0.1])]
+    assert in_order(top_of(spark, rows, "vec_id % 10 = 0")) == in_order(best_of(rows, lambda i: i % 10 == 0))
+    assert top_of(spark, rows[:0], "vec_id % 10 = 0") == []
+    assert top_of(spark, rows[:1], "vec_id = 0") == []
+
+
+def test_top_k_of_many(spark):
+    # few large components, so that rows drop out before the last layers
+    rng = np.random.default_rng(5)
+    rows = [(i, (rng.standard_normal(12) * rng.choice([0.01, 0.1, 4], 12)).tolist()) for i in range(1500)]
+    assert in_order(top_of(spark, rows, "vec_id % 100 = 0", 3)) == in_order(best_of(rows, lambda i: i % 100 == 0, 3))
 
 
 # --- the digest queries
