@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagewright.llm.quality_rules import base_statistics
@@ -127,6 +127,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
+def training_rows(labelled: DataFrame, names: list[str], n: int) -> DataFrame:
+    """``names`` and quality of the first ``n`` rows of ``labelled`` by hash of doc_id, then by value.
+
+    Rows are counted by the leading 16 bits of the hash first, so that of a table of any size only
+    the ranges that hold the first ``n`` are sorted; what is returned is stored, ``n`` rows at most.
+    """
+    hashed = stage(labelled.select("doc_id", *names, "quality", F.xxhash64("doc_id").alias("_hash")), "labelled")
+    lead = F.shiftright("_hash", 48)
+    sizes = hashed.groupBy(lead.alias("lead")).agg(F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.orderBy("lead")) - F.col("rows")
+    last = sizes.withColumn("before", before).where(F.col("before") < n).agg(F.max("lead").alias("last"))
+    near = hashed.join(F.broadcast(last), lead <= F.col("last"))
+    first = near.orderBy("_hash", "doc_id", *names, "quality").limit(n)
+    return stage(first.select(*names, "quality"), "training")
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, max_training_rows: int = MAX_TRAINING_ROWS, threshold: float = 0.7
 ) -> DataFrame:
@@ -148,13 +164,7 @@ def score_quality(
         .groupBy("doc_id")
         .agg(F.min("quality").cast("double").alias("quality"))
     )
-    sample = (
-        table.join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", *names)
-        .limit(max_training_rows)
-        .select(*names, "quality")
-        .toPandas()
-    )
+    sample = training_rows(table.join(known, "doc_id"), names, max_training_rows).toPandas()
     forest = fit(sample[names].to_numpy(dtype=np.float64), sample["quality"].to_numpy(dtype=np.float64))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -303,6 +303,25 @@ def test_classifier_on_held_out(spark):
     assert [r.score for r in nothing] == [0.5] * 3
 
 
+@pytest.mark.parametrize("n", [0, 1, 37, 400, 1000])
+def test_training_rows_are_the_first_by_hash(spark, n):
+    rng = random.Random(n)
+    rows = [(rng.choice([7, rng.randrange(10_000)]), rng.random(), float(rng.randrange(2))) for _ in range(600)]
+    table = spark.createDataFrame(rows, "doc_id long, a double, quality double").withColumn("_hash_of", F.xxhash64("doc_id"))
+    expected = sorted((r["_hash_of"], r.doc_id, r.a, r.quality) for r in table.collect())[:n]
+    assert sorted(map(tuple, classifier.training_rows(table, ["a"], n).collect())) == sorted(r[2:] for r in expected)
+
+
+def test_classifier_odd_rows(spark):
+    rows = [(None, None, "x"), (1, "", "x"), (1, "", "x"), (2, "a b c", None), (3, "word " * 200_000, "y")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (3, None), (None, 1)], "doc_id long, quality int")
+    found = classifier.score_quality(table, labels).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in found) == [(False, 1), (False, 1), (False, 2), (False, 3), (True, 0)]
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in found)
+    assert classifier.score_quality(table.limit(0), labels).collect() == []
+
+
 def test_flat_trees_match_a_walk():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, 3))
