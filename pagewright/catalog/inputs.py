@@ -42,10 +42,12 @@ SELECT event_id AS id, CASE event_type
     ELSE concat('mailto:u', CAST(user_id AS STRING), '@example.com') END AS url
 FROM {events}"""
 
-# (id, url): crawled suppliers, and (source, dest): links between all suppliers
+# (id, url): suppliers, some of them crawled under a URL that no link names, and (source, dest): links
+# between all suppliers
 SUPPLIER_URL = "concat('http://n', CAST({0}.s_nationkey AS STRING), '.example.com:80/s', CAST({0}.s_suppkey AS STRING))"
 URLS = f"""
-SELECT s_suppkey AS id, {SUPPLIER_URL.format('s')} AS url FROM {{supplier}} s WHERE s_acctbal > 0"""
+SELECT s_suppkey AS id, CASE WHEN s_acctbal > 0 THEN {SUPPLIER_URL.format('s')}
+  ELSE concat('http://moved.example.com:80/s', CAST(s_suppkey AS STRING)) END AS url FROM {{supplier}} s"""
 LINKS = f"""
 SELECT DISTINCT {SUPPLIER_URL.format('sa')} AS source, {SUPPLIER_URL.format('sb')} AS dest
 FROM {{lineitem}} a
