@@ -10,12 +10,15 @@ from pagewright.functions.http import content_hash
 from pagewright.operators.gates import fetch_gate
 from pagewright.operators.robots import robots_records
 from pagewright.plans.content import extract_links
-from pagewright.session import scratch_path
+from pagewright.session import is_folder, scratch_path
 from pagewright.streaming import crawl, grouping
 
 
 def stream_of(t, table: str):
-    schema = getattr(t, table).schema
+    """A table as a stream, be it a folder of files or one file among others."""
+    schema, path = getattr(t, table).schema, f"{t.folder}/{table}.parquet"
+    if is_folder(t.spark, path):
+        return crawl.page_stream(t.spark, path, schema)
     return crawl.page_stream(t.spark, t.folder, schema, f"{table}.parquet")
 
 
@@ -40,7 +43,7 @@ def collected(t, stream):
     """Run to the end into a scratch table."""
     out = scratch_path(t.spark, "stream-out")
     crawl.run_to_parquet(stream, out, scratch_path(t.spark, "stream-state"))
-    return t.spark.read.parquet(out)
+    return t.spark.read.schema(stream.schema).parquet(out)
 
 
 @query("R1_stream_source", "SELECT url, md5(html) AS hash FROM pages")

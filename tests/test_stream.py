@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from pagewright.catalog import QUERIES
 from pagewright.operators.robots import robots_records
 from pagewright.plans.content import extract_links
 from pagewright.schemas import FETCHED_PAGES, URLS
@@ -115,6 +116,19 @@ def test_stream_links_equal_batch(spark, tmp_path):
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
+PAGE_ROWS = [(i, f"http://s{i % 2}.com/{i}", f"<a href='/{i % 3}'>x</a>" if i else None) for i in range(7)]
+
+
+@pytest.mark.parametrize("files", [1, 3])
+@pytest.mark.parametrize("rows", [PAGE_ROWS, []])
+def test_tables_of_many_files_are_streamed(spark, tmp_path, rows, files):
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    table.repartition(files).write.parquet(str(tmp_path / "pages.parquet"))
+    hashes = QUERIES["R1_stream_source"](spark, str(tmp_path))
+    assert hashes.columns == ["url", "hash"]
+    assert sorted(map(str, hashes.collect())) == sorted(map(str, table.selectExpr("url", "md5(html) AS hash").collect()))
+
+
 def test_last_seen_over_batches(spark, tmp_path):
     for n in (1, 9, 5):
         write(spark, str(tmp_path / "in"), [page(n, "x", "http://s.com/a")])
