@@ -127,6 +127,8 @@ def test_tables_of_many_files_are_streamed(spark, tmp_path, rows, files):
     hashes = QUERIES["R1_stream_source"](spark, str(tmp_path))
     assert hashes.columns == ["url", "hash"]
     assert sorted(map(str, hashes.collect())) == sorted(map(str, table.selectExpr("url", "md5(html) AS hash").collect()))
+    links = QUERIES["R4_stream_link_extraction"](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in links) == sorted((u, f"http://s{i % 2}.com:80/{i % 3}", 1) for i, u, h in rows if h)
 
 
 def test_last_seen_over_batches(spark, tmp_path):
