@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from functools import partial
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.storagelevel import StorageLevel
 
 from pagewright.functions.url import authority
@@ -17,6 +19,7 @@ DAMPING = 0.85
 TOLERANCE = 0.1
 LAST_STEP = 100
 EDGES_PER_PARTITION = 2_000_000
+HASH_SEEDS = 4
 
 
 def crawled_links(links: DataFrame, urls: DataFrame) -> DataFrame:
@@ -110,10 +113,42 @@ def _hot_sources(degrees: DataFrame) -> DataFrame:
     return F.broadcast(hot.select("source", slices_of(F.col("degree"), total).alias("parts")))
 
 
+def with_keys(edges: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Stored edges between 64-bit hashes of the nodes' names, and the (node, name) of all nodes.
+
+    Numbers are cheaper to sort and to move than names. No two names share a key: after a shared hash
+    another seed is tried, and after a few the names stay. Edges between other types are their own keys.
+    A null name stays null, so it still meets nothing.
+    """
+    ends = ["source", "dest"]
+    if any(edges.schema[end].dataType != StringType() for end in ends):
+        return edges, None
+    found = edges.select(F.col("source").alias("name")).union(edges.select("dest"))
+    names = stage(found.where("name IS NOT NULL").distinct(), "names")
+    for seed in range(HASH_SEEDS):
+        key = partial(_name_key, seed=seed)
+        keyed = names.select(key(F.col("name")).alias("node"), "name")
+        if keyed.groupBy("node").agg(F.count("*").alias("sharing")).where("sharing > 1").isEmpty():
+            return edges.select(*[key(F.col(end)).alias(end) for end in ends]), keyed
+    return edges, None
+
+
+def _name_key(name: Column, seed: int) -> Column:
+    return F.when(name.isNotNull(), F.xxhash64(name, F.lit(seed)))
+
+
+def with_names(ranks: DataFrame, names: DataFrame | None) -> DataFrame:
+    """(node, rank) by name again."""
+    if names is None:
+        return ranks
+    return ranks.join(names, "node").select(F.col("name").alias("node"), "rank")
+
+
 def sliced_edges(edges: DataFrame, degrees: DataFrame) -> DataFrame:
     """Edges partitioned by (source, slice); only hot sources have more than one slice.
 
-    They are persisted for all steps, so there are as many partitions as their number asks for.
+    They are persisted for all steps, so there are as many partitions as their number asks for, and in
+    the order of the join, so no step sorts them.
     """
     slice_of = F.pmod(F.xxhash64("dest"), F.coalesce("parts", F.lit(1))).cast("int")
     least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -122,6 +157,7 @@ def sliced_edges(edges: DataFrame, degrees: DataFrame) -> DataFrame:
         edges.join(_hot_sources(degrees), "source", "left")
         .select("source", "dest", slice_of.alias("slice"))
         .repartition(parts, "source", "slice")
+        .sortWithinPartitions("source", "slice")
     )
 
 
@@ -145,12 +181,12 @@ def iterate_ranks(
     """Ranks of a sink-repaired graph after the first step that changes no node by ``tolerance`` or
     more, or after ``last_step``. ``tolerance=None`` runs all steps.
 
-    The edges are split and persisted once; a step moves one row per node and the partial sums, never
+    The edges are split, sorted and persisted once, between keys of the nodes; a step moves one row per node and the partial sums, never
     the edges. One job per step computes, checkpoints and measures the change. A node that receives
     nothing drops out; as every receiver is a source, the state only ever shrinks, so an inner join
     with the sums is the next state. Without any node left to compare, the iteration ends.
     """
-    edges = stage(edges.select("source", "dest"), "edges")
+    edges, names = with_keys(stage(edges.select("source", "dest"), "edges"))
     degrees = stage(edges.groupBy("source").agg(F.count("*").alias("degree")), "degrees")
     links = sliced_edges(edges, degrees).persist(StorageLevel.MEMORY_AND_DISK)
     # fill the cache first: its partitioning is known to the planner only afterwards
@@ -175,7 +211,7 @@ def iterate_ranks(
                 break
     finally:
         links.unpersist()
-    return state.select("node", "rank")
+    return with_names(state.select("node", "rank"), names)
 
 
 def normalise_ranks(ranks: DataFrame) -> DataFrame:
@@ -197,4 +233,5 @@ def pagerank(
     damping: float = DAMPING,
 ) -> DataFrame:
     """Normalised PageRank (domain, rank) of a raw edge table."""
-    return normalise_ranks(iterate_ranks(repair_sinks(stage(edges, "raw-edges")), tolerance, last_step, damping))
+    keyed, names = with_keys(stage(edges, "raw-edges"))
+    return normalise_ranks(with_names(iterate_ranks(repair_sinks(keyed), tolerance, last_step, damping), names))
