@@ -2,17 +2,17 @@
 
 A document is one row, so counting its terms needs no shuffle: only the exploded (id, term, n) rows
 ever travel. Tokenizing is native; the counting itself, together with stemming, is one Arrow batch
-call, as an array has no native way to group its elements in linear time. Only one row's words are
-Python objects at a time.
+call, as an array has no native way to group its elements in linear time. Words stay in Arrow memory;
+only the distinct ones of a few rows become Python objects, and only to be stemmed.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterable
 from functools import cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
@@ -20,6 +20,9 @@ from pyspark.sql.types import ArrayType, LongType, StringType, StructField, Stru
 from pagewright.functions.exprs import once
 from pagewright.functions.stem import stem_word
 
+# rows counted in one go: what bounds a worker's memory, however many rows a batch has
+ROWS_AT_ONCE = 1024
+
 TERM_COUNTS = StructType(
     [
         StructField("max_n", LongType()),
@@ -31,28 +34,40 @@ TERM_COUNTS = StructType(
 )
 
 
-def _words(tokens: pa.Scalar) -> Iterable[str]:
-    """The words of one row, read from Arrow memory; none for a null."""
-    return tokens.values.to_numpy(zero_copy_only=False) if tokens.is_valid else ()
+def _row_counts(fields: tuple[pa.Array, ...], weights: tuple[int, ...], stem: bool) -> pa.Array:
+    """The counts of some rows: a key is a row and the code of a word, and equal keys are counted."""
+    size = len(fields[0])
+    rows = [np.repeat(np.arange(size), pc.fill_null(pc.list_value_length(field), 0)) for field in fields]
+    tokens = pa.concat_arrays([field.flatten() for field in fields]).dictionary_encode("encode")
+    codes, words = tokens.indices.to_numpy(), tokens.dictionary
+    if stem:
+        stems = pa.array(map(stem_word, words.to_pylist()), pa.string()).dictionary_encode("encode")
+        codes, words = stems.indices.to_numpy()[codes], stems.dictionary
+    kinds = max(len(words), 1)
+    keys = np.concatenate(rows) * kinds + codes
+    if set(weights) == {1}:
+        keys, numbers = np.unique(keys, return_counts=True)
+    else:
+        keys, places = np.unique(keys, return_inverse=True)
+        each = np.repeat(weights, [len(row) for row in rows])
+        numbers = np.bincount(places, each, len(keys)).astype(np.int64)
+    owners = keys // kinds
+    largest = np.zeros(size, np.int64)
+    np.maximum.at(largest, owners, numbers)
+    ends = np.searchsorted(owners, np.arange(size + 1)).astype(np.int32)
+    pairs = pa.StructArray.from_arrays([words.take(pa.array(keys % kinds)), pa.array(numbers)], ["term", "n"])
+    lists = pa.ListArray.from_arrays(pa.array(ends), pairs)
+    return pa.StructArray.from_arrays([pa.array(largest), lists], TERM_COUNTS.fieldNames())
 
 
 @cache
 def _counter(weights: tuple[int, ...], stem: bool):
     @F.arrow_udf(TERM_COUNTS)
     def count(*fields: pa.Array) -> pa.Array:
-        largest, ends, terms, numbers = [], [0], [], []
-        for row in range(len(fields[0])):
-            counts = Counter()
-            for weight, field in zip(weights, fields):
-                for term, n in Counter(_words(field[row])).items():
-                    counts[stem_word(term) if stem else term] += n * weight
-            largest.append(max(counts.values(), default=0))
-            terms.extend(counts)
-            numbers.extend(counts.values())
-            ends.append(len(terms))
-        pairs = pa.StructArray.from_arrays([pa.array(terms, pa.string()), pa.array(numbers, pa.int64())], ["term", "n"])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
-        return pa.StructArray.from_arrays([pa.array(largest, pa.int64()), lists], TERM_COUNTS.fieldNames())
+        starts = range(0, max(len(fields[0]), 1), ROWS_AT_ONCE)
+        return pa.concat_arrays(
+            [_row_counts(tuple(field.slice(at, ROWS_AT_ONCE) for field in fields), weights, stem) for at in starts]
+        )
 
     return once(count)
 
