@@ -46,3 +46,7 @@ def test_words_stay_in_arrow_memory(monkeypatch):
     assert asked == [] and found.to_pylist() == [
         {"max_n": 2000, "terms": [{"term": "a", "n": 2000}, {"term": "b", "n": 1000}]}
     ] * 3
+
+
+def test_remembered_stems_are_bounded():
+    assert stem_word.cache_info().maxsize <= 1 << 17
