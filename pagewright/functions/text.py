@@ -45,8 +45,8 @@ def index_terms(text: Column, stop_words: list[str] | None = STOP_WORDS) -> Colu
     ascii_only = F.regexp_replace(F.lower(blank_if_null(text)), r"[^\x01-\x7F]+", "")
     tokens = F.split(ascii_only, SEPARATOR)
     trimmed = F.transform(tokens, lambda t: F.btrim(t, F.lit(TRIMMED)))
-    kept = F.filter(trimmed, lambda t: (t != "") & (F.length(t) < MAX_TERM_LENGTH))
-    return _without(kept, stop_words)
+    left_out = ["", *(stop_words or [])]
+    return F.filter(trimmed, lambda t: (F.length(t) < MAX_TERM_LENGTH) & ~t.isin(left_out))
 
 
 def query_terms(text: Column) -> Column:

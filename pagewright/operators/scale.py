@@ -101,11 +101,15 @@ def top_k_per_group(
     """The first ``k`` rows of every group, ranked in ``rank``; exact for groups of any size.
 
     Each of ``salts`` slices of a group is cut to ``k`` rows first, so the task that ranks a group
-    sees at most ``k * salts`` rows.
+    sees at most ``k * salts`` rows. A slice is what some tasks hold of the group, as each task sends
+    no more than ``k`` rows of a group on; for a ``k`` above Spark's limit for that cut, rows are dealt to
+    slices by a hash of ``spread_by``.
     """
+    cut_first = k <= int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    dealt = F.spark_partition_id() if cut_first else F.xxhash64(spread_by)
     slice_window = Window.partitionBy(*group, "_slice").orderBy(*order)
     sliced = (
-        df.withColumn("_slice", F.pmod(F.xxhash64(spread_by), F.lit(salts)))
+        df.withColumn("_slice", F.pmod(dealt, F.lit(salts)))
         .withColumn("_rank", F.row_number().over(slice_window))
         .where(F.col("_rank") <= k)
         .drop("_rank", "_slice")

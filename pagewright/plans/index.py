@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pagewright.functions.counts import exploded_counts
 from pagewright.functions.text import STOP_WORDS, index_terms, legacy_index_terms
-from pagewright.operators.scale import HOT_SHARE, salted_lookup, slices_of, spread
+from pagewright.operators.scale import HOT_SHARE, spread
 from pagewright.session import stage
 
 SMOOTHING = 0.5
@@ -46,21 +46,24 @@ def inverse_document_frequency(n_docs: int | Column, df: Column) -> Column:
 def postings_with_idf(counts: DataFrame, n_docs: int, a: float) -> tuple[DataFrame, DataFrame]:
     """(id, term, tf, idf) postings and (term, idf) from term counts.
 
-    The postings are written once and read by both outputs. A term in a third of all documents is
-    joined to its idf in slices.
+    The postings are written once and read by both outputs. Terms that hold at least ``1/HOT_SHARE`` of
+    them, at most ``HOT_SHARE`` terms, meet their idf where they are; only the other postings are shuffled.
     """
     postings = stage(
         counts.select("id", "term", term_frequency(F.col("n"), F.col("max_n"), a).alias("tf")),
         "postings",
     )
     frequencies = stage(document_frequencies(postings), "document-frequencies")
-    idfs = frequencies.select(
-        "term", inverse_document_frequency(n_docs, F.col("df")).alias("idf")
-    )
+
+    def idf_of(some: DataFrame) -> DataFrame:
+        return some.select("term", inverse_document_frequency(n_docs, F.col("df")).alias("idf"))
+
+    idfs = idf_of(frequencies)
     total = frequencies.agg(F.sum("df")).scalar()
-    frequent = frequencies.where(F.col("df") * HOT_SHARE >= total)
-    hot = frequent.select("term", slices_of(F.col("df"), total).alias("slices"))
-    return salted_lookup(postings, idfs, "term", "inner", ["id"], hot=hot), idfs
+    hot = idf_of(frequencies.where(F.col("df") * HOT_SHARE >= total))
+    frequent = postings.join(F.broadcast(hot), "term")
+    others = postings.join(F.broadcast(hot.select("term")), "term", "left_anti").join(idfs, "term")
+    return frequent.unionByName(others), idfs
 
 
 def weighted_postings(counts: DataFrame, n_docs: int, a: float) -> tuple[DataFrame, DataFrame]:

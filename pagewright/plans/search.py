@@ -51,10 +51,13 @@ def query_counts(
 def query_weights(counts: DataFrame, idfs: DataFrame) -> DataFrame:
     """(qid, term, idf, weight) of the query terms that have an idf.
 
-    A small table, written once: retrieval, norms and bonuses all read it.
+    A small table, written once: retrieval, norms and bonuses all read it. The idfs of other terms are
+    left out before they are worked out.
     """
     weight = 0.5 + 0.5 * F.col("n") / F.col("max_n") * F.col("idf")
-    found = counts.join(idfs.select("term", "idf"), "term")
+    counts = stage(counts, "query-counts")
+    asked = idfs.select("term", "idf").join(counts.select("term"), "term", "left_semi")
+    found = counts.join(asked, "term")
     return stage(found.select("qid", "term", "idf", weight.alias("weight")), "query-weights")
 
 
@@ -63,9 +66,11 @@ def matching_postings(index: DataFrame, weights: DataFrame) -> DataFrame:
 
     ``weights`` is a stored table, so the planner broadcasts it by the size of its files while that is
     small and only scans the postings. Beyond that both sides are shuffled by term, reduced by a
-    runtime filter, and the partitions of very frequent terms are split.
+    runtime filter, and the partitions of very frequent terms are split. Postings of other terms are left
+    out first, which the planner does before an index that is not stored joins its idfs.
     """
-    postings = index.select("term", "id", F.col("weight").alias("w"))
+    met = index.join(weights.select("term"), "term", "left_semi")
+    postings = met.select("term", "id", F.col("weight").alias("w"))
     wanted = weights.select("term", "qid", F.col("weight").alias("q"))
     return postings.join(wanted, "term").select("qid", "id", "q", "w")
 

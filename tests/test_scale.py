@@ -4,7 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pagewright.operators import frontier, scale, tables
-from pagewright.plans import pagerank, search
+from pagewright.plans import index, pagerank, search
 
 
 def skewed(spark, n=3000):
@@ -77,6 +77,18 @@ def test_top_k_cuts_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_top_k_slices_are_tasks(spark):
+    """A task sends at most k rows of a group; beyond Spark's limit for that rows are dealt by their key."""
+    df = skewed(spark)
+    order = [F.col("v").desc(), F.col("id")]
+
+    def plan(k):
+        return scale.top_k_per_group(df, ["k"], order, k, "id")._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "SPARK_PARTITION_ID" in plan(5) and "xxhash64" not in plan(5)
+    assert "xxhash64" in plan(5000)
+
+
 def test_pagerank_with_a_hub(spark):
     """One source holds a third of the edges: same ranks as plain steps."""
     hub = spark.range(1, 400).select(F.lit(0).cast("long").alias("source"), F.col("id").alias("dest"))
@@ -215,3 +227,20 @@ def test_full_search_finds_plain_documents(spark):
     assert expected.count() > 0
     assert rows(found.select("qid", "id")) == rows(expected)
     assert found.where("title <> url OR preview <> '' OR url IS NULL").count() == 0
+
+
+def test_frequent_terms_meet_their_idf_unshuffled(spark):
+    counts = spark.range(3000).selectExpr("id", "CAST(id % 4 AS STRING) AS term", "1L AS n", "1L AS max_n")
+    rare = spark.createDataFrame([(1, "once", 1, 1), (2, None, 1, 1)], "id long, term string, n long, max_n long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        postings, idfs = index.postings_with_idf(counts.unionByName(rare), 3000, 0.5)
+        plan = postings._jdf.queryExecution().executedPlan().toString()
+        frequent = plan[plan.index("Union") :].split("SortMergeJoin")[0]
+        assert "BroadcastHashJoin" in frequent and "hashpartitioning" not in frequent
+        rows = postings.groupBy("term", "idf").count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    idf_of = {r.term: r.idf for r in idfs.collect()}
+    assert {(r.term, r.idf, r["count"]) for r in rows} == {(str(i), idf_of[str(i)], 750) for i in range(4)} | {("once", idf_of["once"], 1)}
