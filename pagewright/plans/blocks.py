@@ -110,11 +110,25 @@ def leading_blocks(bounds: DataFrame, k: int) -> DataFrame:
     return chosen.withColumn("_before", before).where(F.col("_before") < k).select("qid", "block")
 
 
+def marked_blocks(chosen: DataFrame) -> DataFrame:
+    """(qid, word, bits): the chosen (qid, block) pairs, 64 neighbouring blocks to a row."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("block", F.lit(64)).cast("int"))
+    return chosen.groupBy("qid", F.shiftright("block", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
 def matches_in(index: BlockIndex, weights: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(qid, id, q, w) of the query terms in the chosen (qid, block) pairs; other postings meet nothing."""
-    wanted = chosen.join(weights.select("qid", "term", "idf", F.col("weight").alias("q")), "qid")
-    weight = (F.col("tf") * F.col("idf")).alias("w")
-    return index.postings.join(wanted, ["term", "block"]).select("qid", "id", "q", weight)
+    """(qid, id, q, w) of the query terms in the chosen (qid, block) pairs; other postings meet nothing.
+
+    The marks of the blocks are a stored table like the weights: while both are small the planner
+    broadcasts them, and postings stay where they are. Blocks that no query chose go before terms are met.
+    """
+    marked = stage(marked_blocks(chosen), "marked-blocks")
+    of_any = marked.groupBy("word").agg(F.bit_or("bits").alias("_any"))
+    wanted = weights.select("qid", "term", "idf", F.col("weight").alias("q"))
+    place = F.pmod("block", F.lit(64)).cast("int")
+    postings = index.postings.withColumn("word", F.shiftright("block", 6)).join(of_any, "word")
+    met = postings.where(F.getbit("_any", place) == 1).join(wanted, "term").join(marked, ["qid", "word"])
+    return met.where(F.getbit("bits", place) == 1).select("qid", "id", "q", (F.col("tf") * F.col("idf")).alias("w"))
 
 
 def reaching_blocks(bounds: DataFrame, leading: DataFrame, floors: DataFrame) -> DataFrame:

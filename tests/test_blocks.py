@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagewright.plans import blocks, index, search
+from pagewright.session import stage
 
 QUERIES = [(1, "common topic3"), (2, "common shared"), (3, "topic1 topic9 common common"), (4, "unknown"), (5, ""), (6, None)]
 
@@ -85,3 +86,18 @@ def test_empty_tables(spark, built):
     nothing = blocks.BlockIndex(table.postings.limit(0), table.bounds.limit(0), 16)
     assert search.retrieve(nothing, weights, 10).count() == 0
     assert search.retrieve(table, weights.limit(0), 10).count() == 0
+
+
+def test_postings_are_not_shuffled_by_term(spark, built):
+    """While the query's terms and the chosen blocks are small, nothing but scores travels."""
+    _, _, _, table, _, weights = built
+    chosen = stage(blocks.leading_blocks(blocks.block_bounds(table, weights, "dot"), 10), "chosen")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "24KB")
+    try:
+        met = blocks.matches_in(table, weights, chosen)
+        assert "hashpartitioning(term" not in met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    wanted = chosen.join(weights, "qid").join(table.postings, ["term", "block"])
+    assert met.count() == wanted.count() > 0
