@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import heapq
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +29,12 @@ NORMAL, UNKNOWN, BYTE = 1, 2, 6
 NEVER = np.int64(1) << 62
 # characters of text, and of distinct words, worked on at once; longer words are folded one by one
 TEXT_CHARS = 6_000_000
-WORD_CHARS = 400_000
+WORD_CHARS = 40_000
 LONG_WORD = 200
-# encoded words a worker keeps for its next texts; it starts afresh beyond
-KNOWN_WORDS = 500_000
+# encoded words a worker keeps for its next texts, in each of two generations
+KNOWN_WORDS = 250_000
+# places in the table that tells most fingerprints of no piece from those of pieces
+MARKS = 1 << 20
 
 
 @dataclass
@@ -46,6 +48,7 @@ class Pieces:
     ids: dict[str, int] = field(init=False)
     bytes_at: list[int] = field(init=False)
     known: dict[str, bytes] = field(init=False, default_factory=dict)  # words a worker has met, bounded
+    older: dict[str, bytes] = field(init=False, default_factory=dict)
 
     def __post_init__(self) -> None:
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == NORMAL}
@@ -68,10 +71,13 @@ class Pieces:
         self.prints = prints[by_print]
         self.print_ids = np.array([self.ids[p] for p in order], dtype=np.int64)[by_print]
         self.print_ranks = np.array([self.rank[p] for p in order], dtype=np.int64)[by_print]
+        self.marks = np.zeros(MARKS, dtype=bool)
+        self.marks[self.prints & np.uint64(MARKS - 1)] = True
         self.plain = [p.replace(SPACE, " ").encode() for p in self.pieces]
         for value, i in enumerate(self.bytes_at):
             self.plain[i] = bytes([value])
         self.plain = [b"" if k not in (NORMAL, BYTE) else p for p, k in zip(self.plain, self.kinds, strict=True)]
+        self.plain_sizes = np.array(list(map(len, self.plain)), dtype=np.int64)
 
     def spelled(self, text: str) -> list[int]:
         """Ids of characters that are no piece."""
@@ -105,6 +111,8 @@ def edges(words: list[str], table: Pieces) -> tuple[np.ndarray, np.ndarray, np.n
     for length in range(1, table.longest + 1):
         fits = start[start + length <= limit]
         prints = runs.fingerprints(fits, fits + length)
+        maybe = np.flatnonzero(table.marks[prints & np.uint64(MARKS - 1)])
+        fits, prints = fits[maybe], prints[maybe]
         at = np.minimum(np.searchsorted(table.prints, prints), len(table.prints) - 1)
         hit = table.prints[at] == prints
         found.append((fits[hit], np.full(hit.sum(), length), table.print_ids[at[hit]], table.print_ranks[at[hit]]))
@@ -147,16 +155,14 @@ def merge_words(words: list[str], table: Pieces) -> list[list[int]]:
     at, size = at[order], size[order]
     chosen = id_at[at * wide + size]
     cuts = np.searchsorted(at, np.concatenate(([0], ends)))
-    out = []
-    for i, word_text in enumerate(words):
-        some = chosen[cuts[i] : cuts[i + 1]].tolist()
-        if -1 in some:
-            begin = ends[i] - len(word_text)
-            spelled: list[int] = []
-            for piece, a, k in zip(some, at[cuts[i] : cuts[i + 1]].tolist(), size[cuts[i] : cuts[i + 1]].tolist(), strict=True):
-                spelled += [piece] if piece >= 0 else table.spelled(word_text[a - begin : a - begin + k])
-            some = spelled
-        out.append(some)
+    pieces, bounds = chosen.tolist(), cuts.tolist()
+    out = [pieces[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+    for i in np.unique(np.searchsorted(cuts, np.flatnonzero(chosen == -1), side="right") - 1).tolist():
+        begin = ends[i] - len(words[i])
+        spelled: list[int] = []
+        for piece, a, k in zip(out[i], at[bounds[i] : bounds[i + 1]].tolist(), size[bounds[i] : bounds[i + 1]].tolist(), strict=True):
+            spelled += [piece] if piece >= 0 else table.spelled(words[i][a - begin : a - begin + k])
+        out[i] = spelled
     return out
 
 
@@ -247,30 +253,57 @@ def encode_words(words: list[str], table: Pieces) -> list[list[int]]:
     return out
 
 
-def encode_texts(texts: list[str], table: Pieces) -> list[np.ndarray]:
-    """Ids of each text; every distinct word is encoded once."""
-    codes: dict[str, int] = {}
-    lists = [
-        [codes.setdefault(w, len(codes)) for w in table.word.findall(SPACE + text.replace(" ", SPACE))] if text else []
-        for text in texts
-    ]
-    new = [w for w in codes if w not in table.known]
-    packed = {w: array("i", ids).tobytes() for w, ids in zip(new, encode_words(new, table), strict=True)}
-    parts = [packed[w] if w in packed else table.known[w] for w in codes]
-    if len(table.known) + len(packed) > KNOWN_WORDS:
-        table.known.clear()
-    table.known.update(packed if len(packed) <= KNOWN_WORDS else {})
-    sizes = np.array([len(p) for p in parts], dtype=np.int64) // 4
+def _learned(words: list[str], table: Pieces) -> tuple[dict[str, bytes], set[str]]:
+    """The ids of each word as bytes, and the words that their pieces do not spell again."""
+    encoded = encode_words(words, table)
+    sizes = np.fromiter(map(len, encoded), np.int64, len(words))
+    ids = np.fromiter(chain.from_iterable(encoded), np.int32, int(sizes.sum()))
+    raw, ends = ids.tobytes(), np.cumsum(sizes)
+    bounds = [0, *(4 * ends).tolist()]
+    packed = {w: raw[a:b] for w, a, b in zip(words, bounds, bounds[1:], strict=False)}
+    written = [w.replace(SPACE, " ").encode("utf-8", "surrogatepass") for w in words]
+    lengths = np.concatenate(([0], np.cumsum(table.plain_sizes[ids])))[ends]
+    if (lengths == np.cumsum(np.fromiter(map(len, written), np.int64, len(words)))).all():
+        if b"".join(map(table.plain.__getitem__, ids.tolist())) == b"".join(written):
+            return packed, set()
+    plain = (b"".join(map(table.plain.__getitem__, some)) for some in encoded)
+    return packed, {w for w, a, b in zip(words, plain, written, strict=True) if a != b}
+
+
+def encode_texts(texts: list[str], table: Pieces) -> tuple[list[np.ndarray], list[bool]]:
+    """Ids of each text and whether they decode to it; every distinct word is encoded and decoded once.
+
+    A text whose words are spelled again by their pieces comes out whole but for U+2581; a text with other
+    words is decoded.
+    """
+    found = [table.word.findall(SPACE + text.replace(" ", SPACE)) if text else [] for text in texts]
+    words = list(chain.from_iterable(found))
+    distinct = list(dict.fromkeys(words))
+    new = [w for w in distinct if w not in table.known]
+    met = {w: table.older[w] for w in new if w in table.older}
+    made, odd = _learned([w for w in new if w not in met], table)
+    parts = [table.known.get(w) or met.get(w) or made[w] for w in distinct]
+    sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
     flat = np.frombuffer(b"".join(parts), dtype=np.int32)
+    codes = dict(zip(distinct, range(len(distinct)), strict=True))
+    used = np.fromiter(map(codes.__getitem__, words), np.int64, len(words))
+    # what does not come out again is met anew each time
+    made = {w: ids for w, ids in made.items() if w not in odd}
+    for some in (met, made):
+        if len(table.known) + len(some) > KNOWN_WORDS:
+            table.older, table.known = table.known, {}
+        table.known.update(islice(some.items(), KNOWN_WORDS))
+    count = sizes[used]
+    ends = np.concatenate(([0], np.cumsum(count)))
     first = np.cumsum(sizes) - sizes
-    out = []
-    for some in lists:
-        used = np.array(some, dtype=np.int64)
-        count = sizes[used]
-        ends = np.cumsum(count)
-        places = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[used] - ends + count, count)
-        out.append(flat[places])
-    return out
+    ids = flat[np.arange(ends[-1]) + np.repeat(first[used] - ends[:-1], count)]
+    cuts = ends[np.cumsum([0, *map(len, found)])].tolist()
+    out = [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    same = [
+        decode(some, table) == text if odd and not odd.isdisjoint(its) else SPACE not in text
+        for some, text, its in zip(out, texts, found, strict=True)
+    ]
+    return out, same
 
 
 def decode(ids: np.ndarray, table: Pieces) -> str:
@@ -297,8 +330,7 @@ def encode_documents(docs: DataFrame, table: Pieces, columns: tuple[str, ...] =
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            ids = encode_texts(texts, pieces)
-            same = [decode(i, pieces) == t for i, t in zip(ids, texts, strict=True)]
+            ids, same = encode_texts(texts, pieces)
             offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
             values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             rows = pa.concat_arrays(kept)
