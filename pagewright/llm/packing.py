@@ -41,14 +41,15 @@ MAX_UNITS = 1 << 19
 UNIT_CHARS = 64
 # where a text may be cut: before a space between two characters that are none a new token starts
 CUT = re.compile(r"(?<=\S)(?= \S)")
+BESIDE = re.compile(r"\s\s")
 
 
 class _Encoder:
     """Ids of texts as little-endian bytes. Most units come again, so the ids of short ones are remembered.
 
-    A unit goes from one cut to the next: a space and what follows it up to the next space. Units seen
-    for the first time go to the tokenizer as one text, which is cut again by the number of bytes each
-    id stands for.
+    A unit goes from one cut to the next: a space, under which it is not named, and what follows it up to
+    the next space. Units seen for the first time go to the tokenizer as one text, which is cut again by the
+    number of bytes each id stands for.
     """
 
     def __init__(self, model: str):
@@ -65,11 +66,15 @@ class _Encoder:
         self.older: dict[str, bytes] = {}
 
     def _encoded(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        if not text:
+            return np.zeros(0, dtype="<u4")
+        # the fast form keeps no offsets
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _learn(self, units: list[str]) -> dict[str, bytes]:
-        ids = self._encoded("".join(units))
-        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(unit.encode()) for unit in units])) + 1
+        ids = self._encoded(" " + " ".join(units))
+        sizes = np.fromiter(map(len, map(str.encode, units)), np.int64, len(units)) + 1
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum(sizes)) + 1
         raw, start, made = ids.tobytes(), 0, {}
         for unit, end in zip(units, (4 * ends).tolist(), strict=True):
             made[unit] = raw[start:end]
@@ -79,29 +84,26 @@ class _Encoder:
     def ids(self, text: str) -> bytes:
         known, older = self.known, self.older
         first, *units = text.split(" ")
-        units = [" " + unit for unit in units]
-        new = [unit for unit in set(units) if unit not in known]
+        new = list(set(units).difference(known))
         # what is known stands between cuts; a space beside other white space is no cut
-        if (units and (not first or first[-1].isspace())) or any(
-            len(unit) < 2 or unit[1].isspace() or unit[-1].isspace() for unit in new
-        ):
+        if (units and (not first or first[-1].isspace())) or BESIDE.search(f" {' '.join(new)} " if new else ""):
             first, *units = CUT.split(text)
             last = units.pop() if units and units[-1][-1].isspace() else ""
-            new = [unit for unit in set(units) if unit not in known]
+            units = [unit[1:] for unit in units]
+            new = list(set(units).difference(known))
         else:
             last = ""
         for unit in [unit for unit in new if unit in older]:
             known[unit] = older[unit]
         new = [unit for unit in new if unit not in known]
         made = self._learn(new) if new else {}
-        long = {unit: ids for unit, ids in made.items() if len(unit) > UNIT_CHARS}
         known.update(made)
-        parts = [self._encoded(first).tobytes(), *[known[unit] for unit in units], self._encoded(last).tobytes()]
-        for unit in long:
+        ids = b"".join([self._encoded(first).tobytes(), *map(known.__getitem__, units), self._encoded(last).tobytes()])
+        for unit in [unit for unit in made if len(unit) >= UNIT_CHARS]:
             del known[unit]
         if len(known) > MAX_UNITS:
             self.known, self.older = {}, known
-        return b"".join(parts)
+        return ids
 
 
 _encoders: dict[str, _Encoder] = {}
