@@ -89,6 +89,24 @@ def test_components(spark, shape):
         assert len(rounds) <= 12 and sum(rounds) < 2 * len(links)
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_chains_within_tasks_take_few_rounds(spark, monkeypatch, kind):
+    def name(i):
+        return i if kind == "long" else f"é{i:05}"
+
+    rng = random.Random(5)
+    chains = [sorted(rng.sample(range(c * 1000, c * 1000 + 400), 90)) for c in range(12) for _ in range(8)]
+    rows = [(name(a), name(b), i) for i, chain in enumerate(chains) for a, b in zip(chain, chain[1:])]
+    odd = [(name(99_999), name(99_999)), (name(7), name(7)), (None, name(1)), (name(2), None), (None, None)]
+    rows += [(*link, 0) for link in odd]
+    frame = spark.createDataFrame(rows, f"a {kind}, b {kind}, chain int").repartition(4, "chain").drop("chain")
+    plain = plain_components([(a, b) for a, b, _ in rows if a is not None and b is not None])
+    assert len(components.contractions(frame)) <= 2
+    for held in (components.HELD, 7):
+        monkeypatch.setattr(components, "HELD", held)
+        assert sorted((r.node, r.component) for r in components.components(frame).collect()) == plain
+
+
 def test_one_of_each(docs):
     text = " ".join(f"w{i}" for i in range(100))
     rows = [(9, text), (10, text + " more"), (-3, text + " end"), (4, ""), (5, None), (None, text), (7, "else"), (7, "else")]
