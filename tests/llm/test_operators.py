@@ -132,6 +132,22 @@ def test_repeats(docs):
     assert sorted((str(r.doc_id), r.n_removed, r.n_spans, r.kept_sha256) for r in found) == brute.repeats(rows, 400)
 
 
+def test_what_is_left_can_be_read(spark, docs, tmp_path):
+    rng = random.Random(4)
+    prose = [" ".join("".join(rng.choices("abcdefg", k=rng.randint(3, 9))) for _ in range(90)) for _ in range(6)]
+    short = " ".join(f"w{i:03}" for i in range(60))  # over 50 words, under 400 bytes
+    passage, half = prose[4], "é" * 10 + prose[5]
+    rows = [(0, prose[0] + " " + passage), (1, passage + " " + prose[1]), (2, prose[2] + " " + short), (3, short + " " + prose[3])]
+    rows += [(4, "x" + half + "è"), (5, "y" + half + "ê"), (6, None)]
+    docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.QUERIES["op3_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert (found[0].text.strip(), found[1].text.strip()) == (prose[0], prose[1])
+    assert (found[2].text, found[3].text, found[6].text) == (rows[2][1], rows[3][1], "")
+    assert (found[4].text, found[5].text) == ("x\ufffd", "y\ufffd")
+    assert found[4].kept_sha256 == hashlib.sha256(b"x\xa8").hexdigest()
+    assert all(r.n_bytes == len((text or "").encode()) for r, text in ((found[i], t) for i, t in rows))
+
+
 def test_repeated_words(docs):
     words = [f"n{i}" for i in range(300)]
     rows = [(0, " ".join(words)), (1, "start\t" + "\n".join(words[100:160]) + " end"), (2, " ".join(words[:49]))]
