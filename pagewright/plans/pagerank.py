@@ -7,18 +7,20 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType
 from pyspark.storagelevel import StorageLevel
 
 from pagewright.functions.url import authority
 from pagewright.operators.gates import without_self_links
 from pagewright.operators.scale import HOT_SHARE, hot_keys, salted_lookup, slices_of
+from pagewright.plans.rank_blocks import iterate_blocks
 from pagewright.session import checkpointed, stage
 
 DAMPING = 0.85
 TOLERANCE = 0.1
 LAST_STEP = 100
 EDGES_PER_PARTITION = 2_000_000
+LEAST_EDGES_PER_BLOCK = 250_000
 HASH_SEEDS = 4
 
 
@@ -58,9 +60,14 @@ def back_edges(edges: DataFrame, dead_ends: DataFrame) -> DataFrame:
     return into.select(F.col("dest").alias("source"), F.col("source").alias("dest"))
 
 
-def repair_sinks(edges: DataFrame) -> DataFrame:
-    """Edges plus back edges out of sinks, distinct."""
-    return back_edges(edges, sinks(edges)).unionByName(edges.select("source", "dest")).distinct()
+def repair_sinks(edges: DataFrame, repeats: bool = True) -> DataFrame:
+    """Edges plus back edges out of sinks, distinct; ``repeats=False`` when no edge comes twice.
+
+    A back edge begins at a sink, where no edge begins, so only the edges themselves may repeat.
+    """
+    edges = edges.select("source", "dest")
+    edges = stage(edges.distinct() if repeats else edges, "distinct-edges")
+    return back_edges(edges, sinks(edges)).unionByName(edges)
 
 
 def clean_url_graph(links: DataFrame) -> DataFrame:
@@ -144,23 +151,33 @@ def with_names(ranks: DataFrame, names: DataFrame | None) -> DataFrame:
     return ranks.join(names, "node").select(F.col("name").alias("node"), "rank")
 
 
-def sliced_edges(edges: DataFrame, degrees: DataFrame) -> DataFrame:
-    """Edges partitioned by (source, slice); only hot sources have more than one slice.
-
-    They are persisted for all steps, so there are as many partitions as their number asks for, and in
-    the order of the join, so no step sorts them.
-    """
+def dealt_edges(edges: DataFrame, degrees: DataFrame, parts: int) -> DataFrame:
+    """Edges in ``parts`` partitions by (source, slice); only hot sources have more than one slice."""
     slice_of = F.pmod(F.xxhash64("dest"), F.coalesce("parts", F.lit(1))).cast("int")
-    least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(least, math.ceil(edges.count() / EDGES_PER_PARTITION))
     return (
         edges.join(_hot_sources(degrees), "source", "left")
         .select("source", "dest", slice_of.alias("slice"))
         .repartition(parts, "source", "slice")
-        .sortWithinPartitions("source", "slice")
     )
 
 
+def sliced_edges(edges: DataFrame, degrees: DataFrame) -> DataFrame:
+    """Dealt edges in the order of the join, so that, once they are persisted, no step sorts them.
+
+    There are as many partitions as the number of edges asks for.
+    """
+    least = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, math.ceil(edges.count() / EDGES_PER_PARTITION))
+    return dealt_edges(edges, degrees, parts).sortWithinPartitions("source", "slice")
+
+
+def edge_blocks(edges: DataFrame) -> int:
+    """Into how many blocks edges go: as many as there are shuffle partitions, if they are large enough, or more."""
+    rows, usual = edges.count(), int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = max(1, math.ceil(rows / LEAST_EDGES_PER_BLOCK))
+    return max(min(usual, most), math.ceil(rows / EDGES_PER_PARTITION))
+
+
 def starting_state(degrees: DataFrame) -> DataFrame:
     """(node, rank = 1, out_weight, slices): what a node needs to send its rank along its edges."""
     slices = F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)
@@ -181,14 +198,30 @@ def iterate_ranks(
     """Ranks of a sink-repaired graph after the first step that changes no node by ``tolerance`` or
     more, or after ``last_step``. ``tolerance=None`` runs all steps.
 
-    The edges are split, sorted and persisted once, between keys of the nodes; a step moves one row per node and the partial sums, never
-    the edges. One job per step computes, checkpoints and measures the change. A node that receives
-    nothing drops out; as every receiver is a source, the state only ever shrinks, so an inner join
-    with the sums is the next state. Without any node left to compare, the iteration ends.
+    A node that receives nothing drops out; as every receiver is a source, the state only ever shrinks.
+    Without any node left to compare, the iteration ends. Between 64-bit keys the steps run on blocks of
+    edges, between others row by row.
     """
     edges, names = with_keys(stage(edges.select("source", "dest"), "edges"))
     degrees = stage(edges.groupBy("source").agg(F.count("*").alias("degree")), "degrees")
-    links = sliced_edges(edges, degrees).persist(StorageLevel.MEMORY_AND_DISK)
+    if all(edges.schema[end].dataType == LongType() for end in ("source", "dest")):
+        parts, hot = edge_blocks(edges), degrees.join(_hot_sources(degrees), "source")
+        ranks = iterate_blocks(dealt_edges(edges, degrees, parts), hot, parts, tolerance, last_step, damping)
+    else:
+        ranks = iterate_rows(sliced_edges(edges, degrees), degrees, tolerance, last_step, damping)
+    return with_names(ranks, names)
+
+
+def iterate_rows(
+    links: DataFrame, degrees: DataFrame, tolerance: float | None, last_step: int, damping: float
+) -> DataFrame:
+    """(node, rank) after the steps over sliced edges between nodes of any type.
+
+    The edges are persisted once; a step moves one row per node and the partial sums, never the edges.
+    One job per step computes, checkpoints and measures the change: as the state only ever shrinks, an
+    inner join with the sums is the next state.
+    """
+    links = links.persist(StorageLevel.MEMORY_AND_DISK)
     # fill the cache first: its partitioning is known to the planner only afterwards
     links.count()
     state = checkpointed(starting_state(degrees))
@@ -211,7 +244,7 @@ def iterate_ranks(
                 break
     finally:
         links.unpersist()
-    return with_names(state.select("node", "rank"), names)
+    return state.select("node", "rank")
 
 
 def normalise_ranks(ranks: DataFrame) -> DataFrame:
@@ -233,5 +266,7 @@ def pagerank(
     damping: float = DAMPING,
 ) -> DataFrame:
     """Normalised PageRank (domain, rank) of a raw edge table."""
-    keyed, names = with_keys(stage(edges, "raw-edges"))
-    return normalise_ranks(with_names(iterate_ranks(repair_sinks(keyed), tolerance, last_step, damping), names))
+    # distinct here costs nothing where a query has just made it so, and names are distinct as keys
+    keyed, names = with_keys(stage(edges.select("source", "dest").distinct(), "raw-edges"))
+    repaired = repair_sinks(keyed, repeats=False)
+    return normalise_ranks(with_names(iterate_ranks(repaired, tolerance, last_step, damping), names))
